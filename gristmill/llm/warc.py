@@ -267,7 +267,7 @@ def write_archives(marked: DataFrame, folder: str) -> DataFrame:
                 for row in batch.slice(at, 256).to_pylist():
                     if out is None:
                         path, n, size = f"{base}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                        out = store.open_output_stream(path)
+                        out = store.open_output_stream(path, compression=None)
                     first = row["first_id"]
                     again = first is not None and row["page_id"] != first
                     member = gzip_member(make_record(row["page_id"], row["url"], row["payload"], first if again else None, again))
