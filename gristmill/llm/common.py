@@ -73,3 +73,10 @@ def components(edges: DataFrame) -> DataFrame:
         round_no += 1
     least = label.groupBy("label").agg(F.min("id").alias("component"))
     return label.join(least, "label").select("id", "component")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: ``durable`` for what is large."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

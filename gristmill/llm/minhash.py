@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from gristmill.llm.common import components, durable
+from gristmill.llm.common import components, durable, stored
 from gristmill.llm.shingles import WORDS, common, mix, shingle_set
 
 COMPONENTS, BITS, CHUNKS, ERRORS = 30, 16, 6, 1
@@ -133,7 +133,7 @@ def link_sets(reps: DataFrame, docs: DataFrame, percent: int, k: int = WORDS, ro
         found = durable(candidates(pairs, reps, percent))
         if texts is None:
             ids = keys.select("id").distinct()
-            texts = durable(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(ids, "id", "left_semi"))
+            texts = stored(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(ids, "id", "left_semi"), "texts")
         nearest = found.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
         some = False
         for batch in (nearest, found):
@@ -178,7 +178,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = WORDS) -> DataF
     it. Rows that share a doc_id are one document: a link of any is a link of all. A null doc_id is linked with
     nothing and kept. Other columns are ignored; an empty table gives no rows.
     """
-    rows = durable(signatures(docs, k))
+    rows = stored(signatures(docs, k), "signatures")
     full = rows.where("n_shingles > 0 and doc_id is not null")
     sets = durable(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
     comps = link_sets(sets.select("id", "n_shingles", "signature"), docs, percent, k)

@@ -306,6 +306,8 @@ def _page(urn: str | None) -> int | None:
 def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """Records of the archives that ``manifest`` names, and one row of record_type ``gap`` for each quarantined range.
 
+    The manifest has a partition for each task that wrote, so that archives are read by as many tasks.
+
     Responses have the length and digest of the payload that was read; revisits those that the record states.
     """
 
@@ -328,7 +330,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                             rows = []
                 yield _rows(rows)
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(run, READ)
+    return manifest.select("path").mapInArrow(run, READ)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
