@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from gristmill.llm.common import components, durable, stored
+from gristmill.llm.linking import link_by_keys
 from gristmill.llm.shingles import WORDS, common, mix, shingle_set
 
 COMPONENTS, BITS, CHUNKS, ERRORS = 30, 16, 6, 1
@@ -107,66 +108,14 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) ->
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _labelled(ids: DataFrame, comps: DataFrame | None, label: str) -> DataFrame:
-    """``ids`` (id, ...) with the component so far, or the id itself."""
-    if comps is None:
-        return ids.withColumn(label, F.col("id"))
-    return ids.join(comps, "id", "left").withColumn(label, F.coalesce("component", "id")).drop("component")
-
-
-def link_sets(reps: DataFrame, docs: DataFrame, percent: int, k: int = WORDS, rounds: int = 4) -> DataFrame:
-    """Components (id, component) of the sets ``reps`` (id, n_shingles, signature); ids without links may be missing.
-
-    Every set is first compared with the least id of each of its keys, not with all that share a key. A pair whose ends
-    are in one component by then needs no comparison. Keys that still hold several components are compared with another
-    member in each of some further rounds, which merges large groups at linear cost; what remains open after them is
-    compared pair by pair, between components only, so that no link is lost.
-    """
-    keys = reps.select("id", F.explode(chunk_keys(F.col("signature"))).alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub")).where("n > 1")
-    keys = durable(keys.join(shared, "key").select("key", "id", "hub"))
-    edges, comps, texts, tested = None, None, None, None
-
-    def settle(pairs: DataFrame) -> bool:
-        """Compares ``pairs`` (a, b), nearest first; whether there was a new link."""
-        nonlocal edges, comps, texts, tested
-        found = durable(candidates(pairs, reps, percent))
-        if texts is None:
-            ids = keys.select("id").distinct()
-            texts = stored(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(ids, "id", "left_semi"), "texts")
-        nearest = found.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-        some = False
-        for batch in (nearest, found):
-            if batch is found:
-                open_ = _labelled(_labelled(found.withColumnRenamed("a", "id"), comps, "ca").select(F.col("id").alias("a"), F.col("b").alias("id"), "ca"), comps, "cb")
-                batch = open_.where("ca <> cb").select("a", F.col("id").alias("b")).join(nearest, ["a", "b"], "left_anti")
-            new = durable(verify(batch, texts, percent, k))
-            if new.isEmpty():
-                continue
-            some = True
-            edges = new if edges is None else edges.union(new)
-            comps = durable(components(edges))
-        tested = found if tested is None else tested.union(found)
-        return some
-
-    settle(keys.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
-    for r in range(rounds + 1):
-        rows = _labelled(keys.select("id", "key"), comps, "c")
-        spread = rows.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most and n > 2")
-        rows = durable(rows.join(spread.select("key", "n"), "key"))
-        if rows.isEmpty():
-            break
-        if r < rounds:
-            first = F.min(F.struct(F.xxhash64(F.lit(r), "id").alias("r"), "id", "c")).alias("m")
-            hubs = rows.groupBy("key").agg(first).select("key", F.col("m.id").alias("hub"), F.col("m.c").alias("hub_c"))
-            pairs = rows.join(hubs, "key").where("c <> hub_c").select(F.least("id", "hub").alias("b"), F.greatest("id", "hub").alias("a")).distinct()
-            if settle(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")):
-                continue
-        other = rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-        pairs = rows.join(other, "key").where("c <> cb and b < id").select(F.col("id").alias("a"), "b").distinct()
-        settle(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-        break
-    return comps if comps is not None else reps.select("id", F.col("id").alias("component")).limit(0)
+def link_sets(reps: DataFrame, docs: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
+    """Components (id, component) of the sets ``reps`` (id, n_shingles, signature); ids without links may be missing."""
+    keys = reps.select("id", F.explode(chunk_keys(F.col("signature"))).alias("key"), F.lit(True).alias("home"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    ids = keys.join(shared, "key", "left_semi").select("id").distinct()
+    held = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text"))
+    texts = stored(held.join(ids, "id", "left_semi"), "texts")
+    return link_by_keys(keys, lambda pairs: candidates(pairs, reps, percent), lambda pairs: verify(pairs, texts, percent, k))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, k: int = WORDS) -> DataFrame:

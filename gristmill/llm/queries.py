@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import bpe, html_text, sharding, warc
+from gristmill.llm import bpe, embed_dedup, html_text, line_dedup, minhash, sharding, warc
 from gristmill.llm.common import table
 
 
+def op2_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -26,11 +30,23 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lattice_dedup": op2_lattice_dedup,
     "op3_bpe": op3_bpe,
     "op6_warc": op6_warc,
     "op7_sharding": op7_sharding,
     "op8_html": op8_html,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
