@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 #: A worker keeps the tokens of at most so many pieces, of at most so many bytes each, between rows.
-CACHED_PIECES, CACHED_BYTES = 400_000, 64
+CACHED_PIECES, CACHED_BYTES = 800_000, 64
 
 
 def pair_tree(keys: list[int], width: int, none: int) -> list[int]:
@@ -29,6 +29,21 @@ def pair_tree(keys: list[int], width: int, none: int) -> list[int]:
     return tree
 
 
+def put(tree: list[int], k: int, key: int) -> None:
+    """Sets leaf ``k`` and the minima above it, as far as they change."""
+    if tree[k] == key:
+        return
+    tree[k] = key
+    while k > 1:
+        other = tree[k ^ 1]
+        if other < key:
+            key = other
+        k >>= 1
+        if tree[k] == key:
+            return
+        tree[k] = key
+
+
 class _Pieces(dict):
     """Little-endian ids of the pieces met so far; bounded by CACHED_PIECES and CACHED_BYTES."""
 
@@ -67,32 +82,25 @@ class Tokenizer:
         get = ranks.get
         after = list(range(1, n + 1))  # where the part that starts here ends, which is where the next one starts
         before = list(range(-1, n))
-        keys = [none if (r := get(piece[i : i + 2])) is None else r << shift | i for i in range(n - 1)]
         width = 1 << (n - 2).bit_length()
-        tree = pair_tree(keys, width, none)
-        while (best := tree[1]) != none:
+        tree = pair_tree([none if (r := get(piece[i : i + 2])) is None else r << shift | i for i in range(n - 1)], width, none)
+        best = tree[1]
+        while best != none:
             i = best & low
             gone = after[i]
             after[i] = end = after[gone]
             before[end] = i
-            r = get(piece[i : after[end]]) if end < n else None
-            points = [(i, none if r is None else r << shift | i)]
+            left = before[i]
             if end < n:
-                points.append((gone, none))
-            if (left := before[i]) >= 0:
+                r = get(piece[i : after[end]])
+                put(tree, gone + width, none)
+                put(tree, i + width, none if r is None else r << shift | i)
+            else:
+                put(tree, i + width, none)
+            if left >= 0:
                 r = get(piece[left:end])
-                points.append((left, none if r is None else r << shift | left))
-            for at, key in points:
-                k = at + width
-                tree[k] = key
-                while k > 1:
-                    other = tree[k ^ 1]
-                    if other < key:
-                        key = other
-                    k >>= 1
-                    if tree[k] == key:
-                        break
-                    tree[k] = key
+                put(tree, left + width, none if r is None else r << shift | left)
+            best = tree[1]
         ids, i = [], 0
         while i < n:
             ids.append(ranks[piece[i : after[i]]])
