@@ -48,35 +48,40 @@ def columns_not_in(df: DataFrame, *wanted: str) -> list[str]:
 
 
 def _rank(round_no: int, col: str) -> Column:
-    return F.xxhash64(F.lit(round_no), F.col(col))
+    return F.col(col) if round_no < 2 else F.xxhash64(F.lit(round_no), F.col(col))
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder. It survives lost executors, and cuts both lineage and what the
+    optimizer has gathered about the plan, which ``checkpoint`` keeps and loops multiply."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph: ``edges`` (a, b: bigint) to rows (id, component).
 
-    ``component`` is the smallest id of the component. Every vertex hooks on to the neighbour that is first in a
-    pseudo-random order drawn anew each round, and edges are contracted, so that the rounds are logarithmic even for
-    long chains. Only aggregates with map-side combining and equi-joins on vertex ids are used; nothing is collected.
-    Null ends and loops are ignored; an empty table gives an empty result.
+    ``component`` is the smallest id of the component. In each round every vertex hooks on to its first neighbour and
+    the edges are contracted: first is the smallest id at the start, which settles stars at once, and later a
+    pseudo-random order drawn anew each round, so that the rounds stay logarithmic for long chains too. Only aggregates
+    with map-side combining and equi-joins on vertex ids are used; nothing is collected. Null ends and loops are
+    ignored; an empty table gives an empty result.
     """
-    live = durable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    label = live.select(F.col("a").alias("id")).union(live.select(F.col("b").alias("id"))).distinct().withColumn("label", F.col("id"))
-    round_no = 0
+    start = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    live, hooks = start, []
     while not live.isEmpty():
         both = live.union(live.select("b", "a"))
-        first = F.min(F.struct(_rank(round_no, "b").alias("r"), F.col("b").alias("v")))
-        hook = both.groupBy("a").agg(first.alias("m")).select("a", F.when(F.col("m.r") < _rank(round_no, "a"), F.col("m.v")).otherwise(F.col("a")).alias("to"))
-        hook = durable(hook)
-        label = durable(label.join(hook, label.label == hook.a, "left").select("id", F.coalesce("to", "label").alias("label")))
-        live = live.join(hook.withColumnRenamed("to", "x"), "a").drop("a").join(hook.select(F.col("a").alias("b"), F.col("to").alias("y")), "b").select("x", "y")
-        live = durable(live.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        round_no += 1
-    least = label.groupBy("label").agg(F.min("id").alias("component"))
-    return label.join(least, "label").select("id", "component")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: ``durable`` for what is large."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+        first = F.min(F.struct(_rank(len(hooks), "b").alias("r"), F.col("b").alias("v")))
+        hook = both.groupBy("a").agg(first.alias("m")).select(F.col("a").alias("label"), F.when(F.col("m.r") < _rank(len(hooks), "a"), F.col("m.v")).otherwise(F.col("a")).alias("to"))
+        hooks.append(stored(hook, "hooks"))
+        at = lambda end, to: hooks[-1].select(F.col("label").alias(end), F.col("to").alias(to))
+        moved = live.join(at("a", "x"), "a").join(at("b", "y"), "b").select("x", "y")
+        live = stored(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+    if not hooks:
+        return start.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    label = hooks[0].select(F.col("label").alias("id"), F.col("to").alias("label"))
+    for hook in hooks[1:]:
+        label = label.join(hook, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
+    label = stored(label, "labels")
+    return label.join(label.groupBy("label").agg(F.min("id").alias("component")), "label").select("id", "component")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import components, durable
+from gristmill.llm.common import components, stored
 
 
 def _labelled(rows: DataFrame, comps: DataFrame | None, end: str, label: str) -> DataFrame:
@@ -18,7 +18,7 @@ def _labelled(rows: DataFrame, comps: DataFrame | None, end: str, label: str) ->
     return rows.join(named, end, "left").withColumn(label, F.coalesce(label, end))
 
 
-def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], confirm: Callable[[DataFrame], DataFrame] | None = None, rounds: int = 4) -> DataFrame:
+def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], confirm: Callable[[DataFrame], DataFrame] | None = None, rounds: int = 2, remaining: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components (id, component) of the links among ids that share a key; ids without links may be missing.
 
     ``keys`` has key, id and home; two ids are candidates if they share a key that one of them is at home in.
@@ -28,31 +28,34 @@ def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], conf
     Every id is first compared with one member of each of its keys, the nearest found being confirmed first; pairs that
     lie in one component by then need no more work. Keys that still hold several components are compared with other
     members in further rounds, which merges large groups at linear cost. What is open when a round brings nothing new
-    is compared pair by pair, between components only, so that no link is lost.
+    is compared pair by pair, between components only, so that no link is lost. ``remaining``, if given, names those
+    pairs (a, b) of the open rows (key, id, home, c: component so far) that can be links by some exact rule.
     """
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("home"), F.col("id"))).alias("hub")).where("n > 1 and hub is not null")
-    keys = durable(keys.join(shared, "key").select("key", "id", "home", "hub"))
+    keys = stored(keys.join(shared, "key").select("key", "id", "home", "hub"), "keys")
     edges: DataFrame | None = None
     comps: DataFrame | None = None
     tested: DataFrame | None = None
 
     def add(new: DataFrame) -> bool:
         nonlocal edges, comps
-        new = durable(new.select("a", "b"))
+        new = stored(new.select("a", "b"), "links")
         if new.isEmpty():
             return False
         edges = new if edges is None else edges.union(new)
-        comps = durable(components(edges))
+        comps = stored(components(edges), "components")
         return True
 
     def settle(pairs: DataFrame) -> bool:
         nonlocal tested
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = durable(within(pairs))
+        found = stored(within(pairs), "pairs")
         tested = found.select("a", "b") if tested is None else tested.union(found.select("a", "b"))
         if confirm is None:
             return add(found)
+        if comps is not None:  # pairs between components, each of which may join two
+            return add(confirm(found.select("a", "b")))
         nearest = found.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
         some = add(confirm(nearest))
         open_ = _labelled(_labelled(found, comps, "a", "ca"), comps, "b", "cb").where("ca <> cb")
@@ -62,7 +65,7 @@ def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], conf
     for r in range(rounds + 1):
         rows = _labelled(keys.select("id", "key", "home"), comps, "id", "c")
         spread = rows.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most and n > 2")
-        rows = durable(rows.join(spread.select("key"), "key"))
+        rows = stored(rows.join(spread.select("key"), "key"), "open-keys")
         if rows.isEmpty():
             break
         if r < rounds:
@@ -71,6 +74,9 @@ def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], conf
             pairs = rows.join(hubs, "key").where("c <> hub_c").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
             if settle(pairs):
                 continue
+        if remaining is not None:
+            settle(remaining(rows))
+            break
         other = rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("home").alias("hb"))
         settle(rows.join(other, "key").where("c <> cb and b < id and (home or hb)").select(F.col("id").alias("a"), "b").distinct())
         break

@@ -13,11 +13,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from gristmill.llm.common import components, durable, stored
+from gristmill.llm.common import components, stored
 from gristmill.llm.linking import link_by_keys
 from gristmill.llm.shingles import WORDS, common, mix, shingle_set
 
@@ -108,6 +108,36 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) ->
     return rows.mapInArrow(run, "a long, b long")
 
 
+def prefix_pairs(rows: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
+    """Pairs (a, b) of ids of ``rows`` (id, c), in different components c, that can reach ``percent`` in a hundred.
+
+    Sets of that similarity share one of their rarest shingles: of n, one of the first n - ceil(n * percent / 100) + 1
+    in order of frequency; and the first one that they share must leave room for the overlap they need behind it in
+    both. Large groups of copies that differ too much for a link have few such pairs.
+    """
+    schema = StructType([StructField("id", LongType()), StructField("c", LongType()), StructField("size", LongType()), StructField("token", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
+                sets = [shingle_set(t, k) for t in part.column(2).to_pylist()]
+                sizes = np.array([len(x) for x in sets], np.int64)
+                each = [np.repeat(part.column(j).to_numpy(), sizes) for j in range(2)]
+                tokens = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(each[0]), pa.array(each[1]), pa.array(np.repeat(sizes, sizes)), pa.array(tokens)], schema.names)
+
+    tokens = stored(rows.select("id", "c").distinct().join(texts, "id").select("id", "c", "text").mapInArrow(run, schema), "shingles")
+    frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    order = Window.partitionBy("id").orderBy("df", "token")
+    rare = tokens.join(frequent, "token").withColumn("at", F.row_number().over(order))
+    rare = rare.where(F.col("at") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).where("df > 1")
+    live = rare.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
+    rare = stored(rare.join(live, "token").select("token", "id", "c", "size", (F.col("size") - F.col("at") + 1).alias("room")), "rare-shingles")
+    other = rare.select("token", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("size").alias("sb"), F.col("room").alias("rb"))
+    able = F.least("room", "rb") * (100 + percent) >= (F.col("size") + F.col("sb")) * percent
+    return rare.join(other, "token").where((F.col("b") < F.col("id")) & (F.col("c") != F.col("cb")) & able).select(F.col("id").alias("a"), "b").distinct()
+
+
 def link_sets(reps: DataFrame, docs: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
     """Components (id, component) of the sets ``reps`` (id, n_shingles, signature); ids without links may be missing."""
     keys = reps.select("id", F.explode(chunk_keys(F.col("signature"))).alias("key"), F.lit(True).alias("home"))
@@ -115,7 +145,13 @@ def link_sets(reps: DataFrame, docs: DataFrame, percent: int, k: int = WORDS) ->
     ids = keys.join(shared, "key", "left_semi").select("id").distinct()
     held = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text"))
     texts = stored(held.join(ids, "id", "left_semi"), "texts")
-    return link_by_keys(keys, lambda pairs: candidates(pairs, reps, percent), lambda pairs: verify(pairs, texts, percent, k))
+    return link_by_keys(
+        keys,
+        within=lambda pairs: candidates(pairs, reps, percent),
+        confirm=lambda pairs: verify(pairs, texts, percent, k),
+        rounds=1,
+        remaining=lambda rows: prefix_pairs(rows, texts, percent, k),
+    )
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, k: int = WORDS) -> DataFrame:
@@ -129,7 +165,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = WORDS) -> DataF
     """
     rows = stored(signatures(docs, k), "signatures")
     full = rows.where("n_shingles > 0 and doc_id is not null")
-    sets = durable(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
+    sets = stored(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")), "sets")
     comps = link_sets(sets.select("id", "n_shingles", "signature"), docs, percent, k)
     same = full.join(sets.select("h1", "h2", "id"), ["h1", "h2"]).where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     # a document with several texts joins their sets
