@@ -18,6 +18,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_HIDDEN = re.compile(r"(?<![\w\-\"'])hidden(?![\w=\-\"'])", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that never hold main text.
@@ -52,8 +53,10 @@ def _noise(tag: str, attrs: str, parent: Node) -> bool:
         while at is not None and at.tag not in ("article", "main"):
             at = at.parent
         return at is None
-    if "=" not in attrs:
+    if not attrs or attrs == "/":
         return False
+    if _HIDDEN.search(attrs):
+        return True
     for name, a, b, c in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         name = name.lower()
@@ -63,7 +66,7 @@ def _noise(tag: str, attrs: str, parent: Node) -> bool:
             return True
         if tag == "article" and name in ("class", "id") and not {"comment", "comments", "reply", "ad", "advert", "promo"}.isdisjoint(re.split(r"[\s_\-:]+", value)):
             return True
-    return bool(re.search(r"(?<![\w-])hidden(?![\w=-])", attrs))
+    return False
 
 
 def parse(html: str) -> Node:
