@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from gristmill.llm.common import stored
 from gristmill.llm.shingles import WORDS, shingles, word_hashes
@@ -59,6 +59,7 @@ WINDOWS = StructType([
     StructField("size", IntegerType()),
     StructField("fp", LongType()),
     StructField("words", StringType()),
+    StructField("whole", BooleanType()),
 ])
 
 
@@ -87,7 +88,7 @@ def windows(docs: DataFrame, items: list[tuple[int, str]], similarity: float) ->
         for at, h in enumerate(shingles(word_hashes(line.encode().split())).tolist()):
             seeds.setdefault(h, set()).add((size, at))
     shared = docs.sparkSession.sparkContext.broadcast((np.array(sorted(seeds), np.uint64), seeds))
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string())
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.bool_())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, places = shared.value
@@ -108,7 +109,7 @@ def windows(docs: DataFrame, items: list[tuple[int, str]], similarity: float) ->
                             for start in range(p - at - extra, p - at + extra + 1):
                                 wanted.add((min(max(start, 0), len(w) - n), n))
                     for start, n in sorted(wanted):
-                        rows.append((doc, th, start, n, simhash(h[start : start + n]), b" ".join(w[start : start + n]).decode()))
+                        rows.append((doc, th, start, n, simhash(h[start : start + n]), b" ".join(w[start : start + n]).decode(), n == len(w)))
                     if len(rows) > 20_000:
                         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], WINDOWS.names)
                         rows = []
@@ -119,7 +120,10 @@ def windows(docs: DataFrame, items: list[tuple[int, str]], similarity: float) ->
 
 
 def within_radius(found: DataFrame, items: DataFrame) -> DataFrame:
-    """Pairs of distinct windows (wh, size, fp, words) and ``items`` within RADIUS bits, by equal block values."""
+    """Pairs of distinct windows (wh, size, fp, whole) and ``items`` within RADIUS bits, by equal block values.
+
+    A window has its item's size, or is a whole document that is shorter.
+    """
     masks = [sum(1 << b for b in bits) for n in range(BLOCK_ERRORS + 1) for bits in combinations(range(BLOCK_BITS), n)]
     low = (1 << BLOCK_BITS) - 1
     block = lambda b: F.shiftrightunsigned("fp", b * BLOCK_BITS).bitwiseAND(F.lit(low)) + F.lit(b << BLOCK_BITS)
@@ -128,6 +132,7 @@ def within_radius(found: DataFrame, items: DataFrame) -> DataFrame:
     index = index.select("item_id", F.col("size").alias("item_size"), F.col("fp").alias("item_fp"), F.col("words").alias("item_words"), F.col("block").bitwiseXOR(F.col("mask").cast("long")).alias("block"))
     keyed = found.withColumn("block", F.explode(blocks))
     pairs = keyed.join(index.drop("item_words"), "block").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
+    pairs = pairs.where((F.col("size") == F.col("item_size")) | (F.col("whole") & (F.col("size") < F.col("item_size"))))
     return pairs.select("wh", "item_id", "item_fp", "item_size").distinct()
 
 
@@ -158,8 +163,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = MI
     for k in range(passes):
         some = items.where(F.pmod(F.xxhash64("words"), F.lit(passes)) == k)
         sent = [(r["size"], r["words"]) for r in some.select("size", "words").distinct().toLocalIterator()]
-        rows = stored(windows(docs, sent, similarity).withColumn("wh", F.xxhash64("words", F.lit(1))), "windows")
-        distinct = rows.groupBy("wh").agg(F.first("fp").alias("fp"), F.first("size").alias("size"))
+        rows = stored(windows(docs, sent, similarity).withColumn("wh", F.xxhash64("words", "whole")), "windows")
+        distinct = rows.groupBy("wh").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("whole").alias("whole"))
         near = within_radius(distinct, some)
         texts = rows.groupBy("wh").agg(F.min("words").alias("words"))
         pairs = near.join(texts, "wh").join(some.select("item_id", F.col("fp").alias("item_fp"), F.col("words").alias("item_words")), ["item_id", "item_fp"])
