@@ -20,8 +20,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from gristmill.llm.common import columns_not_in, stored
 
 MIN_COSINE = 0.75
-#: A file of which licence units hold this share of the words is a licence file whatever its name.
-LICENCE_SHARE = 0.3
+#: Documents have no file names: one of which licence units hold this share of the words counts as a licence file.
+DOCUMENT_SHARE = 0.3
 LICENCE_NAME = r"(?i)(^|/)(licen[cs]e|copying|copyright|unlicense|notice)([.-][^/]*)?$"
 
 #: Licence identifiers with the notices that grant them.
@@ -145,15 +145,17 @@ def directory(path: Column) -> Column:
     return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", "")).otherwise("")
 
 
-def inherit(found: DataFrame) -> DataFrame:
+def inherit(found: DataFrame, share: float | None = None) -> DataFrame:
     """``found`` (path, licence, cosine, share) with the licence that holds for each path.
 
-    Adds holds, origin (``own``, ``inherited`` or ``none``) and from_path. Of several licence files in a directory the
+    Adds holds, origin (``own``, ``inherited`` or ``none``) and from_path. A licence file has a name like LICENSE or, if
+    ``share`` is given, licence units with that share of its words. Of several licence files in a directory the
     one with the highest cosine counts, then the first by path. Directories, not files, are joined with their
     ancestors, so that the rows joined don't grow with the files of a directory.
     """
     rows = found.withColumn("dir", directory(F.coalesce("path", F.lit(""))))
-    granting = rows.where(F.col("licence").isNotNull() & (F.col("path").rlike(LICENCE_NAME) | (F.col("share") >= LICENCE_SHARE)))
+    named = F.col("path").rlike(LICENCE_NAME)
+    granting = rows.where(F.col("licence").isNotNull() & (named if share is None else named | (F.col("share") >= share)))
     best = F.min(F.struct((-F.col("cosine")).alias("order"), "path", "licence")).alias("m")
     grants = granting.groupBy("dir").agg(best).select(F.col("dir").alias("above"), F.col("m.licence").alias("granted"), F.col("m.path").alias("granted_by"))
     steps = F.split("dir", "/")
@@ -171,18 +173,18 @@ def inherit(found: DataFrame) -> DataFrame:
     )
 
 
-def licences(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, min_cosine: float = MIN_COSINE) -> DataFrame:
+def licences(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, min_cosine: float = MIN_COSINE, share: float | None = None) -> DataFrame:
     """Licences of ``files`` (path, text): path, licence, cosine, share, holds, origin, from_path, a row for each row.
 
     A null or empty text has no licence of its own but may inherit one; a null path lies in the root. Ties between
     templates go to the first. Repeated rows give repeated rows; other columns are ignored; an empty table gives none.
     """
-    return inherit(stored(scan(files, templates, min_cosine), "licences"))
+    return inherit(stored(scan(files, templates, min_cosine), "licences"), share)
 
 
 def document_licences(docs: DataFrame) -> DataFrame:
     """Licences of ``docs`` (doc_id, text, lang, source), filed under ``source/lang/doc_id.txt``, with doc_id."""
     (path,) = columns_not_in(docs, "path")
     where = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("_")), F.lit(".txt")))
-    found = licences(docs.select(where.alias("path"), docs["text"].alias("text")))
+    found = licences(docs.select(where.alias("path"), docs["text"].alias("text")), share=DOCUMENT_SHARE)
     return found.select(F.expr("try_cast(regexp_extract(path, '([^/]*)[.]txt$', 1) as bigint)").alias("doc_id"), "path", "licence", "cosine", "holds", "origin", "from_path")
