@@ -56,7 +56,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     optimizer has gathered about the plan, which ``checkpoint`` keeps and loops multiply."""
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes tables that ``stored`` wrote and that no plan reads any more; others are left alone."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -68,8 +79,8 @@ def components(edges: DataFrame) -> DataFrame:
     with map-side combining and equi-joins on vertex ids are used; nothing is collected. Null ends and loops are
     ignored; an empty table gives an empty result.
     """
-    start = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    live, hooks = start, []
+    start = live = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    hooks: list[DataFrame] = []
     while not live.isEmpty():
         both = live.union(live.select("b", "a"))
         first = F.min(F.struct(_rank(len(hooks), "b").alias("r"), F.col("b").alias("v")))
@@ -77,11 +88,14 @@ def components(edges: DataFrame) -> DataFrame:
         hooks.append(stored(hook, "hooks"))
         at = lambda end, to: hooks[-1].select(F.col("label").alias(end), F.col("to").alias(to))
         moved = live.join(at("a", "x"), "a").join(at("b", "y"), "b").select("x", "y")
-        live = stored(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        contracted = stored(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        discard(live)
+        live = contracted
     if not hooks:
         return start.select(F.col("a").alias("id"), F.col("b").alias("component"))
     label = hooks[0].select(F.col("label").alias("id"), F.col("to").alias("label"))
     for hook in hooks[1:]:
         label = label.join(hook, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
     label = stored(label, "labels")
+    discard(live, *hooks)
     return label.join(label.groupBy("label").agg(F.min("id").alias("component")), "label").select("id", "component")

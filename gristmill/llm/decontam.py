@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from gristmill.llm.common import stored
+from gristmill.llm.common import discard, stored
 from gristmill.llm.shingles import WORDS, shingles, word_hashes
 
 BLOCKS, BLOCK_ERRORS = 4, 3
@@ -173,7 +173,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = MI
         best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "size")).alias("m")
         hits = hits.groupBy("doc_id", "th", "item_id").agg(best)
         hits = hits.select("doc_id", "th", "item_id", (-F.col("m.before")).alias("start"), F.col("m.size").alias("n_words"), "m.similarity")
+        hits = stored(hits, "hits")
+        discard(rows)
         found = hits if found is None else found.union(hits)
+    discard(items)
     if found is None:
         empty = "doc_id long, th long, item_id long, start int, n_words int, similarity double"
         return docs.sparkSession.createDataFrame([], empty)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import components, stored
+from gristmill.llm.common import components, discard, stored
 
 
 def _labelled(rows: DataFrame, comps: DataFrame | None, end: str, label: str) -> DataFrame:
@@ -34,16 +34,19 @@ def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], conf
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("home"), F.col("id"))).alias("hub")).where("n > 1 and hub is not null")
     keys = stored(keys.join(shared, "key").select("key", "id", "home", "hub"), "keys")
     edges: DataFrame | None = None
+    written: list[DataFrame] = [keys]
     comps: DataFrame | None = None
     tested: DataFrame | None = None
 
     def add(new: DataFrame) -> bool:
         nonlocal edges, comps
         new = stored(new.select("a", "b"), "links")
+        written.append(new)
         if new.isEmpty():
             return False
         edges = new if edges is None else edges.union(new)
-        comps = stored(components(edges), "components")
+        before, comps = comps, stored(components(edges), "components")
+        written.append(before)
         return True
 
     def settle(pairs: DataFrame) -> bool:
@@ -51,6 +54,7 @@ def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], conf
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         found = stored(within(pairs), "pairs")
+        written.append(found)
         tested = found.select("a", "b") if tested is None else tested.union(found.select("a", "b"))
         if confirm is None:
             return add(found)
@@ -66,6 +70,7 @@ def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], conf
         rows = _labelled(keys.select("id", "key", "home"), comps, "id", "c")
         spread = rows.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most and n > 2")
         rows = stored(rows.join(spread.select("key"), "key"), "open-keys")
+        written.append(rows)
         if rows.isEmpty():
             break
         if r < rounds:
@@ -80,4 +85,7 @@ def link_by_keys(keys: DataFrame, within: Callable[[DataFrame], DataFrame], conf
         other = rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("home").alias("hb"))
         settle(rows.join(other, "key").where("c <> cb and b < id and (home or hb)").select(F.col("id").alias("a"), "b").distinct())
         break
-    return comps if comps is not None else keys.select("id", F.col("id").alias("component")).limit(0)
+    if comps is None:
+        comps = stored(keys.select("id", F.col("id").alias("component")).limit(0), "components")
+    discard(*written)
+    return comps

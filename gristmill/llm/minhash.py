@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from gristmill.llm.common import components, stored
+from gristmill.llm.common import components, discard, stored
 from gristmill.llm.linking import link_by_keys
 from gristmill.llm.shingles import WORDS, common, mix, shingle_set
 
@@ -135,7 +135,10 @@ def prefix_pairs(rows: DataFrame, texts: DataFrame, percent: int, k: int = WORDS
     rare = stored(rare.join(live, "token").select("token", "id", "c", "size", (F.col("size") - F.col("at") + 1).alias("room")), "rare-shingles")
     other = rare.select("token", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("size").alias("sb"), F.col("room").alias("rb"))
     able = F.least("room", "rb") * (100 + percent) >= (F.col("size") + F.col("sb")) * percent
-    return rare.join(other, "token").where((F.col("b") < F.col("id")) & (F.col("c") != F.col("cb")) & able).select(F.col("id").alias("a"), "b").distinct()
+    pairs = rare.join(other, "token").where((F.col("b") < F.col("id")) & (F.col("c") != F.col("cb")) & able)
+    pairs = stored(pairs.select(F.col("id").alias("a"), "b").distinct(), "prefix-pairs")
+    discard(tokens, rare)
+    return pairs
 
 
 def link_sets(reps: DataFrame, docs: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
@@ -145,13 +148,15 @@ def link_sets(reps: DataFrame, docs: DataFrame, percent: int, k: int = WORDS) ->
     ids = keys.join(shared, "key", "left_semi").select("id").distinct()
     held = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text"))
     texts = stored(held.join(ids, "id", "left_semi"), "texts")
-    return link_by_keys(
+    out = link_by_keys(
         keys,
         within=lambda pairs: candidates(pairs, reps, percent),
         confirm=lambda pairs: verify(pairs, texts, percent, k),
         rounds=1,
         remaining=lambda rows: prefix_pairs(rows, texts, percent, k),
     )
+    discard(texts)
+    return out
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, k: int = WORDS) -> DataFrame:
