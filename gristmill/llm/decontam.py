@@ -34,9 +34,9 @@ SEEDS_PER_PASS = 2_000_000
 _WORD = re.compile(r"[^\W_]+")
 
 
-def words(text: str | None) -> list[bytes]:
+def words(text: str | None) -> list[str]:
     """Runs of letters and digits in lower case; punctuation and symbols separate words."""
-    return [w.encode("utf-8") for w in _WORD.findall(text.lower())] if text else []
+    return _WORD.findall(text.lower()) if text else []
 
 
 def simhash(hashes: np.ndarray) -> int:
@@ -71,7 +71,7 @@ def fingerprint_items(benchmark: DataFrame) -> DataFrame:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if w := words(text):
-                    rows.append((item, len(w), simhash(word_hashes(w)), b" ".join(w).decode()))
+                    rows.append((item, len(w), simhash(word_hashes(w)), " ".join(w)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.string()))], ITEMS.names)
 
     return benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text")).mapInArrow(run, ITEMS)
@@ -85,7 +85,7 @@ def windows(docs: DataFrame, items: list[tuple[int, str]], similarity: float) ->
     """
     seeds: dict[int, set[tuple[int, int]]] = {}  # shingle: (size of item, place in it)
     for size, line in items:
-        for at, h in enumerate(shingles(word_hashes(line.encode().split())).tolist()):
+        for at, h in enumerate(shingles(word_hashes(line.split())).tolist()):
             seeds.setdefault(h, set()).add((size, at))
     shared = docs.sparkSession.sparkContext.broadcast((np.array(sorted(seeds), np.uint64), seeds))
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.bool_())
@@ -109,7 +109,7 @@ def windows(docs: DataFrame, items: list[tuple[int, str]], similarity: float) ->
                             for start in range(p - at - extra, p - at + extra + 1):
                                 wanted.add((min(max(start, 0), len(w) - n), n))
                     for start, n in sorted(wanted):
-                        rows.append((doc, th, start, n, simhash(h[start : start + n]), b" ".join(w[start : start + n]).decode(), n == len(w)))
+                        rows.append((doc, th, start, n, simhash(h[start : start + n]), " ".join(w[start : start + n]), n == len(w)))
                     if len(rows) > 20_000:
                         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], WINDOWS.names)
                         rows = []
@@ -138,7 +138,7 @@ def within_radius(found: DataFrame, items: DataFrame) -> DataFrame:
 
 def weighted_similarity(a: str, b: str) -> float:
     """Weighted Jaccard similarity of the shingles of two strings of words."""
-    x, y = (Counter(shingles(word_hashes(t.encode().split())).tolist()) for t in (a, b))
+    x, y = (Counter(shingles(word_hashes(t.split())).tolist()) for t in (a, b))
     return (x & y).total() / max(1, (x | y).total())
 
 

@@ -13,7 +13,7 @@ _KEPT = 500_000
 
 
 class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         h = xxhash.xxh64_intdigest(word)
         if len(word) <= 64:
             if len(self) >= _KEPT:
@@ -30,7 +30,7 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8").translate(_LOWER).split()
 
 
-def word_hashes(tokens: list[bytes]) -> np.ndarray:
+def word_hashes(tokens: list[bytes] | list[str]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, tokens), np.uint64, len(tokens))
 
 
@@ -48,9 +48,10 @@ def shingles(hashes: np.ndarray, k: int = WORDS) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if n < k:
         return mix(np.array([xxhash.xxh64_intdigest(hashes.tobytes(), seed=n)], np.uint64))
+    mixed = mix(hashes)
     out = np.zeros(n - k + 1, np.uint64)
     for i in range(k):
-        out += mix(hashes[i : n - k + 1 + i] + np.uint64(i)) * _MULTIPLIERS[i % len(_MULTIPLIERS)]
+        out += mixed[i : n - k + 1 + i] * (_MULTIPLIERS[i % len(_MULTIPLIERS)] + np.uint64(2 * (i // len(_MULTIPLIERS))))
     return mix(out)
 
 

@@ -68,9 +68,9 @@ def test_decontamination_equals_brute_force(spark):
     texts += [(100, None), (101, ""), (102, "Tiny, item!"), (103, "a tiny item here"), (3, dict(texts)[3])]
     expected = {}
     for d, t in texts:
-        have = [x.decode() for x in decontam.words(t)]
+        have = decontam.words(t)
         for i, line in items:
-            want = [x.decode() for x in decontam.words(line)]
+            want = decontam.words(line)
             n = min(len(have), len(want)) if len(want) >= 5 or have == want else 0
             best = max((decontam.weighted_similarity(" ".join(have[s : s + n]), " ".join(want)) for s in range(len(have) - n + 1)), default=0) if n else 0
             if best >= 0.8:
@@ -424,10 +424,10 @@ def test_pipeline_equals_brute_force(spark):
     kept = {d: t for d, t in lines.items() if t.strip(" ") or t == kept[d]}
     classes, _ = helpers.near_classes(kept.items(), corpus_pipeline.NEAR_PERCENT)
     kept = {d: t for d, t in kept.items() if classes[d] == d}
-    items = [[x.decode() for x in decontam.words(r["text"])] for r in common.table(spark, SF, "benchmark").collect()]
+    items = [decontam.words(r["text"]) for r in common.table(spark, SF, "benchmark").collect()]
 
     def leaks(text):
-        have = [x.decode() for x in decontam.words(text)]
+        have = decontam.words(text)
         for want in items:
             if not set(zip(*(have[k:] for k in range(5)), strict=False)) & set(zip(*(want[k:] for k in range(5)), strict=False)):
                 continue
