@@ -88,7 +88,7 @@ def lattice_keys(vectors: DataFrame) -> DataFrame:
                     homes, probes = cells(_unit(_matrix(some.column(1))))
                     yield pa.RecordBatch.from_arrays([some.column(0), pa.array(list(homes), pa.list_(pa.int64())), pa.array(list(probes), pa.list_(pa.int64()))], CELLS.names)
 
-    found = vectors.select("id", "vector").mapInArrow(run, CELLS)
+    found = stored(vectors.select("id", "vector").mapInArrow(run, CELLS), "cells")
     entries = F.concat(
         F.transform("homes", lambda c: F.struct(c.alias("key"), F.lit(True).alias("home"))),
         F.transform("probes", lambda c: F.struct(c.alias("key"), F.lit(False).alias("home"))),
