@@ -15,13 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session (``spark.checkpoint.dir``); a temporary one is set only where none is given."""
+    """The shared folder of the session (``spark.checkpoint.dir``), as a URI; a temporary one is set only where none is given."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isEmpty():
         spark.sparkContext.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-"))
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return given or held.get()
+    return held.get()
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

@@ -233,7 +233,9 @@ def salvage(file: BinaryIO, max_bytes: int = 1 << 30) -> Iterator[Record | Gap]:
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     """Filesystem and path of a URI (file, hdfs, s3, gs) or of a path of a mounted shared folder."""
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    if re.match("[a-z0-9+.-]+://", path):
+        return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri("file://" + path.removeprefix("file:"))
 
 
 MANIFEST = StructType([StructField("path", StringType()), StructField("records", LongType()), StructField("bytes", LongType())])
