@@ -6,7 +6,7 @@ goes if an earlier one (by doc_id, then line number) is equal or within one word
 Every variant of a line with one word left out is a hashed key. Lines with equal keys are within the bound: with the
 same word left out, one word is replaced; a variant that equals a whole line is an insertion. Each key therefore needs
 only its earliest line, not all its pairs. Two lines within the bound share their first or their last half, so lines
-that share no half with another line emit no variants; this loses no pair.
+that share neither end with another line emit no variants; this loses no pair.
 """
 
 from __future__ import annotations
@@ -14,52 +14,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import columns_not_in, stored
+from gristmill.llm.common import columns_not_in, discard, stored
 
 MIN_WORDS = 5
 #: A sieve of so many hash buckets, one row each at most, is what is broadcast.
 SIEVE = 1 << 20
 
 
-def line_words(line: Column) -> Column:
-    return F.array_remove(F.split(F.translate(F.lower(line), "\t\r\f\x0b", "    "), " "), "")
+def normal_line(line: Column) -> Column:
+    """Words of a line in lower case, one space between them."""
+    out = F.lower(line)
+    for space in "\t\r\f\x0b":
+        out = F.replace(out, F.lit(space), F.lit(" "))
+    return F.trim(F.when(out.contains("  "), F.regexp_replace(out, " +", " ")).otherwise(out))
 
 
-def half_keys(words: Column, n: Column) -> list[Column]:
-    """Keys of the first and last halves; those of a line also fit partners of one word less. Null where they coincide."""
-    half, less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    first = lambda k: F.xxhash64(F.lit("first"), F.slice(words, 1, k))
-    last = lambda k: F.xxhash64(F.lit("last"), F.slice(words, n - k + 1, k))
-    return [first(half), last(half), F.when(half != less, first(less)), F.when(half != less, last(less))]
+def word_count(normal: Column) -> Column:
+    return F.when(normal == "", 0).otherwise(F.octet_length(normal) - F.octet_length(F.replace(normal, F.lit(" "), F.lit(""))) + 1)
+
+
+def _end_length(n: Column) -> Column:
+    """The largest power of two that fits into half of ``n`` - 1 words, so that it is mostly that of ``n`` - 1 as well."""
+    return F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.floor((n - 1) / 2), F.lit(1))))).cast("int")
+
+
+def end_keys(normal: Column, own: Column, less: Column) -> list[Column]:
+    """Keys of the first and last ``own`` words of a line, and of ``less`` words where that differs (else null)."""
+    key = lambda k: F.xxhash64(F.call_function("substring_index", normal, F.lit(" "), k))
+    return [key(own), key(-own), F.when(own != less, key(less)), F.when(own != less, key(-less))]
 
 
 def text_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, th (hash of the text), no, words and n of each line of ``min_words`` words or more."""
+    """doc_id, th (hash of the text), no, normal and n (words) of each line of ``min_words`` words or more."""
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].cast("string").alias("text")).where(F.col("text").isNotNull())
     rows = rows.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    rows = rows.select("doc_id", "th", "no", line_words(F.col("line")).alias("words"))
-    return rows.withColumn("n", F.size("words")).where(F.col("n") >= min_words)
+    # a line's words as a one-row inner table, so that no filter makes Spark compute them twice
+    each = F.explode(F.array(F.struct(normal_line(F.col("line")).alias("normal"))))
+    rows = rows.select("doc_id", "th", "no", each.alias("each")).select("doc_id", "th", "no", "each.normal")
+    return rows.withColumn("n", word_count(F.col("normal"))).where(F.col("n") >= min_words)
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """Deletion neighbourhoods of ``lines`` (ref, n, words): ref, kind and key.
+    """Deletion neighbourhoods of ``lines`` (line, n, words, front, back): line, kind and key.
 
     kind 0 is the whole line, kind 1 the line without one word, kind 2 the same with that word's place. A key is the
     exclusive or of hashes of words and places, taken over the line by running windows, in linear time for any length.
+    A word of the first half is left out only where ``front``, one of the last only where ``back``.
     """
-    word = lines.select("ref", "n", F.posexplode("words").alias("at", "word"))
-    word = word.select("ref", "n", "at", F.xxhash64("word", "at").alias("a"), F.xxhash64("word", F.col("at") - 1).alias("b"))
-    whole = Window.partitionBy("ref")
+    word = lines.select("line", "n", "front", "back", F.posexplode("words").alias("at", "word"))
+    word = word.select("line", "n", "front", "back", "at", F.xxhash64("word", "at").alias("a"), F.xxhash64("word", F.col("at") - 1).alias("b"))
+    whole = Window.partitionBy("line")
     before = whole.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = word.select("ref", "n", "at", "a", F.bit_xor("a").over(whole).alias("all_a"), F.bit_xor("b").over(whole).alias("all_b"), F.bit_xor("a").over(before).alias("to_a"), F.bit_xor("b").over(before).alias("to_b"))
+    run = word.select("*", F.bit_xor("a").over(whole).alias("all_a"), F.bit_xor("b").over(whole).alias("all_b"), F.bit_xor("a").over(before).alias("to_a"), F.bit_xor("b").over(before).alias("to_b"))
     rest = F.col("to_a").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("all_b")).bitwiseXOR(F.col("to_b"))
+    half = F.floor((F.col("n") - 1) / 2)
+    wanted = (F.col("back") & (F.col("at") >= half)) | (F.col("front") & (F.col("at") < F.col("n") - half))
     keys = [
-        F.struct(F.lit(1).alias("kind"), F.xxhash64(F.lit(1), F.col("n") - 1, rest).alias("key")),
-        F.struct(F.lit(2).alias("kind"), F.xxhash64(F.lit(2), "n", "at", F.col("all_a").bitwiseXOR(F.col("a"))).alias("key")),
+        F.when(wanted, F.struct(F.lit(1).alias("kind"), F.xxhash64(F.lit(1), F.col("n") - 1, rest).alias("key"))),
+        F.when(wanted, F.struct(F.lit(2).alias("kind"), F.xxhash64(F.lit(2), "n", "at", F.col("all_a").bitwiseXOR(F.col("a"))).alias("key"))),
+        F.when(F.col("at") == 0, F.struct(F.lit(0).alias("kind"), F.xxhash64(F.lit(1), "n", "all_a").alias("key"))),
     ]
-    own = F.struct(F.lit(0).alias("kind"), F.xxhash64(F.lit(1), "n", "all_a").alias("key"))
-    out = run.select("ref", F.explode(F.when(F.col("at") == 0, F.array(*keys, own)).otherwise(F.array(*keys))).alias("v"))
-    return out.select("ref", "v.kind", "v.key")
+    return run.select("line", F.explode(F.array_compact(F.array(*keys))).alias("v")).select("line", "v.kind", "v.key")
 
 
 def within_one_word(a: Column, b: Column) -> Column:
@@ -75,36 +90,47 @@ def within_one_word(a: Column, b: Column) -> Column:
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Lines (doc_id, th, no, reason) that go: ``equal`` or ``near`` an earlier one."""
     lines = text_lines(docs, min_words)
-    h = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2")]
-    halves = [c.alias(f"k{i}") for i, c in enumerate(half_keys(F.col("words"), F.col("n")))]
-    met = lines.select(*h, F.struct("doc_id", "th", "no").alias("ref"), *halves)
-    keys = [f"k{i}" for i in range(len(halves))]
-    distinct = stored(met.groupBy("h1", "h2").agg(F.min("ref").alias("first"), F.count(F.lit(1)).alias("times"), *[F.max(k).alias(k) for k in keys]), "lines")
+    lines = lines.withColumn("own", _end_length(F.col("n"))).withColumn("less", _end_length(F.col("n") - 1))
+    ends = [c.alias(f"k{i}") for i, c in enumerate(end_keys(F.col("normal"), F.col("own"), F.col("less")))]
+    keys = [f"k{i}" for i in range(len(ends))]
+    met = stored(lines.select(F.xxhash64("normal").alias("h1"), F.xxhash64(F.lit(1), "normal").alias("h2"), "doc_id", "th", "no", *ends), "met-lines")
+    ref = F.struct("doc_id", "th", "no")
+    distinct = stored(met.groupBy("h1", "h2").agg(F.min(ref).alias("first"), F.count(F.lit(1)).alias("times"), *[F.max(k).alias(k) for k in keys]), "lines")
 
     again = distinct.where("times > 1").select("h1", "h2", "first")
-    occurrence = lines.select(*h, F.struct("doc_id", "th", "no").alias("ref"))
-    equal = occurrence.join(again, ["h1", "h2"]).where(~F.col("ref").eqNullSafe(F.col("first"))).select("ref.*", F.lit("equal").alias("reason"))
+    equal = met.select("h1", "h2", ref.alias("ref")).join(again, ["h1", "h2"]).where(~F.col("ref").eqNullSafe(F.col("first"))).select("ref.*", F.lit("equal").alias("reason"))
+
+    # lines that share an end with another line; a shared first end leaves the edit to the back, a shared last one to the front
+    end = distinct.select("h1", F.explode(F.array_compact(F.array(*keys))).alias("key"))
+    shared = end.groupBy("key").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("key")
+    live = stored(end.join(shared, "key", "left_semi"), "ends")
+    open_ = distinct.join(live.groupBy("h1").agg(F.collect_set("key").alias("live")), "h1")
+    any_live = lambda *ks: F.exists(F.array_compact(F.array(*ks)), lambda k: F.array_contains("live", k))
+    open_ = stored(open_.select(F.col("h1").alias("line"), "first", any_live("k1", "k3").alias("front"), any_live("k0", "k2").alias("back")), "open-lines")
+    discard(live)
 
-    half = distinct.select("h1", "first", F.explode(F.array_compact(F.array(*keys))).alias("key"))
-    shared = half.groupBy("key").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("key")
-    open_ = stored(half.join(shared, "key", "left_semi").select("first").distinct(), "open-lines")
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(SIEVE)).cast("int")
     sieve = open_.select(bucket("first.doc_id").alias("bucket")).distinct()
     some = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
     some = some.withColumn("bucket", bucket("doc_id")).join(F.broadcast(sieve), "bucket", "left_semi").drop("bucket")
-    wanted = open_.select(F.col("first.doc_id").alias("d"), F.col("first.th").alias("t"), F.col("first.no").alias("o"))
+    wanted = open_.select("line", "front", "back", F.col("first.doc_id").alias("d"), F.col("first.th").alias("t"), F.col("first.no").alias("o"))
     held = text_lines(some, min_words)
-    held = held.join(wanted, held.doc_id.eqNullSafe(wanted.d) & (held.th == wanted.t) & (held.no == wanted.o), "left_semi")
-    held = stored(held.select(F.struct("doc_id", "th", "no").alias("ref"), "n", "words").dropDuplicates(["ref"]), "held-lines")
+    held = held.join(wanted, held.doc_id.eqNullSafe(wanted.d) & (held.th == wanted.t) & (held.no == wanted.o))
+    held = stored(held.select("line", ref.alias("ref"), "front", "back", "n", F.split("normal", " ").alias("words")).dropDuplicates(["line"]), "held-lines")
 
     keyed = variants(held)
+    met_twice = keyed.groupBy("key").agg(F.min("line").alias("x"), F.max("line").alias("y")).where("x <> y").select("key")
+    shared_keys = stored(keyed.join(met_twice, "key"), "variants")
+    keyed = shared_keys.join(held.select("line", "ref"), "line")
     least = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("ref"))).alias(f"first{kind}")
-    firsts = keyed.groupBy("key").agg(least(0), least(1), least(2), F.count(F.lit(1)).alias("met")).where("met > 1").drop("met")
+    firsts = keyed.groupBy("key").agg(least(0), least(1), least(2))
     partner = F.when(F.col("kind") == 0, F.col("first1")).when(F.col("kind") == 1, F.col("first0")).otherwise(F.col("first2"))
     pairs = keyed.join(firsts, "key").select("ref", partner.alias("earlier")).where("earlier < ref").distinct()
     pairs = pairs.join(held.select("ref", F.col("words").alias("a")), "ref").join(held.select(F.col("ref").alias("earlier"), F.col("words").alias("b")), "earlier")
     near = pairs.where(within_one_word(F.col("a"), F.col("b"))).select("ref.*", F.lit("near").alias("reason"))
-    return equal.union(near)
+    out = stored(equal.union(near), "repeated-lines")
+    discard(met, distinct, open_, held, shared_keys)
+    return out
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
