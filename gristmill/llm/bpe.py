@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 #: A worker keeps the tokens of at most so many pieces, of at most so many bytes each, between rows.
-CACHED_PIECES, CACHED_BYTES = 800_000, 64
+CACHED_PIECES, CACHED_BYTES = 500_000, 64
 
 
 def pair_tree(keys: list[int], width: int, none: int) -> list[int]:

@@ -9,7 +9,7 @@ WORDS = 5
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 #: A worker keeps the hashes of at most so many words, of at most 64 bytes each.
-_KEPT = 500_000
+_KEPT = 250_000
 
 
 class _Hashes(dict):
