@@ -17,8 +17,7 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-_ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_HIDDEN = re.compile(r"(?<![\w\-\"'])hidden(?![\w=\-\"'])", re.I)
+_ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that never hold main text.
@@ -45,6 +44,15 @@ class Node:
         self.points, self.size, self.links = 0.0, 0, 0
 
 
+def _unseen(style: str) -> bool:
+    """Whether a style says display:none or visibility:hidden; the last declaration of a property counts."""
+    says = {}
+    for part in style.split(";"):
+        name, _, value = part.partition(":")
+        says[name.strip()] = value.replace("!important", "").strip()
+    return says.get("display") == "none" or says.get("visibility") == "hidden"
+
+
 def _noise(tag: str, attrs: str, parent: Node) -> bool:
     if tag in _DROPPED:
         return True
@@ -55,11 +63,11 @@ def _noise(tag: str, attrs: str, parent: Node) -> bool:
         return at is None
     if not attrs or attrs == "/":
         return False
-    if _HIDDEN.search(attrs):
-        return True
     for name, a, b, c in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         name = name.lower()
+        if tag not in ("html", "body") and (name == "hidden" or name == "style" and _unseen(value)):
+            return True
         if name == "role" and value in _ROLES or name == "aria-hidden" and value == "true":
             return True
         if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not _NOISE.isdisjoint(re.split(r"[\s_\-:]+", value)):

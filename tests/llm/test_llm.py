@@ -323,6 +323,20 @@ def test_main_text(html, expected):
         assert got == expected
 
 
+@pytest.mark.parametrize(
+    "attrs",
+    ['style="overflow:hidden;"', 'style="overflow: hidden;"', 'title="A hidden gem of the coast"', "data-title='The hidden cost of tea'", "alt=not-hidden", 'style="content-visibility:hidden"', 'style="display:none;display:block"'],
+)
+def test_only_an_attribute_named_hidden_hides(attrs):
+    assert html_text.main_text(PAGE.format(f"<div {attrs}><article><p>One, two.</p></article></div>")) == "One, two."
+    assert html_text.main_text(f"<article><p>One <a {attrs}>two</a>.</p></article>") == "One two."
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "class=x HIDDEN", 'hidden=""', "hidden='until-found'", 'style="color:red; display : none"', 'style="visibility:hidden"', 'style="DISPLAY:none !important;"'])
+def test_hidden_elements(attrs):
+    assert html_text.main_text(f"<article><p>One, two.</p><p {attrs}>Not, shown.</p></article>") == "One, two."
+
+
 def test_extract_pages(spark):
     df = spark.createDataFrame([(1, "u", PAGE.format("<article><p>\U0001f642 ok</article>"), 1), (2, None, None, 1), (1, "u", PAGE.format("<article><p>\U0001f642 ok</article>"), 1)], "page_id long, url string, html string, text int")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_pages(df).collect()) == [(1, "\U0001f642 ok", 4), (1, "\U0001f642 ok", 4), (2, "", 0)]
