@@ -10,12 +10,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-_RAW = "script|style|noscript|template|iframe|title|textarea|svg|object"
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?P<rawattrs>(?>\"[^\"]*\"|'[^']*'|[^'\">])*+)>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
-    r"|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
-    re.S | re.I,
+_RAW = "script|style|noscript|template|iframe|title|textarea"
+_TAGS = (
+    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
+    r"|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)"
+)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?P<rawattrs>(?>\"[^\"]*\"|'[^']*'|[^'\">])*+)>.*?(?:</(?P=raw)\s*>|\Z)|{_TAGS}", re.S | re.I)
+#: Within svg and math no element is raw, and any may be self-closed.
+_FOREIGN_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|{_TAGS}", re.S | re.I)
+_FOREIGN = frozenset(("svg", "math"))
+#: Elements of a foreign one that hold HTML again; other start tags of HTML end the foreign element.
+_HTML_AGAIN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+_ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 _ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -80,7 +87,11 @@ def _noise(tag: str, attrs: str, parent: Node) -> bool:
 def parse(html: str) -> Node:
     """Element tree of a page; unclosed and stray tags are tolerated, character references are decoded."""
     root = at = Node("#root", None, False)
-    for m in _TOKEN.finditer(html):
+    foreign: Node | None = None  # the outermost open svg or math
+    end = 0
+    while end < len(html):
+        m = (_FOREIGN_TOKEN if foreign else _TOKEN).match(html, end)
+        end = m.end()
         text = m["text"]
         if text is not None:
             if not at.drop:
@@ -92,14 +103,26 @@ def parse(html: str) -> Node:
         tag = tag.lower()
         if m["close"]:
             node: Node | None = at
+            left = False
             while node is not None and node.tag != tag:
+                left |= node is foreign
                 node = node.parent
             if node is not None and node.parent is not None:
                 at = node.parent
+                if left or node is foreign:
+                    foreign = None
             continue
+        if foreign and tag in _ENDS_FOREIGN:
+            node = at
+            while node is not foreign and node.tag not in _HTML_AGAIN:
+                node = node.parent
+            if node is foreign:
+                at, foreign = foreign.parent, None
         ends = _ENDS.get(tag, ())
         node = at
-        if tag in _BLOCK_ENDS_P:
+        if foreign:
+            pass
+        elif tag in _BLOCK_ENDS_P:
             while node.tag in _INLINE and node.parent is not None:
                 node = node.parent
             if node.tag == "p" and node.parent is not None:
@@ -114,6 +137,8 @@ def parse(html: str) -> Node:
             at.children.append(new)
         if tag not in _VOID and not m["attrs"].endswith("/"):
             at = new
+            if tag in _FOREIGN and not foreign:
+                foreign = new
     return root
 
 

@@ -337,6 +337,26 @@ def test_hidden_elements(attrs):
     assert html_text.main_text(f"<article><p>One, two.</p><p {attrs}>Not, shown.</p></article>") == "One, two."
 
 
+@pytest.mark.parametrize(
+    ("icon", "expected"),
+    [
+        ('<svg class="i"/>', "One two. Three."),
+        ("<svg/>", "One two. Three."),
+        ("<svg viewBox='0 0 1 1'><title>Icon</title><g><path d='M0'/></g></svg>", "One two. Three."),
+        ("<svg><svg><text>a</text></svg><text>b</text></svg>", "One two. Three."),
+        ("<svg><title/><style/><script href='x'/><text>a</text></svg>", "One two. Three."),
+        ("<svg><foreignObject><div><p>a</p></div></foreignObject><text>b</text></svg>", "One two. Three."),
+        ("<svg><path d='M0'>", None),
+        ("<object><object>a</object>b</object>", "One two. Three."),
+        ("<math><mi>x</mi><mspace/></math>", "One x two. Three."),
+        ("<script>if (a</b>/.test('<svg>')) x()</script>", "One two. Three."),
+    ],
+)
+def test_foreign_elements(icon, expected):
+    got = html_text.main_text(f"<article><p>One {icon} two.</p><p>Three.</p></article>")
+    assert got == expected if expected else got.startswith("One") and got.endswith("Three.")
+
+
 def test_extract_pages(spark):
     df = spark.createDataFrame([(1, "u", PAGE.format("<article><p>\U0001f642 ok</article>"), 1), (2, None, None, 1), (1, "u", PAGE.format("<article><p>\U0001f642 ok</article>"), 1)], "page_id long, url string, html string, text int")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_pages(df).collect()) == [(1, "\U0001f642 ok", 4), (1, "\U0001f642 ok", 4), (2, "", 0)]
