@@ -36,6 +36,16 @@ _NOISE = frozenset(
     " footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination paywall popup promo promoted promotion"
     " related replies reply respond share sharing shoutbox sidebar sidenav signup skyscraper social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Of these, words that also name sections of articles: what is not mostly links may be text of an article.
+_WEAK_NOISE = frozenset("discuss notice notices notification promoted promotion related share sharing social".split())
+#: Words of an element that holds reader comments, which can be longer than the article.
+_COMMENTS = frozenset("comment comments discuss disqus replies reply respond shoutbox".split())
+#: Words of names that tell how a page is laid out, as has-sidebar and comments-open do.
+_STATE = frozenset("closed disabled enabled has no open with without".split())
+_HEADER = frozenset(("header", "masthead"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Up to this share of text in links an element counts as text.
+LOW_LINKS = 0.25
 _SCORED = frozenset("p pre td blockquote li dd".split())
 #: Elements that end an open element of the same group.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -43,12 +53,13 @@ _BLOCK_ENDS_P = frozenset("address article aside blockquote details div dl field
 
 
 class Node:
-    __slots__ = ("children", "drop", "links", "parent", "points", "size", "tag")
+    __slots__ = ("children", "drop", "links", "noise", "own", "parent", "points", "size", "tag")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool):
         self.tag, self.parent, self.drop = tag, parent, drop
         self.children: list[Node | str] = []
-        self.points, self.size, self.links = 0.0, 0, 0
+        self.points, self.own, self.size, self.links = 0.0, 0.0, 0, 0
+        self.noise: frozenset[str] = frozenset()
 
 
 def _unseen(style: str) -> bool:
@@ -60,28 +71,33 @@ def _unseen(style: str) -> bool:
     return says.get("display") == "none" or says.get("visibility") == "hidden"
 
 
-def _noise(tag: str, attrs: str, parent: Node) -> bool:
-    if tag in _DROPPED:
-        return True
-    if tag == "header":  # a header of the page, not the head of an article
-        at: Node | None = parent
-        while at is not None and at.tag not in ("article", "main"):
-            at = at.parent
-        return at is None
+def _in_article(node: Node | None) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
+def _read(new: Node, attrs: str) -> None:
+    """Sets ``drop`` of an element that never holds main text, and the words of its class and id that mark noise."""
+    tag = new.tag
+    if tag in _DROPPED or tag == "header" and not _in_article(new.parent):  # a header of the page, not the head of an article
+        new.drop = True
+        return
     if not attrs or attrs == "/":
-        return False
+        return
     for name, a, b, c in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         name = name.lower()
         if tag not in ("html", "body") and (name == "hidden" or name == "style" and _unseen(value)):
-            return True
-        if name == "role" and value in _ROLES or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not _NOISE.isdisjoint(re.split(r"[\s_\-:]+", value)):
-            return True
-        if tag == "article" and name in ("class", "id") and not {"comment", "comments", "reply", "ad", "advert", "promo"}.isdisjoint(re.split(r"[\s_\-:]+", value)):
-            return True
-    return False
+            new.drop = True
+        elif name == "role" and value in _ROLES or name == "aria-hidden" and value == "true":
+            new.drop = True
+        elif name in ("class", "id"):
+            found = re.split(r"[\s_\-:]+", value)
+            if tag == "article" and not {"comment", "comments", "reply", "ad", "advert", "promo"}.isdisjoint(found):
+                new.drop = True
+            elif tag not in ("html", "body", "article", "main") and not _NOISE.isdisjoint(found):
+                new.noise |= {x for one in value.split() if _STATE.isdisjoint(names := re.split(r"[_\-:]+", one)) for x in names if x in _NOISE}
 
 
 def parse(html: str) -> Node:
@@ -132,7 +148,9 @@ def parse(html: str) -> Node:
                 node = node.parent
             if node.tag in ends and node.parent is not None:
                 at = node.parent
-        new = Node(tag, at, at.drop or _noise(tag, m["attrs"], at))
+        new = Node(tag, at, at.drop)
+        if not new.drop:
+            _read(new, m["attrs"])
         if not new.drop:
             at.children.append(new)
         if tag not in _VOID and not m["attrs"].endswith("/"):
@@ -152,6 +170,7 @@ def _score(root: Node) -> list[Node]:
     while todo:
         node = todo.pop()
         order.append(node)
+        node.points, node.own, node.size, node.links = 0.0, 0.0, 0, 0
         todo.extend(x for x in reversed(node.children) if isinstance(x, Node))
     for node in reversed(order):
         own = sum(_length(x) for x in node.children if isinstance(x, str))
@@ -167,6 +186,7 @@ def _score(root: Node) -> list[Node]:
             continue
         commas = sum(x.count(",") + x.count("،") + x.count("，") for x in direct)
         points = (1 + commas + min(node.size / 100, 3)) * (1 - node.links / node.size)
+        node.own = points
         for share, ancestor in ((1.0, node.parent), (0.5, node.parent.parent if node.parent else None)):
             if ancestor is not None:
                 ancestor.points += points * share
@@ -175,6 +195,63 @@ def _score(root: Node) -> list[Node]:
     return order
 
 
+def _cut_noise(order: list[Node]) -> bool:
+    """Takes marked subtrees out of a scored tree; whether any went.
+
+    One stays if it is a wrapper around the text: it holds a ``main``, the ``article`` with the most points, or half of
+    the points around it without reader comments (nine tenths, if the article is beside it). Comments can outweigh a
+    short article, so what such a word marks stays only if nearly no other text is there, and only the first. Headers in an article stay. So does what has weak words
+    only, if few of its words are links and it is a paragraph, a heading or as long as one.
+    """
+    root = order[0]
+    held = {id(n): n.own for n in order}
+    for node in reversed(order):
+        if node.parent is not None:
+            held[id(node.parent)] += held[id(node)]
+    top = max((n for n in order if n.tag == "article" and n.size), key=lambda n: held[id(n)], default=None)
+    wrappers: set[int] = set()
+    has_article = False
+    for node in order:
+        if node is top or node.tag == "main" and node.size:
+            has_article = True
+            at: Node | None = node
+            while at is not None and id(at) not in wrappers:
+                wrappers.add(id(at))
+                at = at.parent
+    scope = {id(root): root}  # the nearest marked ancestor
+    marked, plain, comments = [], {id(root): held[id(root)]}, {id(root): 0.0}
+    for node in order[1:]:
+        parent = node.parent
+        around = scope[id(node)] = parent if parent.noise else scope[id(parent)]
+        if node.noise:
+            marked.append(node)
+            plain[id(node)], comments[id(node)] = held[id(node)], 0.0
+            plain[id(around)] -= held[id(node)]
+            if node.noise & _COMMENTS and id(node) not in wrappers:
+                comments[id(around)] += held[id(node)]
+    for node in marked:
+        around = id(scope[id(node)])
+        share = 0.9 if has_article and not _in_article(node.parent) else 0.5
+        if id(node) in wrappers or not node.noise & _COMMENTS and held[id(node)] and held[id(node)] >= share * (held[around] - comments[around]):
+            wrappers.add(id(node))
+            plain[around] += held[id(node)]
+    for node in marked:
+        around = id(scope[id(node)])
+        if node.noise & _COMMENTS and id(node) not in wrappers and held[id(node)] and 20 * plain[around] < held[id(node)]:
+            wrappers.add(id(node))
+            plain[around] += held[id(node)]
+    gone: set[int] = set()
+    for node in marked:
+        if id(node) in wrappers or node.noise <= _HEADER and _in_article(node.parent):
+            continue
+        if node.noise <= _WEAK_NOISE and node.links <= LOW_LINKS * node.size and (node.tag == "p" or node.tag in _HEADINGS or node.size >= 80):
+            continue
+        gone.add(id(node))
+    for parent in {id(n.parent): n.parent for n in marked if id(n) in gone}.values():
+        parent.children = [x for x in parent.children if id(x) not in gone]
+    return bool(gone)
+
+
 def _collect(node: Node, out: list[str]) -> None:
     todo: list[Node | str] = [node]
     while todo:
@@ -198,6 +275,8 @@ def main_text(html: str | None) -> str:
         return ""
     root = parse(html)
     order = _score(root)
+    if any(n.noise for n in order) and _cut_noise(order):
+        order = _score(root)
     best = max(order, key=lambda n: n.points * (1 - n.links / n.size) if n.size else 0.0)
     if not best.size:
         best = root

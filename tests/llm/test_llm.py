@@ -357,6 +357,47 @@ def test_foreign_elements(icon, expected):
     assert got == expected if expected else got.startswith("One") and got.endswith("Three.")
 
 
+BODY = "<p>One, long enough, paragraph of the text.</p><p>Two, another one, of it.</p>"
+TEXT = "One, long enough, paragraph of the text. Two, another one, of it."
+
+
+@pytest.mark.parametrize("attrs", ['class="content-sidebar-wrap"', 'class="has-sidebar"', 'class="layout no-sidebar"', 'id="page" class="comments-open"', 'class="with-ads"'])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_class_words_of_wrappers(attrs, tag):
+    noise = '<div class="sidebar"><p>Side, text.</p></div>'
+    assert html_text.main_text(PAGE.format(f"<div {attrs}><{tag}>{BODY}</{tag}>{noise}</div>")) == TEXT
+
+
+def test_advert_longer_than_the_article():
+    assert html_text.main_text(PAGE.replace("Buy", "Buy this, and that, and more.").format("<article><p>Short.</p></article>")) == "Short."
+
+
+def test_comments_longer_than_the_text():
+    talk = '<div id="comments">' + "<p>I, for one, and others, agree, as said.</p>" * 20 + "</div>"
+    for attrs in ("", 'class="comments-open"', 'class="has-sidebar"'):
+        assert html_text.main_text(f"<body><div {attrs}><div>{BODY}</div>{talk}</div></body>") == TEXT
+        assert html_text.main_text(f"<body><div {attrs}>{BODY}</div>{talk}</body>") == TEXT
+
+
+@pytest.mark.parametrize(
+    ("part", "kept"),
+    [
+        ('<header class="entry-header"><h1>Head</h1></header>', "Head"),
+        ('<div class="post-header"><h1>Head</h1></div>', "Head"),
+        ('<p class="notice">Mended, on Monday.</p>', "Mended, on Monday."),
+        ('<section id="social-history"><h2>Then</h2><p>' + "It grew, as towns do. " * 5 + "</p></section>", "Then " + "It grew, as towns do. " * 5),
+        ('<section class="related-work"><p>' + "Others, before us, tried. " * 5 + "</p></section>", "Others, before us, tried. " * 5),
+        ('<div class="related-posts"><a href="/a">' + "Read that, too. " * 9 + "</a></div>", ""),
+        ('<div class="social-share">Share, this.</div>', ""),
+        ('<div class="ad"><p>' + "Buy it, now. " * 3 + "</p></div>", ""),
+        ('<div id="comments"><article class="comment"><p>' + "I, for one, agree. " * 30 + "</p></article></div>", ""),
+        ('<div class="comments-area"><p>' + "I, for one, agree. " * 30 + "</p></div>", ""),
+    ],
+)
+def test_class_words_in_articles(part, kept):
+    assert html_text.main_text(PAGE.format(f"<article>{part}{BODY}</article>")) == f"{kept.strip()} {TEXT}".strip()
+
+
 def test_extract_pages(spark):
     df = spark.createDataFrame([(1, "u", PAGE.format("<article><p>\U0001f642 ok</article>"), 1), (2, None, None, 1), (1, "u", PAGE.format("<article><p>\U0001f642 ok</article>"), 1)], "page_id long, url string, html string, text int")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_pages(df).collect()) == [(1, "\U0001f642 ok", 4), (1, "\U0001f642 ok", 4), (2, "", 0)]
