@@ -46,6 +46,8 @@ _HEADER = frozenset(("header", "masthead"))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Up to this share of text in links an element counts as text.
 LOW_LINKS = 0.25
+#: Beyond this share it counts as links.
+MOSTLY_LINKS = 0.5
 _SCORED = frozenset("p pre td blockquote li dd".split())
 #: Elements that end an open element of the same group.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -265,11 +267,58 @@ def _collect(node: Node, out: list[str]) -> None:
         todo.extend(reversed(x.children))
 
 
+def _collect_run(run: list[Node | str], out: list[str]) -> None:
+    size = sum(x.size if isinstance(x, Node) else _length(x) for x in run)
+    if sum(x.links for x in run if isinstance(x, Node)) <= MOSTLY_LINKS * size:
+        for x in run:
+            if isinstance(x, Node):
+                _collect(x, out)
+            else:
+                out.append(x)
+
+
+def _collect_around(best: Node, out: list[str]) -> None:
+    """The text of ``best`` and of what lies beside it and is neither marked as noise nor mostly links.
+
+    Runs of strings and inline elements count as one. It goes on beside the parent while what lies around ``best`` is
+    mostly text, up to the body.
+    """
+    before: list[list[str]] = []
+    after: list[list[str]] = []
+    node, parent = best, best.parent
+    while parent is not None:
+        sides: tuple[list[str], list[str]] = ([" "], [" "])
+        side = 0
+        run: list[Node | str] = []
+        for x in parent.children:
+            if isinstance(x, str) or x is not node and x.tag in _INLINE and not x.noise:
+                run.append(x)
+                continue
+            _collect_run(run, sides[side])
+            run = []
+            if x is node:
+                side = 1
+            elif x.size and not x.noise and x.links <= MOSTLY_LINKS * x.size:
+                _collect(x, sides[side])
+        _collect_run(run, sides[side])
+        before.append(sides[0])
+        after.append(sides[1])
+        if parent.tag in ("body", "html") or parent.links - node.links > MOSTLY_LINKS * (parent.size - node.size):
+            break
+        node, parent = parent, parent.parent
+    for part in reversed(before):
+        out.extend(part)
+    _collect(best, out)
+    for part in after:
+        out.extend(part)
+
+
 def main_text(html: str | None) -> str:
-    """The main text: the best container and the siblings that belong to it, blocks joined by one space.
+    """The main text: the best container and what belongs to it beside it, blocks joined by one space.
 
     A null or empty page, and one without main text, gives an empty text. The container grows to the ``article`` or
-    ``main`` element around it, so that headings and short paragraphs of the article are kept.
+    ``main`` element around it, so that headings and short paragraphs of the article are kept; without one, the text
+    around the container is kept, but for noise and links.
     """
     if not html:
         return ""
@@ -292,7 +341,7 @@ def main_text(html: str | None) -> str:
     parent = best.parent
     if parent is None or best.tag in ("article", "main") and not any(isinstance(x, Node) and x is not best and x.tag == "article" for x in parent.children):
         _collect(best, out)
-    else:
+    elif best.tag in ("article", "main"):
         least = max(10.0, 0.2 * best.points)
         for x in parent.children:
             if x is best:
@@ -300,8 +349,10 @@ def main_text(html: str | None) -> str:
             elif isinstance(x, Node) and x.size:
                 density = x.links / x.size
                 alike = x.tag == best.tag == "article"
-                if alike or x.points * (1 - density) >= least or x.tag in ("p", "h1", "h2") and density < 0.25 and (x.size > 80 or x.tag != "p"):
+                if alike or x.points * (1 - density) >= least or x.tag in ("p", "h1", "h2") and density < LOW_LINKS and (x.size > 80 or x.tag != "p"):
                     _collect(x, out)
+    else:
+        _collect_around(best, out)
     return " ".join("".join(out).split())
 
 

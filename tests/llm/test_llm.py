@@ -398,6 +398,34 @@ def test_class_words_in_articles(part, kept):
     assert html_text.main_text(PAGE.format(f"<article>{part}{BODY}</article>")) == f"{kept.strip()} {TEXT}".strip()
 
 
+LONG = "<p>" + "Many words, one after the other, fill a paragraph. " * 3 + "</p>"
+SIDES = [
+    "<section><p>" + "A short section of one paragraph. " * 4 + "</p></section>",
+    "<h3>Third</h3>",
+    "<h4>Fourth</h4>",
+    "<ul><li>one</li><li>two</li></ul>",
+    "<ol><li>first</li></ol>",
+    "<table><tr><td>cell</td><td>of it</td></tr></table>",
+    "<p>Short.</p>",
+    "bare string",
+    'bare <b>bold</b> and <a href="/x">link</a> in a longer sentence',
+    "<blockquote>Quoted</blockquote>",
+]
+
+
+@pytest.mark.parametrize("side", SIDES)
+def test_text_beside_the_best_section(side):
+    text = lambda x: " ".join(html_text.main_text(f"<article>{x}</article>").split())
+    nav = "<ul>" + '<li><a href="/a">Elsewhere</a></li>' * 3 + "</ul>"
+    for best in (f"<section>{LONG * 11}</section>", f"<section><div>{LONG * 11}</div></section>"):
+        page = f"<body>{nav}<div id=content><h3>Before</h3>{side}{best}{nav}{side}<div class=social>Share</div></div>{nav}</body>"
+        assert html_text.main_text(page) == text(f"<h3>Before</h3>{side}{best}{side}")
+
+
+def test_text_around_deep_elements_takes_linear_time():
+    html_text.main_text("x<div>" * 20_000 + LONG)
+
+
 def test_extract_pages(spark):
     df = spark.createDataFrame([(1, "u", PAGE.format("<article><p>\U0001f642 ok</article>"), 1), (2, None, None, 1), (1, "u", PAGE.format("<article><p>\U0001f642 ok</article>"), 1)], "page_id long, url string, html string, text int")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_pages(df).collect()) == [(1, "\U0001f642 ok", 4), (1, "\U0001f642 ok", 4), (2, "", 0)]
