@@ -5,12 +5,15 @@ BLOCKS blocks, and an item is indexed under every value of a block that differs
 bits, so that equal block values find all windows within RADIUS bits. Weighted Jaccard similarity of the five-word
 shingles (weight: how often a shingle occurs) of window and item then decides.
 
-Only windows that could pass are fingerprinted: a window similar enough holds a shingle of its item, and one of the
-shingles they share lies at nearly the same place in both. This loses no match, whatever the text.
+Only windows that could pass are fingerprinted: those of which so many shingles are an item's, wherever they lie, that
+the similarity can be reached. As so few shingles of the item may lack, one of any few more is in the window; the rarest
+of the item are looked up, and its shingles are counted around the places where they are found. This loses no window
+that passes, whatever the order of its words.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -45,10 +48,60 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def slack(n: int, similarity: float) -> int:
-    """By how many words the places of a shared shingle can differ in an item of ``n`` words and a window like it."""
-    m = max(1, n - WORDS + 1)
-    return int(m * (1 - similarity) / (1 + similarity) + 1e-9)
+def needed(m: int, n: int, similarity: float) -> int:
+    """How many shingles an item of ``m`` and a window of ``n`` shingles share at least if they are so similar."""
+    return math.ceil(similarity * (m + n) / (1 + similarity) - 1e-9)
+
+
+class Seeds:
+    """Shingles of items (size, words), and for each item the rarest of them, one of which every window like it holds."""
+
+    def __init__(self, items: list[tuple[int, str]], similarity: float):
+        all_of = [np.sort(shingles(word_hashes(line.split()))) for _, line in items]
+        own = [np.unique(x) for x in all_of]
+        names, frequency = np.unique(np.concatenate([*own, np.zeros(0, np.uint64)]), return_counts=True)
+        rare = []
+        for x in all_of:
+            # a window of a document shorter than the item has the fewest of its shingles
+            n = len(x) - math.ceil(similarity * len(x) - 1e-9) + 1
+            rare.append(np.unique(x[np.argsort(frequency[np.searchsorted(names, x)], kind="stable")[:n]]))
+        self.sizes = [size for size, _ in items]
+        self.shingles = np.concatenate([*own, np.zeros(0, np.uint64)])
+        self.ends = np.cumsum([0, *map(len, own)])
+        found = np.concatenate([*rare, np.zeros(0, np.uint64)])
+        order = np.argsort(found, kind="stable")
+        self.known, first = np.unique(found[order], return_index=True)
+        self.first = np.append(first, len(found))
+        self.items = np.repeat(np.arange(len(items)), [len(x) for x in rare])[order]
+
+    def windows(self, found: np.ndarray, n_words: int, similarity: float) -> list[tuple[int, int]]:
+        """Start and size in words of every window that shares enough shingles with an item, for a document's shingles."""
+        if not len(found) or not len(self.known):
+            return []
+        near = np.minimum(np.searchsorted(self.known, found), len(self.known) - 1)
+        places: dict[int, list[int]] = {}
+        for p in np.flatnonzero(self.known[near] == found).tolist():
+            for item in self.items[self.first[near[p]] : self.first[near[p] + 1]].tolist():
+                places.setdefault(item, []).append(p)
+        wanted: set[tuple[int, int]] = set()
+        for item, at in places.items():
+            size = self.sizes[item]
+            n = min(size, n_words)
+            m = max(1, n - WORDS + 1)
+            least = needed(max(1, size - WORDS + 1), m, similarity)
+            own = self.shingles[self.ends[item] : self.ends[item + 1]]
+            runs: list[list[int]] = []  # first and last start of windows that hold a rare shingle
+            for p in at:
+                low, high = max(0, p - m + 1), min(p, len(found) - m)
+                if runs and low <= runs[-1][1] + 1:
+                    runs[-1][1] = max(runs[-1][1], high)
+                else:
+                    runs.append([low, high])
+            for low, high in runs:
+                part = found[low : high + m]
+                shared = np.append(0, np.cumsum(own[np.minimum(np.searchsorted(own, part), len(own) - 1)] == part))
+                wanted.update((low + start, n) for start in np.flatnonzero(shared[m:] - shared[:-m] >= least).tolist())
+        return sorted(wanted)
 
 
 ITEMS = StructType([StructField("item_id", LongType()), StructField("size", IntegerType()), StructField("fp", LongType()), StructField("words", StringType())])
@@ -78,37 +131,23 @@ def fingerprint_items(benchmark: DataFrame) -> DataFrame:
 
 
 def windows(docs: DataFrame, items: list[tuple[int, str]], similarity: float) -> DataFrame:
-    """Fingerprinted windows of ``docs`` for ``items`` (size, words): item-sized runs of words near a shared shingle.
+    """Fingerprinted windows of ``docs`` for ``items`` (size, words): item-sized runs of words that share enough shingles.
 
     A document that is shorter than an item is one window. A fewer-than-five-word item is one shingle, so that it meets
     only documents of just those words.
     """
-    seeds: dict[int, set[tuple[int, int]]] = {}  # shingle: (size of item, place in it)
-    for size, line in items:
-        for at, h in enumerate(shingles(word_hashes(line.split())).tolist()):
-            seeds.setdefault(h, set()).add((size, at))
-    shared = docs.sparkSession.sparkContext.broadcast((np.array(sorted(seeds), np.uint64), seeds))
+    shared = docs.sparkSession.sparkContext.broadcast(Seeds(items, similarity))
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.bool_())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, places = shared.value
+        seeds = shared.value
         for batch in batches:
             for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
                 rows = []
                 for doc, th, text in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
                     w = words(text)
                     h = word_hashes(w)
-                    found = shingles(h)
-                    if not len(found) or not len(known):
-                        continue
-                    near = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                    wanted = set()
-                    for p in np.flatnonzero(known[near] == found).tolist():
-                        for size, at in places[int(found[p])]:
-                            extra, n = slack(size, similarity), min(size, len(w))
-                            for start in range(p - at - extra, p - at + extra + 1):
-                                wanted.add((min(max(start, 0), len(w) - n), n))
-                    for start, n in sorted(wanted):
+                    for start, n in seeds.windows(shingles(h), len(w), similarity):
                         rows.append((doc, th, start, n, simhash(h[start : start + n]), " ".join(w[start : start + n]), n == len(w)))
                     if len(rows) > 20_000:
                         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], WINDOWS.names)

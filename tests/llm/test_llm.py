@@ -84,6 +84,32 @@ def test_decontamination_equals_brute_force(spark):
     assert decontam.contaminations(docs, benchmark.limit(0)).count() == decontam.contaminations(docs.limit(0), benchmark).count() == 0
 
 
+def test_decontamination_of_reordered_items(spark):
+    """Items whose sentences change places within longer documents, against all windows; nothing depends on the place of a shingle."""
+    draw = random.Random(3)
+    w = [f"w{k}" for k in range(4000)]
+    items = [(k, " ".join(draw.sample(w, 50))) for k in range(6)] + [(6, " ".join(draw.sample(w, 25) * 2))]
+    texts = []
+    for i, line in items:
+        part = line.split()
+        for k, cut in enumerate((10, 20, 25, 40)):
+            swapped = part[cut:] + part[:cut]
+            texts.append((10 * i + k, " ".join(draw.sample(w, 70) + swapped + draw.sample(w, 30))))
+        texts.append((10 * i + 8, " ".join(part[25:] + part[:20])))
+        texts.append((10 * i + 9, " ".join(draw.sample(w, 30) + part[:30] + draw.sample(w, 30))))
+    expected = {}
+    for d, t in texts:
+        have = t.split()
+        for i, line in items:
+            n = min(len(have), len(line.split()))
+            best = max((decontam.weighted_similarity(" ".join(have[s : s + n]), line), -s) for s in range(len(have) - n + 1))
+            if best[0] >= 0.8:
+                expected[d, i] = (best[0], -best[1])
+    assert {(10 * i + k, i) for i in range(7) for k in range(4)} <= expected.keys()
+    found = decontam.contaminations(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in found} == expected
+
+
 def test_block_index_finds_all_within_radius(spark):
     draw = random.Random(2)
     fp = lambda: draw.getrandbits(64) - (1 << 63)
