@@ -36,7 +36,8 @@ def merge_by_tier(df: DataFrame, keys: Sequence[Column], tier: str, pos: str, so
     out = df.withColumn("merged_sources", F.array().cast("array<string>"))
     for key in keys:
         row = F.struct(F.col(tier), F.col(pos), *[F.col(c) for c in df.columns if c not in (tier, pos)])
-        grouped = out.withColumn("_key", key).groupBy("_key").agg(F.min(row).alias("_first"), F.collect_set(source).alias("_all"), F.flatten(F.collect_list("merged_sources")).alias("_before"))
+        each = out.withColumn("_key", key).withColumn("_merged", F.explode_outer("merged_sources"))
+        grouped = each.groupBy("_key").agg(F.min(row).alias("_first"), F.collect_set(source).alias("_all"), F.collect_set("_merged").alias("_before"))
         out = grouped.select(*[F.col("_first")[c].alias(c) for c in df.columns], F.array_sort(F.array_except(F.array_union("_all", "_before"), F.array(F.col("_first")[source]))).alias("merged_sources"))
     return out
 

@@ -158,3 +158,11 @@ def test_novelty_stream_equals_batch(spark, tmp_path):
     got = {(r["key"], r["seq"]): r["status"] for r in spark.table("novelty").collect()}
     expected = {(r["key"], r["seq"]): r["status"] for r in ledger.novelty(df, "key", "seq", "day", "fact").collect()}
     assert got == expected
+
+
+def test_merge_by_tier_collects_no_repeats(spark):
+    rows = [(k, k % 2, k, f"s{k % 3}", "a" if k < 6 else "b", "one") for k in range(9)]
+    df = spark.createDataFrame(rows, "id long, tier int, pos int, source string, k1 string, k2 string")
+    out = dedup.merge_by_tier(df, [F.col("k1"), F.col("k2")], "tier", "pos", "source")
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    assert [(r["id"], r["merged_sources"]) for r in out.collect()] == [(0, ["s1", "s2"])]
