@@ -12,12 +12,21 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 _RAW = "script|style|noscript|template|iframe|title|textarea"
 _TAGS = (
-    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
+    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{attrs})>"
     r"|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)"
 )
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?P<rawattrs>(?>\"[^\"]*\"|'[^']*'|[^'\">])*+)>.*?(?:</(?P=raw)\s*>|\Z)|{_TAGS}", re.S | re.I)
-#: Within svg and math no element is raw, and any may be self-closed.
-_FOREIGN_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|{_TAGS}", re.S | re.I)
+_QUOTED = "(?>\"[^\"]*\"|'[^']*'|[^'\">])*+"
+
+
+def _tokens(attrs: str) -> tuple[re.Pattern[str], re.Pattern[str]]:
+    """Patterns of the next token in HTML, and within svg and math, where no element is raw and any may be self-closed."""
+    tags = _TAGS.format(attrs=attrs)
+    raw = rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?P<rawattrs>{attrs})>.*?(?:</(?P=raw)\s*>|\Z)|{tags}"
+    return re.compile(raw, re.S | re.I), re.compile(rf"<!--.*?(?:-->|\Z)|{tags}", re.S | re.I)
+
+
+#: Once a tag has no end, as a quote in it has none, the rest of the page is read without regard to quotes.
+_STRICT, _LOOSE = _tokens(_QUOTED), _tokens("[^>]*+")
 _FOREIGN = frozenset(("svg", "math"))
 #: Elements of a foreign one that hold HTML again; other start tags of HTML end the foreign element.
 _HTML_AGAIN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
@@ -28,21 +37,24 @@ _ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that never hold main text.
-_DROPPED = frozenset("head nav footer aside form button select input menu dialog script style noscript template iframe title textarea svg object".split())
+_DROPPED = frozenset("head nav footer aside button select input menu dialog script style noscript template iframe title textarea svg object".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
 #: Words of a class or id that mark menus, headers, footers, sidebars, notices, adverts, forms and reader comments.
 _NOISE = frozenset(
-    "ad ads adbox adslot adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies discuss disqus"
+    "ad ads adbox adslot adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookies discuss disqus"
     " footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination paywall popup promo promoted promotion"
     " related replies reply respond share sharing shoutbox sidebar sidenav signup skyscraper social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 #: Of these, words that also name sections of articles: what is not mostly links may be text of an article.
 _WEAK_NOISE = frozenset("discuss notice notices notification promoted promotion related share sharing social".split())
 #: Words of an element that holds reader comments, which can be longer than the article.
-_COMMENTS = frozenset("comment comments discuss disqus replies reply respond shoutbox".split())
+_COMMENTS = frozenset("comment commentlist comments discuss disqus replies reply respond shoutbox".split())
+#: A form that holds so many points of paragraphs, and most of the page's, is a wrapper of the page.
+FORM_POINTS = 4.0
 #: Words of names that tell how a page is laid out, as has-sidebar and comments-open do.
 _STATE = frozenset("closed disabled enabled has no open with without".split())
 _HEADER = frozenset(("header", "masthead"))
+_FORM = frozenset(("form",))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Up to this share of text in links an element counts as text.
 LOW_LINKS = 0.25
@@ -50,20 +62,57 @@ LOW_LINKS = 0.25
 MOSTLY_LINKS = 0.5
 _SCORED = frozenset("p pre td blockquote li dd".split())
 #: Elements that end an open element of the same group.
-_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+_GROUPS = {"li": "#li", "dt": "#dd", "dd": "#dd", "tr": "#tr", "td": "#td", "th": "#td", "option": "#option"}
+_ITEM_SCOPES = frozenset("ul ol dl table select menu".split())
 _BLOCK_ENDS_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 
 class Node:
-    __slots__ = ("children", "drop", "links", "noise", "own", "parent", "points", "size", "tag")
+    __slots__ = ("children", "depth", "drop", "inner", "links", "noise", "own", "parent", "points", "size", "tag")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool):
         self.tag, self.parent, self.drop = tag, parent, drop
+        self.depth = 0 if parent is None else parent.depth + 1
+        #: Whether it lies within an article or main.
+        self.inner = parent is not None and (parent.inner or parent.tag in ("article", "main"))
         self.children: list[Node | str] = []
         self.points, self.own, self.size, self.links = 0.0, 0.0, 0, 0
         self.noise: frozenset[str] = frozenset()
 
 
+class _Open:
+    """The open elements of a page: the last one of each kind is found without a walk."""
+
+    def __init__(self, root: Node):
+        self.at = root
+        self.kinds: dict[str, list[Node]] = {}
+
+    def push(self, node: Node) -> None:
+        self.at = node
+        for kind in self._of(node.tag):
+            self.kinds.setdefault(kind, []).append(node)
+
+    def _of(self, tag: str) -> tuple[str, ...]:
+        if tag in _INLINE:
+            return (tag,)
+        if tag in _ITEM_SCOPES:
+            return (tag, "#scope", "#block")
+        return (tag, _GROUPS[tag], "#block") if tag in _GROUPS else (tag, "#block")
+
+    def last(self, kind: str) -> Node | None:
+        found = self.kinds.get(kind)
+        return found[-1] if found else None
+
+    def close(self, node: Node) -> None:
+        """Closes ``node`` and all within it."""
+        at = self.at
+        while at.depth >= node.depth:
+            for kind in self._of(at.tag):
+                self.kinds[kind].pop()
+            at = at.parent
+        self.at = at
+
+
 def _unseen(style: str) -> bool:
     """Whether a style says display:none or visibility:hidden; the last declaration of a property counts."""
     says = {}
@@ -73,18 +122,14 @@ def _unseen(style: str) -> bool:
     return says.get("display") == "none" or says.get("visibility") == "hidden"
 
 
-def _in_article(node: Node | None) -> bool:
-    while node is not None and node.tag not in ("article", "main"):
-        node = node.parent
-    return node is not None
-
-
 def _read(new: Node, attrs: str) -> None:
     """Sets ``drop`` of an element that never holds main text, and the words of its class and id that mark noise."""
     tag = new.tag
-    if tag in _DROPPED or tag == "header" and not _in_article(new.parent):  # a header of the page, not the head of an article
+    if tag in _DROPPED or tag == "header" and not new.inner:  # a header of the page, not the head of an article
         new.drop = True
         return
+    if tag == "form":
+        new.noise = _FORM
     if not attrs or attrs == "/":
         return
     for name, a, b, c in _ATTR.findall(attrs):
@@ -103,15 +148,23 @@ def _read(new: Node, attrs: str) -> None:
 
 
 def parse(html: str) -> Node:
-    """Element tree of a page; unclosed and stray tags are tolerated, character references are decoded."""
-    root = at = Node("#root", None, False)
+    """Element tree of a page, in linear time; unclosed and stray tags are tolerated, character references are decoded."""
+    root = Node("#root", None, False)
+    opened = _Open(root)
     foreign: Node | None = None  # the outermost open svg or math
+    tokens = _STRICT
     end = 0
     while end < len(html):
-        m = (_FOREIGN_TOKEN if foreign else _TOKEN).match(html, end)
-        end = m.end()
+        m = tokens[foreign is not None].match(html, end)
         text = m["text"]
+        if text == "<" and tokens is _STRICT and (after := html[end + 1 : end + 2]).isalpha() and after.isascii():
+            tokens = _LOOSE
+            continue
+        end = m.end()
+        at = opened.at
         if text is not None:
+            if text == "<" and tokens is _LOOSE and html.find(">", end) < 0:  # no further tag
+                text, end = html[end - 1 :], len(html)
             if not at.drop:
                 at.children.append(unescape(text) if "&" in text else text)
             continue
@@ -120,43 +173,34 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if m["close"]:
-            node: Node | None = at
-            left = False
-            while node is not None and node.tag != tag:
-                left |= node is foreign
-                node = node.parent
-            if node is not None and node.parent is not None:
-                at = node.parent
-                if left or node is foreign:
+            node = opened.last(tag)
+            if node is not None:
+                opened.close(node)
+                if foreign and opened.at.depth < foreign.depth:
                     foreign = None
             continue
         if foreign and tag in _ENDS_FOREIGN:
-            node = at
-            while node is not foreign and node.tag not in _HTML_AGAIN:
-                node = node.parent
-            if node is foreign:
-                at, foreign = foreign.parent, None
-        ends = _ENDS.get(tag, ())
-        node = at
+            if all(again is None or again.depth <= foreign.depth for again in map(opened.last, _HTML_AGAIN)):
+                opened.close(foreign)
+                foreign = None
         if foreign:
             pass
         elif tag in _BLOCK_ENDS_P:
-            while node.tag in _INLINE and node.parent is not None:
-                node = node.parent
-            if node.tag == "p" and node.parent is not None:
-                at = node.parent
-        elif ends:
-            while node.parent is not None and node.tag not in ("ul", "ol", "dl", "table", "select", "menu") and node.tag not in ends:
-                node = node.parent
-            if node.tag in ends and node.parent is not None:
-                at = node.parent
+            node = opened.last("#block")
+            if node is not None and node.tag == "p":
+                opened.close(node)
+        elif tag in _GROUPS:
+            node, scope = opened.last(_GROUPS[tag]), opened.last("#scope")
+            if node is not None and (scope is None or node.depth > scope.depth):
+                opened.close(node)
+        at = opened.at
         new = Node(tag, at, at.drop)
         if not new.drop:
             _read(new, m["attrs"])
         if not new.drop:
             at.children.append(new)
         if tag not in _VOID and not m["attrs"].endswith("/"):
-            at = new
+            opened.push(new)
             if tag in _FOREIGN and not foreign:
                 foreign = new
     return root
@@ -233,8 +277,9 @@ def _cut_noise(order: list[Node]) -> bool:
                 comments[id(around)] += held[id(node)]
     for node in marked:
         around = id(scope[id(node)])
-        share = 0.9 if has_article and not _in_article(node.parent) else 0.5
-        if id(node) in wrappers or not node.noise & _COMMENTS and held[id(node)] and held[id(node)] >= share * (held[around] - comments[around]):
+        share = 0.9 if has_article and not node.inner else 0.5
+        little = node.noise & _COMMENTS or node.noise == _FORM and held[id(node)] < FORM_POINTS
+        if id(node) in wrappers or not little and held[id(node)] and held[id(node)] >= share * (held[around] - comments[around]):
             wrappers.add(id(node))
             plain[around] += held[id(node)]
     for node in marked:
@@ -244,7 +289,7 @@ def _cut_noise(order: list[Node]) -> bool:
             plain[around] += held[id(node)]
     gone: set[int] = set()
     for node in marked:
-        if id(node) in wrappers or node.noise <= _HEADER and _in_article(node.parent):
+        if id(node) in wrappers or node.noise <= _HEADER and node.inner:
             continue
         if node.noise <= _WEAK_NOISE and node.links <= LOW_LINKS * node.size and (node.tag == "p" or node.tag in _HEADINGS or node.size >= 80):
             continue
