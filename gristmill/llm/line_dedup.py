@@ -1,7 +1,8 @@
 """Line deduplication with a deletion-neighbourhood join (DataFrame functions only).
 
-Lines are compared by their words, in lower case and without regard to white space. A line of MIN_WORDS words or more
-goes if an earlier one (by doc_id, then line number) is equal or within one word inserted, deleted or replaced.
+Lines are compared by their words, in lower case and without regard to white space. A line goes if an earlier one (by
+doc_id, then line number) is equal; with MIN_WORDS words or more it goes as well if an earlier one is within one word
+inserted, deleted or replaced. (One word of a shorter line is much of what it says.) Lines without words stay.
 
 Every variant of a line with one word left out is a hashed key. Lines with equal keys are within the bound: with the
 same word left out, one word is replaced; a variant that equals a whole line is an insertion. Each key therefore needs
@@ -44,14 +45,21 @@ def end_keys(normal: Column, own: Column, less: Column) -> list[Column]:
     return [key(own), key(-own), F.when(own != less, key(less)), F.when(own != less, key(-less))]
 
 
-def text_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, th (hash of the text), no, normal and n (words) of each line of ``min_words`` words or more."""
+def raw_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, th (hash of the text), no and line of each line of ``docs``; a null text has none."""
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].cast("string").alias("text")).where(F.col("text").isNotNull())
-    rows = rows.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    # a line's words as a one-row inner table, so that no filter makes Spark compute them twice
-    each = F.explode(F.array(F.struct(normal_line(F.col("line")).alias("normal"))))
-    rows = rows.select("doc_id", "th", "no", each.alias("each")).select("doc_id", "th", "no", "each.normal")
-    return rows.withColumn("n", word_count(F.col("normal"))).where(F.col("n") >= min_words)
+    return rows.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column from a one-row inner table: what is built on it doesn't make Spark compute it again."""
+    return df.select("*", F.explode(F.array(F.struct(value.alias(name)))).alias("_once")).select(*df.columns, F.col(f"_once.{name}").alias(name))
+
+
+def counted_words(lines: DataFrame) -> DataFrame:
+    """``lines`` with normal and n (words) in place of line; those without words are left out."""
+    out = _once(lines, "normal", normal_line(F.col("line"))).drop("line").where("normal <> ''")
+    return _once(out, "n", word_count(F.col("normal")))
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -89,9 +97,9 @@ def within_one_word(a: Column, b: Column) -> Column:
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Lines (doc_id, th, no, reason) that go: ``equal`` or ``near`` an earlier one."""
-    lines = text_lines(docs, min_words)
+    lines = counted_words(raw_lines(docs))
     lines = lines.withColumn("own", _end_length(F.col("n"))).withColumn("less", _end_length(F.col("n") - 1))
-    ends = [c.alias(f"k{i}") for i, c in enumerate(end_keys(F.col("normal"), F.col("own"), F.col("less")))]
+    ends = [F.when(F.col("n") >= min_words, c).alias(f"k{i}") for i, c in enumerate(end_keys(F.col("normal"), F.col("own"), F.col("less")))]
     keys = [f"k{i}" for i in range(len(ends))]
     met = stored(lines.select(F.xxhash64("normal").alias("h1"), F.xxhash64(F.lit(1), "normal").alias("h2"), "doc_id", "th", "no", *ends), "met-lines")
     ref = F.struct("doc_id", "th", "no")
@@ -109,18 +117,21 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     open_ = stored(open_.select(F.col("h1").alias("line"), "first", any_live("k1", "k3").alias("front"), any_live("k0", "k2").alias("back")), "open-lines")
     discard(live)
 
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(SIEVE)).cast("int")
-    sieve = open_.select(bucket("first.doc_id").alias("bucket")).distinct()
-    some = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
-    some = some.withColumn("bucket", bucket("doc_id")).join(F.broadcast(sieve), "bucket", "left_semi").drop("bucket")
+    # only the open lines are read again; the sieve spares most others the shuffle while it isn't full
+    bucket = lambda d, o: F.pmod(F.xxhash64(d, o), F.lit(SIEVE)).cast("int")
+    sieve = open_.select(bucket("first.doc_id", "first.no").alias("bucket")).distinct()
+    some = raw_lines(docs).withColumn("bucket", bucket("doc_id", "no")).join(F.broadcast(sieve), "bucket", "left_semi").drop("bucket")
     wanted = open_.select("line", "front", "back", F.col("first.doc_id").alias("d"), F.col("first.th").alias("t"), F.col("first.no").alias("o"))
-    held = text_lines(some, min_words)
-    held = held.join(wanted, held.doc_id.eqNullSafe(wanted.d) & (held.th == wanted.t) & (held.no == wanted.o))
-    held = stored(held.select("line", ref.alias("ref"), "front", "back", "n", F.split("normal", " ").alias("words")).dropDuplicates(["line"]), "held-lines")
+    some = some.withColumnRenamed("line", "raw")
+    held = some.join(wanted, some.doc_id.eqNullSafe(wanted.d) & (some.th == wanted.t) & (some.no == wanted.o))
+    held = held.select("line", ref.alias("ref"), "front", "back", "raw").dropDuplicates(["line"])
+    held = _once(held, "words", F.split(normal_line(F.col("raw")), " ")).drop("raw").withColumn("n", F.size("words"))
+    held = stored(held, "held-lines")
 
-    keyed = variants(held)
+    keyed = every = stored(variants(held), "all-variants")
     met_twice = keyed.groupBy("key").agg(F.min("line").alias("x"), F.max("line").alias("y")).where("x <> y").select("key")
     shared_keys = stored(keyed.join(met_twice, "key"), "variants")
+    discard(every)
     keyed = shared_keys.join(held.select("line", "ref"), "line")
     least = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("ref"))).alias(f"first{kind}")
     firsts = keyed.groupBy("key").agg(least(0), least(1), least(2))
@@ -136,8 +147,9 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text, ...) without repeated lines, with n_lines and n_dropped.
 
-    The lines that stay, and the order of lines, are as they were; lines of fewer than ``min_words`` words always stay.
-    A null text stays null (0 lines), an empty one empty (1 line). Rows with equal doc_id and text are one document, so
+    The lines that stay, and the order of lines, are as they were; lines without words always stay, and those of fewer
+    than ``min_words`` words go only where an earlier one is equal. A null text stays null (0 lines), an empty one empty
+    (1 line); very long texts and lines are treated whole, as a line's variants are rows of their own. Rows with equal doc_id and text are one document, so
     that repeated rows lose the same lines; a null doc_id comes before all others. Further columns pass through, under
     any name; counts get a leading underscore where their names are taken. An empty table gives no rows.
     """

@@ -86,8 +86,8 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = compon
 
 _OP9 = """WITH l AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY doc_id, no) AS ord FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM documents)),
 w AS MATERIALIZED (SELECT ord, list_filter(string_split(translate(lower(line), chr(9) || chr(11) || chr(12) || chr(13), '    '), ' '), lambda x: x <> '') AS w FROM l),
-x AS MATERIALIZED (SELECT ord, w, len(w) AS n, min(ord) OVER (PARTITION BY w) AS first FROM w WHERE len(w) >= 5),
-u AS MATERIALIZED (SELECT ord, w, n FROM x WHERE ord = first),
+x AS MATERIALIZED (SELECT ord, w, len(w) AS n, min(ord) OVER (PARTITION BY w) AS first FROM w WHERE len(w) >= 1),
+u AS MATERIALIZED (SELECT ord, w, n FROM x WHERE ord = first AND n >= 5),
 v AS MATERIALIZED (SELECT ord, 0 AS kind, md5('d' || array_to_string(w, ' ')) AS key FROM u
   UNION ALL SELECT ord, 1, md5('d' || array_to_string(w[1:i-1] || w[i+1:n], ' ')) FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM u)
   UNION ALL SELECT ord, 2, md5('s' || i || ' ' || array_to_string(w[1:i-1] || w[i+1:n], ' ')) FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM u)),
