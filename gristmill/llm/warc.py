@@ -22,8 +22,13 @@ from gristmill.llm.common import durable, shared_path
 CHUNK = 1 << 18
 #: A new archive begins when one holds so many bytes.
 ARCHIVE_BYTES = 128 << 20
+#: Larger records, and records of larger heads, are quarantined when archives are read.
+RECORD_BYTES, HEAD_BYTES = 1 << 30, 1 << 20
+#: Rows of a payload that many pages share are dealt over so many tasks.
+SALTS = 16
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
-_GZIP = b"\x1f\x8b\x08"
+_LENGTH = re.compile(rb"[0-9]{1,18}")
+_GZIP, _LINE, _BLANK = b"\x1f\x8b\x08", b"\nWARC/", b"\r\n\r\n"
 _SAME_PAYLOAD = "http://netpreservefoundation.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -95,6 +100,20 @@ class _Window:
     start: int = 0
     data: bytearray = field(default_factory=bytearray)
     ended: bool = False
+    found: dict[bytes, tuple[int, int, bool]] = field(default_factory=dict)
+
+    def find(self, what: bytes, begin: int = 0) -> int:
+        """Where ``what`` begins next in the window, or -1. No byte is searched twice."""
+        at = self.start + begin
+        low, high, hit = self.found.get(what, (0, -1, False))  # the next one is not before ``high``
+        if not low <= at <= high:
+            low, high, hit = at, at, False
+        if not hit:
+            k = self.data.find(what, high - self.start)
+            hit = k >= 0
+            high = self.start + k if hit else max(high, self.start + len(self.data) - len(what) + 1)
+        self.found[what] = low, high, hit
+        return high - self.start if hit else -1
 
     def need(self, n: int) -> bool:
         """Whether ``n`` bytes are there, after reading on."""
@@ -108,6 +127,16 @@ class _Window:
         del self.data[:n]
         self.start += n
 
+    def at(self, place: int, n: int) -> bytes:
+        """``n`` bytes from ``place`` on, counted from the window's start, without reading what lies between."""
+        if len(self.data) >= place + n or self.ended:
+            return bytes(self.data[place : place + n])
+        here = self.file.tell()
+        self.file.seek(self.start + place)
+        found = self.file.read(n)
+        self.file.seek(here)
+        return found
+
 
 def parse_record(data: bytes, offset: int = 0) -> Record:
     """The record that ``data`` holds from its first to its last byte, with lengths and digests checked."""
@@ -122,7 +151,7 @@ def parse_record(data: bytes, offset: int = 0) -> Record:
         if not colon:
             raise BadRecord("broken header line")
         headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
-    if not (length := headers.get("content-length", "")).isdigit():
+    if not _LENGTH.fullmatch((length := headers.get("content-length", "")).encode("utf-8")):
         raise BadRecord("no content length")
     n = int(length)
     if len(rest) < n:
@@ -145,11 +174,12 @@ def check_digests(record: Record) -> None:
 
 def _member(w: _Window, max_bytes: int) -> tuple[bytes, int]:
     """The data of the gzip member at the window's start, and the member's length."""
-    unpack, out, used, n = zlib.decompressobj(31), [], 0, 0
+    unpack, out, used, n, step = zlib.decompressobj(31), [], 0, 0, 512
     while not unpack.eof:
         if not w.need(used + 1):
             raise BadRecord("member cut short")
-        piece = bytes(w.data[used : used + CHUNK])
+        piece = bytes(w.data[used : used + step])
+        step = min(2 * step, CHUNK)
         try:
             got = unpack.decompress(piece)
         except zlib.error:
@@ -159,25 +189,32 @@ def _member(w: _Window, max_bytes: int) -> tuple[bytes, int]:
         n += len(got)
         if n > max_bytes:
             raise BadRecord("member too large")
+        if not n and used > 4096:  # heads of members are short
+            raise BadRecord("damaged member")
     return b"".join(out), used
 
 
 def _plain(w: _Window, max_bytes: int) -> tuple[Record, int]:
     """The record at the window's start in an archive that isn't compressed, and its length."""
-    end, seen = -1, 0
+    w.need(32)
+    if not _VERSION.match(w.data):
+        raise BadRecord("no version line")
+    end, seen = -1, 1
     while end < 0:
-        if not w.need(seen + 1) or seen > 1 << 20:
+        if not w.need(seen + 1) or seen > HEAD_BYTES:
+            raise BadRecord("header without end")
+        end, other = w.find(_BLANK), w.find(_LINE, 1)
+        if 0 <= other < (end if end >= 0 else len(w.data)):  # another record begins
             raise BadRecord("header without end")
-        end = w.data.find(b"\r\n\r\n", max(0, seen - 3))
         seen = len(w.data)
-    if not _VERSION.match(w.data):
-        raise BadRecord("no version line")
-    m = re.search(rb"(?im)^content-length:[ \t]*(\d+)[ \t]*\r?$", bytes(w.data[: end + 2]))
-    if not m:
+    m = re.search(rb"(?im)^content-length:[ \t]*([0-9]+)[ \t]*\r?$", bytes(w.data[: end + 2]))
+    if not m or not _LENGTH.fullmatch(m[1]):
         raise BadRecord("no content length")
     n = end + 4 + int(m[1]) + 4
     if n > max_bytes:
         raise BadRecord("record too large")
+    if w.at(n - 4, 4) != b"\r\n\r\n":  # a false length is found out before so much is read
+        raise BadRecord("no end of record")
     if not w.need(n):
         raise BadRecord("record cut short")
     return parse_record(bytes(w.data[:n]), w.start), n
@@ -188,7 +225,7 @@ def _resume(w: _Window) -> None:
     w.drop(min(1, len(w.data)))
     while True:
         w.need(CHUNK)
-        places = [k for k in (w.data.find(_GZIP), w.data.find(b"\nWARC/")) if k >= 0]
+        places = [k for k in (w.find(_GZIP), w.find(_LINE)) if k >= 0]
         if w.data.startswith(b"WARC/"):
             return
         if places:
@@ -201,12 +238,13 @@ def _resume(w: _Window) -> None:
         w.drop(max(0, len(w.data) - 8))
 
 
-def salvage(file: BinaryIO, max_bytes: int = 1 << 30) -> Iterator[Record | Gap]:
+def salvage(file: BinaryIO, max_bytes: int = RECORD_BYTES) -> Iterator[Record | Gap]:
     """Records of an archive, compressed by member or plain, and the gaps between them.
 
     A record that fails a check is quarantined: reading goes on at the next member or version line that holds a valid
-    record, and the bytes between are one gap with the first failure as reason. An empty file gives nothing. A record
-    of over ``max_bytes`` is quarantined as well; memory is bounded by it.
+    record, and the bytes between are one gap with the first failure as reason, whatever the bytes are. An empty file
+    gives nothing. A record of over ``max_bytes``, or with a head of over HEAD_BYTES where it isn't compressed, is
+    quarantined as well; memory is bounded by it. ``file`` is seekable.
     """
     w = _Window(file)
     bad: tuple[int, str] | None = None
@@ -245,12 +283,15 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """``pages`` (page_id, url, html) with ``first_id``: the smallest page_id among equal payloads of ``min_bytes`` or more.
 
     A null html is an empty payload. The ids are gathered by digest with map-side combining; a hot digest is one row.
+    Only digests of several rows are joined, in SALTS copies each, so that the rows of a hot one go to many tasks.
     """
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.unhex(F.sha1("payload")))
-    firsts = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    return rows.join(firsts, "digest", "left").drop("digest")
+    firsts = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    firsts = firsts.where("n > 1").select("digest", "first_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    return rows.join(firsts, ["digest", "salt"], "left").drop("digest", "salt")
 
 
 def write_archives(marked: DataFrame, folder: str) -> DataFrame:
@@ -301,12 +342,13 @@ READ = StructType([
 
 
 def _page(urn: str | None) -> int | None:
-    m = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
-    return int(m[1]) if m else None
+    m = re.fullmatch(r"<urn:page:(-?[0-9]{1,19})>", urn or "")
+    return int(m[1]) if m and -(1 << 63) <= int(m[1]) < 1 << 63 else None
 
 
-def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
+def read_archives(manifest: DataFrame, folder: str, strict: bool = False) -> DataFrame:
     """Records of the archives that ``manifest`` names, and one row of record_type ``gap`` for each quarantined range.
+    With ``strict``, a gap fails the job.
 
     The manifest has a partition for each task that wrote, so that archives are read by as many tasks.
 
@@ -321,10 +363,12 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                 with store.open_input_file(path) as file:
                     for x in salvage(file):
                         if isinstance(x, Gap):
+                            if strict:
+                                raise ValueError(f"{path}: bytes {x.start} to {x.end}: {x.reason}")
                             rows.append((None, None, None, "gap", None, path, x.start, x.end, x.reason))
                         else:
                             kind = x.headers.get("warc-type", "")
-                            stated = re.search(rb"(?i)\r\ncontent-length: *(\d+)", x.block.partition(b"\r\n\r\n")[0])
+                            stated = re.search(rb"(?i)\r\ncontent-length: *([0-9]{1,18})\r?", x.block.partition(b"\r\n\r\n")[0])
                             n, digest = (len(x.payload), base32_sha1(x.payload)) if kind != "revisit" else (int(stated[1]) if stated else None, x.headers.get("warc-payload-digest", "").partition(":")[2] or None)
                             rows.append((_page(x.headers.get("warc-record-id")), n, digest, kind, _page(x.headers.get("warc-refers-to")), path, x.offset, None, None))
                         if len(rows) >= 5000:
@@ -343,10 +387,12 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Writes every row of ``pages`` as a WARC record under the shared folder and reads the archives back.
 
-    Returns page_id, payload_bytes, payload_digest, record_type, refers_to. A null html is an empty payload, a null url
-    is left out of the record, rows that repeat a response's page_id are responses as well, other columns are ignored,
-    an empty table gives no rows.
+    Returns page_id, payload_bytes, payload_digest, record_type, refers_to, a row for each row. A null html is an empty
+    payload, a null url is left out of the record, a null page_id is written and read as such and revisits nothing
+    unless another row has its payload; rows that repeat a response's page_id and payload are responses as well. Very
+    long pages are whole records up to RECORD_BYTES; a larger one, or a record that can't be read back, fails the job
+    rather than vanish. Other columns are ignored, an empty table gives no rows.
     """
     folder = shared_path(pages.sparkSession, "warc")
     manifest = write_archives(mark_revisits(pages, min_bytes), folder)
-    return read_archives(manifest, folder).where("record_type <> 'gap'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_archives(manifest, folder, strict=True).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -55,11 +55,8 @@ def without_repeated_lines(docs, least=5):
         kept = []
         for line in (text or "").split("\n"):
             w = tuple(x for x in line_words(line) if x)
-            if len(w) >= least:
-                if not any(within_one(w, x) for x in seen):
-                    kept.append(line)
-                seen.append(w)
-            else:
+            if not w or w not in seen and not (len(w) >= least and any(len(x) >= least and within_one(w, x) for x in seen)):
                 kept.append(line)
+            seen.append(w)
         out[d] = None if text is None else "\n".join(kept)
     return out

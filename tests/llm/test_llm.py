@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 import random
+import time
 import zlib
 
 import helpers
@@ -292,6 +293,58 @@ def test_salvage(packed):
     assert len(cut) == 40 and isinstance(cut[-1], warc.Gap)
 
 
+def _plain_record(length):
+    return b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: " + length + b"\r\n\r\nabc\r\n\r\n"
+
+
+@pytest.mark.parametrize("length", [b"9" * 5000, "\u00b2".encode(), b"\xb2", b"-3", b"", b"3 3", b"0x3", b"900000000", b"9" * 18])
+@pytest.mark.parametrize("packed", [True, False])
+def test_salvage_of_false_lengths(packed, length):
+    pack = warc.gzip_member if packed else bytes
+    data = pack(_plain_record(length)) + pack(warc.make_record(1, "u", b"x"))
+    bad, good = warc.salvage(io.BytesIO(data))
+    assert isinstance(bad, warc.Gap) and good.payload == b"x" and (bad.start, bad.end) == (0, good.offset)
+
+
+_PIECES = st.sampled_from([b"WARC/1.1\r\n", b"Content-Length: 3\r\n", b"Content-Length: 99999999999999999999999\r\n", b"\r\n\r\n", b"abc", b"\x1f\x8b\x08", b"\n", b": ", warc.make_record(1, "u", b"x"), warc.gzip_member(warc.make_record(2, "u", b"y"))])
+
+
+@given(st.lists(_PIECES | st.binary(max_size=20), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_salvage_takes_any_bytes(pieces):
+    data = b"".join(pieces)
+    at = 0
+    for x in warc.salvage(io.BytesIO(data)):
+        begin, at_end = (x.start, x.end) if isinstance(x, warc.Gap) else (x.offset, None)
+        assert begin >= at
+        at = begin if at_end is None else at_end
+    whole = [x for x in pieces if x == warc.make_record(1, "u", b"x")]
+    assert not whole or any(isinstance(x, warc.Record) for x in warc.salvage(io.BytesIO(b"\n" + whole[0])))
+
+
+def test_salvage_takes_linear_time():
+    began = time.process_time()
+    for junk in (b"WARC/1.1\r\n" * 300_000, b"\x1f\x8b\x08" * 300_000, b"\nWARC/" * 300_000):
+        assert len(list(warc.salvage(io.BytesIO(junk)))) == 1
+    assert time.process_time() - began < 30
+
+
+def test_warc_reads_all_or_fails(spark, monkeypatch):
+    long_ = "long text, " * 300_000
+    df = spark.createDataFrame([(1, "u", long_), (1, "u", long_), (None, "u", "x"), (2, "u", long_)], "page_id long, url string, html string")
+    got = sorted((r["page_id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.archive_round_trip(df).collect())
+    assert got == [(0, 1, "response", None), (1, len(long_), "response", None), (1, len(long_), "response", None), (2, len(long_), "revisit", 1)]
+    folder = common.shared_path(spark, "warc")
+    manifest = warc.write_archives(warc.mark_revisits(df), folder).collect()
+    with open(manifest[0]["path"], "r+b") as f:
+        f.seek(40)
+        f.write(b"\0\0\0")
+    broken = spark.createDataFrame(manifest, warc.MANIFEST)
+    assert warc.read_archives(broken, folder).where("record_type = 'gap'").count() == 1
+    with pytest.raises(Exception, match="damaged member|differs|bytes 0 to"):
+        warc.read_archives(broken, folder, strict=True).collect()
+
+
 # --- 7 sharding ---------------------------------------------------------------------------------------------------
 
 
@@ -457,10 +510,82 @@ def test_extract_pages(spark):
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_pages(df).collect()) == [(1, "\U0001f642 ok", 4), (1, "\U0001f642 ok", 4), (2, "", 0)]
 
 
-def test_main_text_takes_linear_time():
-    html_text.main_text("<p>" * 20_000 + "x")
-    html_text.main_text('<a href="' * 5_000)
-    html_text.main_text("<!--" + "<div>" * 20_000)
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<p>" * 20_000 + "x",
+        '<a href="' * 5_000,
+        "<!--" + "<div>" * 20_000,
+        "<a" * 100_000,
+        '<svg x="' * 20_000,
+        "<script " * 20_000,
+        "<div>" * 20_000 + "<li>" * 20_000,
+        "<ul>" + "<div>" * 20_000 + "<li></li>" * 20_000,
+        "<div>" * 20_000 + "</x>" * 20_000,
+        "<b>" * 20_000 + "<div></div>" * 20_000,
+        "<div>" * 20_000 + "<header>a</header>" * 20_000,
+        "<div>" * 20_000 + "<div class=share>a</div>" * 20_000,
+        "<svg><foreignObject>" + "<g>" * 20_000 + "<p></p>" * 20_000,
+        "<table>" + "<tr><td>x" * 20_000,
+    ],
+)
+def test_main_text_takes_linear_time(html):
+    began = time.process_time()
+    html_text.main_text(html)
+    assert time.process_time() - began < 5  # a second or so; the square of these lengths would take minutes
+
+
+def test_quotes_that_never_end():
+    assert html_text.main_text('<article><p>One.</p><p title="x>Two.</p><p>Three, <b>four</b>.</p></article>') == "One. Two. Three, four."
+    assert html_text.main_text("<article><p>If a <b and c") == "If a <b and c"
+
+
+@pytest.mark.parametrize("inner", ["<div><article>{}</article></div>", "<div>{}</div>", "{}"])
+def test_form_around_the_page(inner):
+    page = "<body><form id=page>" + inner.format(BODY * 2) + "</form><div class=footer>F</div></body>"
+    assert html_text.main_text(page) == f"{TEXT} {TEXT}"
+    assert html_text.main_text(f"<article>{BODY}<form><p>Sign up, now, for more.</p></form></article>") == TEXT
+    assert html_text.main_text("<body><form><label>Name</label><p>Please, log in.</p></form></body>") == ""
+
+
+def test_comment_list():
+    assert html_text.main_text(f'<article>{BODY}<section class="commentlist"><p>I, too, agree.</p></section></article>') == TEXT
+
+
+def brute_best(html):
+    """The container with the most points, by the definition: each paragraph passes its points to its parent, and half
+    of them to its grandparent; a container's points are discounted by its share of link text."""
+    root = html_text.parse(html)
+    nodes = [root]
+    for node in nodes:
+        nodes += [x for x in node.children if isinstance(x, html_text.Node)]
+    text = lambda n: " ".join(" ".join(x if isinstance(x, str) else text(x) for x in n.children).split())
+    size = lambda n: sum(html_text._length(x) if isinstance(x, str) else size(x) for x in n.children)
+    links = lambda n: size(n) if n.tag == "a" else sum(links(x) for x in n.children if not isinstance(x, str))
+    points = dict.fromkeys(map(id, nodes), 0.0)
+    for n in nodes:
+        if n.tag == "p" and size(n):
+            commas = sum(x.count(",") for x in n.children if isinstance(x, str))
+            own = (1 + commas + min(size(n) / 100, 3)) * (1 - links(n) / size(n))
+            points[id(n.parent)] += own
+            points[id(n.parent.parent)] += own / 2
+    best = max(nodes, key=lambda n: points[id(n)] * (1 - links(n) / size(n)) if size(n) else 0.0)
+    return text(best)
+
+
+def test_scores_equal_brute_force():
+    draw = random.Random(8)
+    for _ in range(200):
+        sections = []
+        for k in range(draw.randint(1, 5)):
+            body = "".join(f"<p>{'word, ' * draw.randint(0, 9)}{'more ' * draw.randint(1, 60)}{'<a href=x>link of it</a>' * draw.randint(0, 3)}</p>" for _ in range(draw.randint(1, 4)))
+            sections.append(f"<div id=s{k}>{body}</div>")
+        page = f"<body><div><div>{''.join(sections)}</div></div></body>"
+        order = html_text._score(html_text.parse(page))
+        best = max(order, key=lambda n: n.points * (1 - n.links / n.size) if n.size else 0.0)
+        out = []
+        html_text._collect(best, out)
+        assert "".join("".join(out).split()) == brute_best(page).replace(" ", "")
 
 
 # --- 9 lines ------------------------------------------------------------------------------------------------------
@@ -484,6 +609,21 @@ def test_line_dedup_edge_cases(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_short_and_blank_lines(spark):
+    texts = [(1, "Yes\n\nno way\n \n"), (2, "yes\n\nno way now\nNO  WAY"), (3, "yes no\nyes")]
+    rows = line_dedup.dedup_lines(docs_of(spark, texts)).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == helpers.without_repeated_lines(texts) == {1: "Yes\n\nno way\n \n", 2: "\nno way now", 3: "yes no"}
+
+
+def test_line_dedup_of_a_hot_variant_and_a_long_line(spark):
+    """Lines that all share one variant, and one line of many words with a copy that lacks one."""
+    same = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the same four words "), F.col("id")).alias("text"))
+    long_ = " ".join(f"w{k}" for k in range(100_000))
+    other = spark.createDataFrame([(30_000, long_), (30_001, long_.replace(" w77777 ", " "))], "doc_id long, text string")
+    out = line_dedup.dedup_lines(same.union(other)).where("n_dropped = 0").collect()
+    assert sorted(r["doc_id"] for r in out) == [0, 30_000]
+
+
 # --- 10 near duplicates -------------------------------------------------------------------------------------------
 
 
