@@ -3,9 +3,12 @@
 import base64
 import hashlib
 import io
+import math
 import random
+import re
 import time
 import zlib
+from collections import Counter
 
 import helpers
 import numpy as np
@@ -254,6 +257,71 @@ def test_licence_lines_of_documents(spark):
         assert r["licence"] in stated if stated else r["licence"] is None
 
 
+def brute_licence(text):
+    """The licence of the unit with the highest cosine of dense TF-IDF vectors, all units against all templates."""
+    counted = [Counter(licenses.terms(t)) for _, t in licenses.TEMPLATES]
+    n = len(counted)
+    idf = lambda t: math.log((1 + n) / (1 + sum(t in c for c in counted))) + 1
+    parts = [text]
+    parts += re.split(r"\n\s*\n", text)
+    parts += text.split("\n")
+    parts += [x for line in text.split("\n") for x in re.split(r"(?<=[.!?;])\s+|\s\|\s", line)]
+    best = (0.0, None)
+    for part in parts:
+        v = {t: k * idf(t) for t, k in Counter(licenses.terms(part)).items()}
+        for c, (name, _) in zip(counted, licenses.TEMPLATES, strict=True):
+            u = {t: k * idf(t) for t, k in c.items()}
+            if v:
+                cosine = sum(x * v.get(t, 0) for t, x in u.items()) / math.sqrt(sum(x * x for x in u.values()) * sum(x * x for x in v.values()))
+                if cosine >= licenses.MIN_COSINE and cosine > best[0] + 1e-9:
+                    best = (cosine, name)
+    return best
+
+
+def test_licence_cosines_equal_brute_force():
+    draw = random.Random(5)
+    known = licenses.Templates(licenses.TEMPLATES)
+    texts = ["Released under the MIT License " * 40 + "x" + " y".join(map(str, range(900)))]
+    for _ in range(150):
+        _, notice = draw.choice(licenses.TEMPLATES)
+        body = notice.split()
+        for _ in range(draw.randint(0, 6)):
+            body.insert(draw.randrange(len(body) + 1), draw.choice(("other", "words", "the", "software")))
+        del body[draw.randrange(len(body)) :: draw.randint(3, 30)]
+        texts.append(draw.choice((" ", "\n", "\n\n")).join([" ".join(draw.choices(("lorem", "ipsum", "the", "of"), k=draw.randint(0, 50))), " ".join(body), "End. Of it | all"]))
+    for text in texts:
+        licence, cosine, _ = licenses.scan_text(text, known)
+        expected, name = brute_licence(text)
+        assert cosine == pytest.approx(expected, abs=1e-9)
+        assert (licence is None) == (name is None)
+        assert licence == name or expected < 1
+
+
+@pytest.mark.parametrize(
+    ("text", "licence"),
+    [
+        ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"),
+        ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+        ("This is not licensed under the MIT License.", None),
+        ("It is no longer released under the MIT License.", None),
+        ("# SPDX-License-Identifier: MIT\nx = 1", "MIT"),
+        ("/* SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */", "GPL-2.0-only WITH Classpath-exception-2.0"),
+        ("// spdx-license-identifier: (MIT OR Apache-2.0)", "MIT OR Apache-2.0"),
+        ("Copyright 2020\n\n" + next(t for n, t in reversed(licenses.TEMPLATES) if n == "MIT"), "MIT"),
+        ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n\nPreamble and more of it", "AGPL-3.0"),
+        ("words " * 50_000 + "\nReleased under the MIT License.", "MIT"),
+    ],
+)
+def test_licence_units(text, licence):
+    assert licenses.scan_text(text, licenses.Templates(licenses.TEMPLATES))[0] == licence
+
+
+def test_a_document_that_is_a_licence_holds_for_its_directory(spark):
+    rows = [(1, "Released under the MIT License.", "en", "s"), (2, "Prose.", "en", "s"), (3, "Long prose of many words comes first.\nReleased under the MIT License.", "de", "s"), (4, "Prose.", "de", "s"), (None, "Prose.", None, "s")]
+    got = {r["doc_id"]: (r["holds"], r["origin"]) for r in licenses.document_licences(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("MIT", "own"), 4: (None, "none"), None: (None, "none")}
+
+
 # --- 6 WARC -------------------------------------------------------------------------------------------------------
 
 
