@@ -5,10 +5,9 @@ BLOCKS blocks, and an item is indexed under every value of a block that differs
 bits, so that equal block values find all windows within RADIUS bits. Weighted Jaccard similarity of the five-word
 shingles (weight: how often a shingle occurs) of window and item then decides.
 
-Only windows that could pass are fingerprinted: those of which so many shingles are an item's, wherever they lie, that
-the similarity can be reached. As so few shingles of the item may lack, one of any few more is in the window; the rarest
-of the item are looked up, and its shingles are counted around the places where they are found. This loses no window
-that passes, whatever the order of its words.
+Of the windows of an item's size, those without any of its shingles can't be similar and aren't fingerprinted. As few of
+the item's shingles may lack, one of any few more is in the window: only its rarest are looked up. All windows that hold
+one of them are fingerprinted, wherever they lie and whatever their order of words.
 
 The fingerprints do lose some: of windows just above 0.8, about one in a hundred lies beyond RADIUS (see the README).
 """
@@ -17,13 +16,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -34,8 +33,11 @@ BLOCKS, BLOCK_ERRORS = 4, 3
 RADIUS = BLOCKS * (BLOCK_ERRORS + 1) - 1
 BLOCK_BITS = 64 // BLOCKS
 MIN_SIMILARITY = 0.8
-#: Benchmark shingles that are sent to the workers at once; a larger benchmark takes several passes over the documents.
+#: Words of benchmark items that are sent to the workers at once, about 30 bytes each; a larger benchmark takes several
+#: passes over the documents.
 SEEDS_PER_PASS = 2_000_000
+#: Windows are made and sent on in batches of about so many; candidates of a document are verified so many at a time.
+WINDOW_BATCH, CANDIDATE_BATCH = 20_000, 1_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -50,60 +52,66 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def needed(m: int, n: int, similarity: float) -> int:
-    """How many shingles an item of ``m`` and a window of ``n`` shingles share at least if they are so similar."""
-    return math.ceil(similarity * (m + n) / (1 + similarity) - 1e-9)
+def simhashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """SimHashes of all runs of ``n`` of a sequence of word hashes, by running sums of their bits."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
+    return np.packbits(2 * (sums[n:] - sums[:-n]) > n, axis=1, bitorder="little").view("<i8").reshape(-1)
 
 
 class Seeds:
-    """Shingles of items (size, words), and for each item the rarest of them, one of which every window like it holds."""
-
-    def __init__(self, items: list[tuple[int, str]], similarity: float):
-        all_of = [np.sort(shingles(word_hashes(line.split()))) for _, line in items]
-        own = [np.unique(x) for x in all_of]
-        names, frequency = np.unique(np.concatenate([*own, np.zeros(0, np.uint64)]), return_counts=True)
+    """Items (key, size, words): the shingles of each with their numbers, and by shingle the items of which it is one of
+    the rarest; every window like an item holds one of these. All are sorted arrays."""
+
+    def __init__(self, items: list[tuple[int, int, str]], similarity: float):
+        none = np.zeros(0, np.uint64)
+        all_of = [np.sort(shingles(word_hashes(line.split()))) for _, _, line in items]
+        own = [np.unique(x, return_counts=True) for x in all_of]
+        names, frequency = np.unique(np.concatenate([*[x for x, _ in own], none]), return_counts=True)
         rare = []
         for x in all_of:
             # a window of a document shorter than the item has the fewest of its shingles
             n = len(x) - math.ceil(similarity * len(x) - 1e-9) + 1
             rare.append(np.unique(x[np.argsort(frequency[np.searchsorted(names, x)], kind="stable")[:n]]))
-        self.sizes = [size for size, _ in items]
-        self.shingles = np.concatenate([*own, np.zeros(0, np.uint64)])
-        self.ends = np.cumsum([0, *map(len, own)])
-        found = np.concatenate([*rare, np.zeros(0, np.uint64)])
+        self.places = {key: k for k, (key, _, _) in enumerate(items)}
+        self.sizes = [size for _, size, _ in items]
+        self.shingles = np.concatenate([*[x for x, _ in own], none])
+        self.counts = np.concatenate([*[n for _, n in own], np.zeros(0, np.int64)])
+        self.ends = np.cumsum([0, *[len(x) for x, _ in own]])
+        found = np.concatenate([*rare, none])
         order = np.argsort(found, kind="stable")
         self.known, first = np.unique(found[order], return_index=True)
         self.first = np.append(first, len(found))
         self.items = np.repeat(np.arange(len(items)), [len(x) for x in rare])[order]
 
-    def windows(self, found: np.ndarray, n_words: int, similarity: float) -> list[tuple[int, int]]:
-        """Start and size in words of every window that shares enough shingles with an item, for a document's shingles."""
+    def runs(self, found: np.ndarray, n_words: int) -> Iterator[tuple[int, int, int]]:
+        """Size in words, first and last start of the windows that hold a rare shingle of an item of that size, for a
+        document's shingles ``found``; a document that is shorter than an item is one window."""
         if not len(found) or not len(self.known):
-            return []
+            return
         near = np.minimum(np.searchsorted(self.known, found), len(self.known) - 1)
-        places: dict[int, list[int]] = {}
+        spans: dict[int, list[list[int]]] = {}
         for p in np.flatnonzero(self.known[near] == found).tolist():
-            for item in self.items[self.first[near[p]] : self.first[near[p] + 1]].tolist():
-                places.setdefault(item, []).append(p)
-        wanted: set[tuple[int, int]] = set()
-        for item, at in places.items():
-            size = self.sizes[item]
-            n = min(size, n_words)
-            m = max(1, n - WORDS + 1)
-            least = needed(max(1, size - WORDS + 1), m, similarity)
-            own = self.shingles[self.ends[item] : self.ends[item + 1]]
-            runs: list[list[int]] = []  # first and last start of windows that hold a rare shingle
-            for p in at:
+            for n in {min(self.sizes[k], n_words) for k in self.items[self.first[near[p]] : self.first[near[p] + 1]].tolist()}:
+                m = max(1, n - WORDS + 1)
                 low, high = max(0, p - m + 1), min(p, len(found) - m)
-                if runs and low <= runs[-1][1] + 1:
-                    runs[-1][1] = max(runs[-1][1], high)
+                some = spans.setdefault(n, [])
+                if some and low <= some[-1][1] + 1:
+                    some[-1][1] = max(some[-1][1], high)
                 else:
-                    runs.append([low, high])
-            for low, high in runs:
-                part = found[low : high + m]
-                shared = np.append(0, np.cumsum(own[np.minimum(np.searchsorted(own, part), len(own) - 1)] == part))
-                wanted.update((low + start, n) for start in np.flatnonzero(shared[m:] - shared[:-m] >= least).tolist())
-        return sorted(wanted)
+                    some.append([low, high])
+        for n, some in spans.items():
+            for low, high in some:
+                yield n, low, high
+
+    def similarity(self, key: int, found: np.ndarray) -> float:
+        """Weighted Jaccard similarity of the item ``key`` and a window's shingles."""
+        k = self.places[key]
+        own, times = self.shingles[self.ends[k] : self.ends[k + 1]], self.counts[self.ends[k] : self.ends[k + 1]]
+        names, n = np.unique(found, return_counts=True)
+        at = np.minimum(np.searchsorted(own, names), len(own) - 1)
+        both = int(np.where(own[at] == names, np.minimum(times[at], n), 0).sum())
+        return both / max(1, int(times.sum()) + len(found) - both)
 
 
 ITEMS = StructType([StructField("item_id", LongType()), StructField("size", IntegerType()), StructField("fp", LongType()), StructField("words", StringType())])
@@ -113,8 +121,9 @@ WINDOWS = StructType([
     StructField("start", IntegerType()),
     StructField("size", IntegerType()),
     StructField("fp", LongType()),
-    StructField("words", StringType()),
     StructField("whole", BooleanType()),
+    StructField("run", IntegerType()),
+    StructField("words", StringType()),
 ])
 
 
@@ -132,36 +141,55 @@ def fingerprint_items(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text")).mapInArrow(run, ITEMS)
 
 
-def windows(docs: DataFrame, items: list[tuple[int, str]], similarity: float) -> DataFrame:
-    """Fingerprinted windows of ``docs`` for ``items`` (size, words): item-sized runs of words that share enough shingles.
+def windows(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """Fingerprints of the item-sized windows of ``docs`` that hold a rare shingle of an item of ``shared`` Seeds.
 
-    A document that is shorter than an item is one window. A fewer-than-five-word item is one shingle, so that it meets
-    only documents of just those words.
+    Windows that overlap are one run, named by its first start; its words are a row of their own, with null start and
+    fingerprint. A fewer-than-five-word item is one shingle, so that it meets only documents of just those words.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Seeds(items, similarity))
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.bool_())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = shared.value
+        held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            at = pa.array(np.repeat(np.arange(len(held)), [x[0] for x in held]))
+            columns = []
+            for k, f in enumerate(WINDOWS.fields):
+                kind = {LongType(): pa.int64(), IntegerType(): pa.int32(), BooleanType(): pa.bool_(), StringType(): pa.string()}[f.dataType]
+                if f.name in ("start", "fp"):  # each window has its own
+                    columns.append(pa.concat_arrays([pa.nulls(1, kind) if x[k + 1] is None else pa.array(x[k + 1], kind) for x in held] or [pa.nulls(0, kind)]))
+                else:
+                    columns.append(pa.array([x[k + 1] for x in held], kind).take(at))
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, WINDOWS.names)
+
         for batch in batches:
             for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
-                rows = []
+                n_held = 0
                 for doc, th, text in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
                     w = words(text)
                     h = word_hashes(w)
-                    for start, n in seeds.windows(shingles(h), len(w), similarity):
-                        rows.append((doc, th, start, n, simhash(h[start : start + n]), " ".join(w[start : start + n]), n == len(w)))
-                    if len(rows) > 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], WINDOWS.names)
-                        rows = []
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], WINDOWS.names)
+                    for n, low, high in seeds.runs(shingles(h), len(h)):
+                        whole = n == len(h)
+                        held.append((1, doc, th, None, n, None, whole, low, " ".join(w[low : high + n])))
+                        for begin in range(low, high + 1, WINDOW_BATCH):
+                            end = min(begin + WINDOW_BATCH, high + 1)
+                            held.append((end - begin, doc, th, np.arange(begin, end), n, simhashes(h[begin : end + n - 1], n), whole, low, None))
+                            n_held += end - begin + 1
+                            if n_held >= WINDOW_BATCH:
+                                yield flush()
+                                n_held = 0
+                yield flush()
 
     text = docs["text"].cast("string")
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(run, WINDOWS)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return rows.mapInArrow(run, WINDOWS)
 
 
 def within_radius(found: DataFrame, items: DataFrame) -> DataFrame:
-    """Pairs of distinct windows (wh, size, fp, whole) and ``items`` within RADIUS bits, by equal block values.
+    """Pairs of distinct fingerprints (fp, size, whole) and ``items`` (key, size, fp) within RADIUS bits, by equal block
+    values: fp, size, whole, key.
 
     A window has its item's size, or is a whole document that is shorter.
     """
@@ -170,58 +198,87 @@ def within_radius(found: DataFrame, items: DataFrame) -> DataFrame:
     block = lambda b: F.shiftrightunsigned("fp", b * BLOCK_BITS).bitwiseAND(F.lit(low)) + F.lit(b << BLOCK_BITS)
     blocks = F.array(*[block(b) for b in range(BLOCKS)])
     index = items.withColumn("block", F.explode(blocks)).withColumn("mask", F.explode(F.array(*[F.lit(m) for m in masks])))
-    index = index.select("item_id", F.col("size").alias("item_size"), F.col("fp").alias("item_fp"), F.col("words").alias("item_words"), F.col("block").bitwiseXOR(F.col("mask").cast("long")).alias("block"))
+    index = index.select("key", F.col("size").alias("item_size"), F.col("fp").alias("item_fp"), F.col("block").bitwiseXOR(F.col("mask").cast("long")).alias("block"))
     keyed = found.withColumn("block", F.explode(blocks))
-    pairs = keyed.join(index.drop("item_words"), "block").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
+    pairs = keyed.join(index, "block").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
     pairs = pairs.where((F.col("size") == F.col("item_size")) | (F.col("whole") & (F.col("size") < F.col("item_size"))))
-    return pairs.select("wh", "item_id", "item_fp", "item_size").distinct()
+    return pairs.select("fp", "size", "whole", "key").distinct()
+
+
+FOUND = StructType([
+    StructField("doc_id", LongType()),
+    StructField("th", LongType()),
+    StructField("key", LongType()),
+    StructField("start", IntegerType()),
+    StructField("n_words", IntegerType()),
+    StructField("similarity", DoubleType()),
+])
+
+
+def verified(candidates: DataFrame, runs: DataFrame, shared: Broadcast, similarity: float) -> DataFrame:
+    """Those of ``candidates`` (doc_id, th, size, run, start, key) that are similar enough, with their similarity.
 
+    The words of a run (``runs``: doc_id, th, size, run, words) meet its candidates CANDIDATE_BATCH at a time, so that
+    neither is repeated much or gathered without bound.
+    """
+    of_run = ["doc_id", "th", "size", "run"]
+    numbered = candidates.distinct().withColumn("part", F.floor((F.row_number().over(Window.partitionBy(*of_run).orderBy("start", "key")) - 1) / CANDIDATE_BATCH))
+    grouped = numbered.groupBy(*of_run, "part").agg(F.collect_list(F.struct("key", "start")).alias("some"))
+    held = runs.dropDuplicates(of_run).select(F.col("doc_id").alias("d"), F.col("th").alias("t"), F.col("size").alias("s"), F.col("run").alias("r"), "words")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")) & (F.col("size") == F.col("s")) & (F.col("run") == F.col("r"))
+    rows = grouped.join(held, same)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = shared.value
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
+        for batch in batches:
+            for doc, th, size, run, some, line in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                h = shingles(word_hashes(line.split()))
+                out = []
+                for x in some:
+                    found = seeds.similarity(x["key"], h[x["start"] - run :][: max(1, size - WORDS + 1)])
+                    if found >= similarity:
+                        out.append((doc, th, x["key"], x["start"], size, found))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], FOUND.names)
 
-def weighted_similarity(a: str, b: str) -> float:
-    """Weighted Jaccard similarity of the shingles of two strings of words."""
-    x, y = (Counter(shingles(word_hashes(t.split())).tolist()) for t in (a, b))
-    return (x & y).total() / max(1, (x | y).total())
+    return rows.select(*of_run, "some", "words").mapInArrow(compare, FOUND)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_SIMILARITY) -> DataFrame:
     """The best window of ``docs`` (doc_id, text) for each benchmark item (item_id, text) it holds.
 
     Returns doc_id, th (xxhash64 of the text), item_id, start and n_words (in words), similarity. Null, empty and
-    wordless texts and items match nothing; of equally similar windows the first counts; repeated rows count once; ties
-    between items give a row each; an empty table on either side gives no rows. Other columns are ignored.
+    wordless texts and items match nothing; very long texts and items are searched whole; of equally similar windows the
+    first counts; repeated rows count once; a null doc_id or item_id is an id like any other; ties between items give a
+    row each; an empty table on either side gives no rows. Other columns are ignored.
     """
-    items = stored(fingerprint_items(benchmark), "items")
+    items = stored(fingerprint_items(benchmark).distinct().withColumn("key", F.xxhash64("item_id", "words")), "items")
     total = items.agg(F.sum("size")).first()[0] or 0
     passes = -(-total // SEEDS_PER_PASS)
-    match = StructType([StructField("wh", LongType()), StructField("item_id", LongType()), StructField("similarity", DoubleType())])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wh, item, a, b = (batch.column(k).to_pylist() for k in range(4))
-            yield pa.RecordBatch.from_arrays([pa.array(wh, pa.int64()), pa.array(item, pa.int64()), pa.array([weighted_similarity(x, y) for x, y in zip(a, b, strict=True)], pa.float64())], match.names)
-
     found = None
     for k in range(passes):
-        some = items.where(F.pmod(F.xxhash64("words"), F.lit(passes)) == k)
-        sent = [(r["size"], r["words"]) for r in some.select("size", "words").distinct().toLocalIterator()]
-        rows = stored(windows(docs, sent, similarity).withColumn("wh", F.xxhash64("words", "whole")), "windows")
-        distinct = rows.groupBy("wh").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("whole").alias("whole"))
-        near = within_radius(distinct, some)
-        texts = rows.groupBy("wh").agg(F.min("words").alias("words"))
-        pairs = near.join(texts, "wh").join(some.select("item_id", F.col("fp").alias("item_fp"), F.col("words").alias("item_words")), ["item_id", "item_fp"])
-        good = pairs.select("wh", "item_id", "words", "item_words").mapInArrow(compare, match).where(F.col("similarity") >= similarity)
-        hits = rows.select("doc_id", "th", "start", "size", "wh").join(good, "wh")
-        best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "size")).alias("m")
-        hits = hits.groupBy("doc_id", "th", "item_id").agg(best)
-        hits = hits.select("doc_id", "th", "item_id", (-F.col("m.before")).alias("start"), F.col("m.size").alias("n_words"), "m.similarity")
+        some = items.where(F.pmod(F.col("key"), F.lit(passes)) == k)
+        sent = [(r["key"], r["size"], r["words"]) for r in some.select("key", "size", "words").toLocalIterator()]
+        shared = docs.sparkSession.sparkContext.broadcast(Seeds(sent, similarity))
+        rows = stored(windows(docs, shared), "windows")
+        found_windows = rows.where("words is null")
+        near = stored(within_radius(found_windows.select("fp", "size", "whole").distinct(), some.select("key", "size", "fp")), "near")
+        candidates = found_windows.join(near, ["fp", "size", "whole"]).select("doc_id", "th", "size", "run", "start", "key")
+        good = verified(candidates, rows.where("words is not null"), shared, similarity)
+        best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n_words")).alias("m")
+        hits = good.groupBy("doc_id", "th", "key").agg(best).join(some.select("key", "item_id"), "key")
+        hits = hits.select("doc_id", "th", "item_id", (-F.col("m.before")).alias("start"), "m.n_words", "m.similarity")
         hits = stored(hits, "hits")
-        discard(rows)
+        discard(rows, near)
+        shared.destroy()
         found = hits if found is None else found.union(hits)
     discard(items)
     if found is None:
         empty = "doc_id long, th long, item_id long, start int, n_words int, similarity double"
         return docs.sparkSession.createDataFrame([], empty)
-    return found
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n_words")).alias("m")
+    found = found.groupBy("doc_id", "th", "item_id").agg(best)
+    return found.select("doc_id", "th", "item_id", (-F.col("m.before")).alias("start"), "m.n_words", "m.similarity")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_SIMILARITY) -> DataFrame:

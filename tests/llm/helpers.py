@@ -1,6 +1,7 @@
 """Brute-force versions of what the corpus operators find."""
 
 import re
+from collections import Counter
 from itertools import combinations
 
 A_TO_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -15,6 +16,13 @@ def shingle_set(text, k=5):
     return {tuple(w)} - {()} if len(w) < k else {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
 
 
+def weighted_similarity(a, b, k=5):
+    """Weighted Jaccard similarity of the shingles of two strings of words."""
+    bag = lambda w: Counter([tuple(w)] if 0 < len(w) < k else zip(*(w[i:] for i in range(k)), strict=False))
+    x, y = bag(a.split()), bag(b.split())
+    return (x & y).total() / max(1, (x | y).total())
+
+
 def components(ids, links):
     up = {i: i for i in ids}
 

@@ -76,7 +76,7 @@ def test_decontamination_equals_brute_force(spark):
         for i, line in items:
             want = decontam.words(line)
             n = min(len(have), len(want)) if len(want) >= 5 or have == want else 0
-            best = max((decontam.weighted_similarity(" ".join(have[s : s + n]), " ".join(want)) for s in range(len(have) - n + 1)), default=0) if n else 0
+            best = max((helpers.weighted_similarity(" ".join(have[s : s + n]), " ".join(want)) for s in range(len(have) - n + 1)), default=0) if n else 0
             if best >= 0.8:
                 expected[d, i] = best
     docs, benchmark = docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")
@@ -106,7 +106,7 @@ def test_decontamination_of_reordered_items(spark):
         have = t.split()
         for i, line in items:
             n = min(len(have), len(line.split()))
-            best = max((decontam.weighted_similarity(" ".join(have[s : s + n]), line), -s) for s in range(len(have) - n + 1))
+            best = max((helpers.weighted_similarity(" ".join(have[s : s + n]), line), -s) for s in range(len(have) - n + 1))
             if best[0] >= 0.8:
                 expected[d, i] = (best[0], -best[1])
     assert {(10 * i + k, i) for i in range(7) for k in range(4)} <= expected.keys()
@@ -117,15 +117,46 @@ def test_decontamination_of_reordered_items(spark):
 def test_block_index_finds_all_within_radius(spark):
     draw = random.Random(2)
     fp = lambda: draw.getrandbits(64) - (1 << 63)
-    items = [(k, 5, fp(), "x") for k in range(8)]
+    items = [(k, 5, fp()) for k in range(8)]
     found = []
     for k in range(200):
         x = items[k % 8][2] & (2**64 - 1)
         for b in draw.sample(range(64), draw.randint(0, 20)):
             x ^= 1 << b
         found.append((k, x - (1 << 64) if x >> 63 else x, 5, False))
-    got = {(r["wh"], r["item_id"]) for r in decontam.within_radius(spark.createDataFrame(found, "wh long, fp long, size int, whole boolean"), spark.createDataFrame(items, decontam.ITEMS)).collect()}
-    assert got == {(k, i) for k, x, _, _ in found for i, _, y, _ in items if ((x ^ y) & (2**64 - 1)).bit_count() <= decontam.RADIUS}
+    near = decontam.within_radius(spark.createDataFrame(found, "n long, fp long, size int, whole boolean").drop("n"), spark.createDataFrame(items, "key long, size int, fp long"))
+    assert {(r["fp"], r["key"]) for r in near.collect()} == {(x, i) for _, x, _, _ in found for i, _, y in items if ((x ^ y) & (2**64 - 1)).bit_count() <= decontam.RADIUS}
+
+
+def test_simhashes_of_windows():
+    h = shingles.word_hashes([f"w{k % 37}" for k in range(200)])
+    for n in (1, 5, 40, 200):
+        assert decontam.simhashes(h, n).tolist() == [decontam.simhash(h[k : k + n]) for k in range(201 - n)]
+
+
+def test_decontamination_of_long_texts_and_null_ids(spark):
+    """An item of 3,000 words in a document of 20,000, with some words changed; null ids and clashing columns."""
+    draw = random.Random(12)
+    w = [f"w{k}" for k in range(50_000)]
+    item = draw.sample(w, 3000)
+    part = list(item)
+    for k in range(0, 3000, 150):
+        part[k] = "changed"
+    text = " ".join(draw.sample(w, 12_000) + part + draw.sample(w, 5000))
+    short = "one two three four five six seven eight"
+    docs = docs_of(spark, [(1, text), (None, f"x {short} y"), (2, "nothing here")]).withColumn("fp", F.lit(1)).withColumn("key", F.lit(2)).withColumn("th", F.lit("t")).withColumn("words", F.lit(0))
+    benchmark = spark.createDataFrame([(7, " ".join(item), 1), (None, short, 1), (8, None, 1)], "item_id long, text string, size int")
+    got = {(r["doc_id"], r["item_id"]): (r["start"], r["n_words"], r["similarity"]) for r in decontam.contaminations(docs, benchmark).collect()}
+    assert got == {(1, 7): (12_000, 3000, pytest.approx(helpers.weighted_similarity(" ".join(part), " ".join(item)))), (None, None): (1, 8, 1.0)}
+    assert [r["doc_id"] for r in decontam.decontaminate(docs, benchmark).collect()] == [2]
+
+
+def test_decontamination_takes_passes(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "SEEDS_PER_PASS", 30)
+    items = [(k, " ".join(f"w{10 * k + j}" for j in range(10))) for k in range(12)]
+    docs = docs_of(spark, [(k, f"a b {line} c d") for k, line in items])
+    found = decontam.contaminations(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["start"]) for r in found) == [(k, k, 2) for k in range(12)]
 
 
 # --- 2 embeddings -------------------------------------------------------------------------------------------------
@@ -769,7 +800,7 @@ def test_pipeline_equals_brute_force(spark):
             if not set(zip(*(have[k:] for k in range(5)), strict=False)) & set(zip(*(want[k:] for k in range(5)), strict=False)):
                 continue
             n = min(len(have), len(want))
-            if any(decontam.weighted_similarity(" ".join(have[s : s + n]), " ".join(want)) >= 0.8 for s in range(len(have) - n + 1)):
+            if any(helpers.weighted_similarity(" ".join(have[s : s + n]), " ".join(want)) >= 0.8 for s in range(len(have) - n + 1)):
                 return True
         return False
 
