@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,18 +16,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session (``spark.checkpoint.dir``), as a URI; a temporary one is set only where none is given."""
+    """The shared folder of the session (``spark.checkpoint.dir``), as a URI.
+
+    Where none is given, a temporary one is set in local mode, as in tests; on a cluster that is an error, since executors
+    don't share local folders.
+    """
     given = spark.conf.get("spark.checkpoint.dir", None)
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isEmpty():
+        if not given and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-"))
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
     return held.get()
 
 
+_WRITTEN: list[str] = []
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new path under the shared folder; ``clean_up`` deletes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all that the corpus operators have written to the shared folder in this process.
+
+    Results of operators that haven't been written elsewhere can't be read after that.
+    """
+    while _WRITTEN:
+        _delete(spark, _WRITTEN.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -65,9 +91,9 @@ def discard(*tables: DataFrame | None) -> None:
     """Deletes tables that ``stored`` wrote and that no plan reads any more; others are left alone."""
     for df in tables:
         if path := getattr(df, "_stored_at", None):
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(df.sparkSession, path)
+            if path in _WRITTEN:
+                _WRITTEN.remove(path)
 
 
 def components(edges: DataFrame) -> DataFrame:

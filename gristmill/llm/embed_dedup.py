@@ -23,8 +23,8 @@ from gristmill.llm.linking import link_by_keys
 from gristmill.llm.shingles import mix
 
 TABLES, BLOCKS, PROBES, SCALE, SEED = 8, 3, 8, 0.5, 20240607
-#: Vectors of a component are compared in blocks of about so many.
-BLOCK_ROWS = 1024
+#: Vectors of a component are compared in blocks of about so many, SLICE_ROWS of them at a time.
+BLOCK_ROWS, SLICE_ROWS = 4096, 512
 
 
 @lru_cache(maxsize=8)
@@ -65,13 +65,25 @@ def cells(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+    """Rows of lists of one length, without nulls."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.sqrt((m * m).sum(1))[:, None]
 
 
+def moderate(vector: Column) -> Column:
+    """``vector`` in double precision, scaled by a power of two where its squares would leave the range of doubles.
+
+    Scaling changes no cosine, and a power of two rounds nothing (but for components far below the largest).
+    """
+    doubles = vector.cast("array<double>")
+    most = F.array_max(F.transform(doubles, F.abs))
+    factor = F.pow(F.lit(2.0), F.least(-F.floor(F.log2(most)), F.lit(1023)))
+    return F.when((most > 1e100) | (most < 1e-100), F.transform(doubles, lambda x: x * factor)).otherwise(doubles)
+
+
 CELLS = StructType([StructField("id", LongType()), StructField("homes", ArrayType(LongType())), StructField("probes", ArrayType(LongType()))])
 
 
@@ -129,13 +141,15 @@ def count_links(members: DataFrame, threshold: float) -> DataFrame:
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         left = np.flatnonzero(block == i)
         right = left if i == j else np.flatnonzero(block == j)
-        linked = unit[left] @ unit[right].T >= threshold
-        if i == j:
-            np.fill_diagonal(linked, False)
-            out_ids, out = ids[left], linked @ times[right]
-        else:
-            out_ids, out = np.concatenate([ids[left], ids[right]]), np.concatenate([linked @ times[right], linked.T @ times[left]])
-        return pa.table({"id": out_ids, "links": out.astype(np.int64)})
+        of_left, of_right = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+        for at in range(0, len(left), SLICE_ROWS):
+            some = slice(at, at + SLICE_ROWS)
+            linked = unit[left[some]] @ unit[right].T >= threshold
+            of_left[some] = linked @ times[right]
+            of_right += times[left[some]] @ linked
+        if i == j:  # each vector has met itself
+            return pa.table({"id": ids[left], "links": of_left - times[left]})
+        return pa.table({"id": np.concatenate([ids[left], ids[right]]), "links": np.concatenate([of_left, of_right])})
 
     return rows.groupBy("component", "i", "j").applyInArrow(run, LINKS).groupBy("id").agg(F.sum("links").alias("links"))
 
@@ -145,12 +159,13 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame:
 
     Returns vec_id, n_links (other vectors linked directly), component_id (smallest vec_id reachable, its own included)
     and kept (vec_id = component_id). Vectors that are null, empty, zero or hold null or non-finite components link with
-    nothing, nor do vectors of different lengths; they are kept. Equal vectors are one class from the start. Rows that
-    repeat a vec_id and vector are one vector; a null vec_id links with nothing and is kept. Labels and other columns
-    are ignored; an empty table gives no rows.
+    nothing, nor do vectors of different lengths; they are kept. Very large and very small components are scaled first,
+    so that no square overflows; very long vectors are compared whole. Equal vectors are one class from the start. Rows
+    that repeat a vec_id and vector are one vector; a null vec_id links with nothing and is kept. Labels and other
+    columns are ignored; an empty table gives no rows.
     """
     rows = embeddings.select(embeddings["vec_id"].cast("long").alias("vec_id"), embeddings["embedding"].alias("vector"))
-    good = rows.where(usable(F.col("vector")) & F.col("vec_id").isNotNull()).withColumn("h1", F.xxhash64("vector")).withColumn("h2", F.xxhash64(F.lit(1), "vector"))
+    good = rows.where(usable(F.col("vector")) & F.col("vec_id").isNotNull()).withColumn("vector", moderate(F.col("vector"))).withColumn("h1", F.xxhash64("vector")).withColumn("h2", F.xxhash64(F.lit(1), "vector"))
     classes = good.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("times"))
     reps = good.join(classes, ["h1", "h2"]).where("vec_id = id").dropDuplicates(["h1", "h2"]).select("id", "times", "vector", "h1", "h2")
     reps = stored(reps, "vectors")

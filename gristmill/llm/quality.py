@@ -2,8 +2,10 @@
 
 A text's strength is a linear function of features of the text. Of a good and a bad text, the good one is preferred with
 the logistic of the difference of their strengths; the weights minimise the logistic loss over such pairs. The texts'
-rank order comes from the strengths; a quantile of the training strengths is the threshold, and strengths are mapped to
-scores so that this threshold gets CUT.
+rank order comes from the strengths; their quantile at the share of bad training rows is the threshold, and strengths
+are mapped to scores so that this threshold gets CUT.
+
+The fit is bounded by two parameters: TRAINING_ROWS labelled rows, and PAIRS preference pairs drawn from them.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-#: The classifier is fitted on at most so many labelled rows, first by hash of doc_id.
-TRAINING_ROWS = 20_000
-PAIRS, BINS, CUT, FOLDS = 40_000, 8, 0.3, 5
+#: The classifier is fitted on at most so many labelled rows, first by hash of doc_id, and at most so many pairs of them.
+TRAINING_ROWS, PAIRS = 20_000, 40_000
+BINS, CUT, FOLDS = 8, 0.3, 5
 _CLASSES = {
     "digit": b"0123456789", "upper": bytes(range(65, 91)), "lower": bytes(range(97, 123)), "stop": b".", "comma": b",", "space": b" \t", "quote": b"'\"",
     "hash": b"#", "dollar": b"$", "percent": b"%", "and": b"&", "star": b"*", "bang": b"!", "bar": b"|", "slash": b"/\\", "bracket": b"()[]{}<>", "equals": b"=_+-~^@;:?", "control": bytes([*range(0, 9), *range(14, 32), 127]),
@@ -120,16 +122,9 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 7) -> M
             break
     model.weights = w
     s = d @ w
-    # the quantile of the strengths that separates best on the training rows
-    order = np.argsort(s, kind="stable")
-    bad_below = np.cumsum(~good[order])
-    right = bad_below + good.sum() - np.cumsum(good[order])
-    cut = int(np.argmax(right))
-    if right[cut] <= good.sum():
-        model.threshold = float(s.min()) - 1e-6
-    else:
-        after = min(cut + 1, len(s) - 1)
-        model.threshold = float((s[order[cut]] + s[order[after]]) / 2)
+    ordered = np.sort(s)
+    bad = len(losers)
+    model.threshold = float((ordered[bad - 1] + ordered[bad]) / 2)
     return model
 
 
@@ -156,14 +151,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
     """A model of ``labels.quality`` from rows that are not held out, ``rows`` of them at most.
 
     Labels that are null or contradict each other (a doc_id with both) teach nothing; ids without a document are left
-    out; repeated rows of a document count once each.
+    out; of several texts of a doc_id the first in order is read.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most"))
     known = known.where((F.col("q") == F.col("most")) & (fold(F.col("doc_id")) != 0)).select(F.col("doc_id").cast("long").alias("doc_id"), "q")
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # bounded, and so is what is broadcast and collected
     ids = F.broadcast(sample)
-    some = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).join(ids.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    got = describe(some).join(ids, "doc_id").orderBy("doc_id").select("features", "q").toArrow()
+    some = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).join(ids.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    got = describe(some).join(ids, "doc_id").select("doc_id", "features", "q").toArrow().sort_by("doc_id")
     x = np.array(got.column("features").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, got.column("q").to_numpy() > 0)
 
@@ -186,7 +181,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted (1 if score >= CUT) of every row of ``docs``; other columns are ignored.
 
-    Nulls: a null or empty text is scored like any other, a null doc_id is not held out. Repeated rows give repeated
+    Nulls: a null or empty text is scored like any other, a null doc_id is not held out. Very long texts are scored
+    whole; texts with equal features tie, and all of a tie are on the same side of CUT. Repeated rows give repeated
     rows, an empty table none; without usable labels every document passes.
     """
     scored = score(docs, train(docs, labels, rows))

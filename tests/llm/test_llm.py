@@ -52,6 +52,13 @@ def test_link_by_keys_loses_no_link(spark):
     assert {i: got.get(i, i) for i in values} == expected
 
 
+def test_clean_up(spark):
+    kept = common.stored(spark.range(3), "kept")
+    common.clean_up(spark)
+    with pytest.raises(Exception, match="exist"):
+        kept.collect()
+
+
 # --- 1 decontamination --------------------------------------------------------------------------------------------
 
 
@@ -201,6 +208,24 @@ def test_count_links_over_several_blocks(spark, monkeypatch):
     assert [got[k] for k in range(60)] == (near @ np.array([r[2] for r in rows])).tolist()
 
 
+def test_vectors_of_very_large_and_small_components(spark):
+    rows = [(1, [3e200, 4e200]), (2, [6e200, 8.1e200]), (3, [3e-200, 4e-200]), (4, [-3.0, 4.0]), (5, [1e308, 0.0]), (6, [5e-324, 0.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}
+
+
+def test_links_of_a_large_component(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(embed_dedup, "SLICE_ROWS", 5)
+    draw = np.random.default_rng(6)
+    v = draw.normal(size=8) + draw.normal(size=(90, 8)) * 0.12
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    near = (u @ u.T >= 0.95) & ~np.eye(90, dtype=bool)
+    members = spark.createDataFrame([(0, k, 1 + k % 2, v[k].tolist()) for k in range(90)], "component long, id long, times long, vector array<double>")
+    times = np.array([1 + k % 2 for k in range(90)])
+    assert {r["id"]: r["links"] for r in embed_dedup.count_links(members, 0.95).collect()} == dict(enumerate((near @ times).tolist()))
+
+
 # --- 3 tokens -----------------------------------------------------------------------------------------------------
 
 TOKENS = bpe.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -254,6 +279,41 @@ def test_quality_edge_cases(spark):
     assert quality.keep_good(docs, model).columns == docs.columns
 
 
+def test_fit_minimises_the_logistic_loss_of_pairs():
+    """Weights against the loss written out pair by pair: no small step in any direction lowers it."""
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(24, len(quality.FEATURES)))
+    good = x[:, 0] + 0.3 * draw.normal(size=24) > 0
+    model = quality.fit(x, good, pairs=60)
+    again = np.random.default_rng(7)
+    winners, losers = np.flatnonzero(good), np.flatnonzero(~good)
+    n = min(60, len(winners) * len(losers))
+    pairs = list(zip(again.choice(winners, n), again.choice(losers, n), strict=True))
+    d = model.design(x)
+    loss = lambda w: sum(math.log1p(math.exp(-float((d[a] - d[b]) @ w))) for a, b in pairs) + 1e-2 * n / 1000 * float(w @ w) / 2
+    least = loss(model.weights)
+    for _ in range(40):
+        step = draw.normal(size=len(model.weights))
+        assert loss(model.weights + 1e-3 * step / np.linalg.norm(step)) > least
+    s = model.strengths(x)
+    assert (s > model.threshold).sum() == good.sum()  # the quantile at the share of bad rows
+    assert np.allclose(model.scores(x) >= quality.CUT, s >= model.threshold)
+
+
+def test_classes_of_long_texts_ties_and_clashing_columns(spark):
+    texts = [(k, "Good prose, with words of all kinds, in sentences that end. " * (1 + k % 3) if k % 2 else "x1!! $$ ## " * (1 + k % 3)) for k in range(60)] + [(100, "word " * 300_000), (101, "word " * 300_000), (None, None), (1, "another text of one id")]
+    docs = docs_of(spark, texts).withColumn("score", F.lit("taken")).withColumn("q", F.lit(1)).withColumn("features", F.lit(1))
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    rows = quality.classify(docs, labels).collect()
+    assert len(rows) == len(texts)
+    scores = {r["doc_id"]: r["score"] for r in rows if r["doc_id"] != 1}
+    assert scores[100] == scores[101] and all(0 <= s <= 1 for s in scores.values())
+    assert all((scores[k] >= quality.CUT) == bool(k % 2) for k in range(2, 60))
+    one, two = (quality.train(docs.repartition(n), labels) for n in (1, 5))
+    assert np.array_equal(one.weights, two.weights)
+    assert quality.classify(docs.limit(0), labels).count() == 0
+
+
 # --- 5 licences ---------------------------------------------------------------------------------------------------
 
 
