@@ -7,8 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Query parameters that only track where a visitor came from.
-TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term", "spm", "from", "ref")
+#: Query parameters that only track where a visitor came from, for merging and for monitored lists.
+TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term", "from", "share")
+MONITOR_TRACKING = (
+    "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "from", "is_from_web", "share_token", "share_time", "spm", "tt_from", "oid", "ctype", "cid", "refer", "pos", "page", "_ref", "did",
+)
+#: Patterns of addresses that are no articles.
+NOISE = (
+    "/product/", "/products/", "/goods/", r"/item/\d+", "/sku/", "/cart", "/coupon", "/promotion/", "/category/", r"/search\?", "/jobs/", "/careers/",
+    r"instagram\.com/", r"facebook\.com/", r"pinterest\.com/", r"twitter\.com/", r"x\.com/", "/download", "/app$", r"\.pdf$",
+)
 _PARTS = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
@@ -19,15 +27,15 @@ def url_part(url: Column, part: str) -> Column:
     return F.lower(out) if part in ("scheme", "host") else out
 
 
-def normalize_url(url: Column, query: str = "filter", drop: Sequence[str] = TRACKING, strip_www: bool = False, sort_query: bool = False, scheme: bool = True) -> Column:
-    """Canonical URL: lower scheme and host, no fragment, no trailing slash.
+def normalize_url(url: Column, query: str = "filter", drop: Sequence[str] = TRACKING, strip_www: bool = False, sort_query: bool = False, scheme: bool = True, root: str = "/") -> Column:
+    """Canonical URL: lower scheme and host, no fragment, no trailing slash, ``root`` for an empty path.
 
     ``query``: ``keep`` it, ``drop`` it, or ``filter`` out the pairs of ``drop`` and those without ``=``. A string that
     is no absolute URL is only trimmed.
     """
     host = url_part(url, "host")
     host = F.regexp_replace(host, r"^www\.", "") if strip_www else host
-    base = F.concat(F.concat(url_part(url, "scheme"), F.lit("://")) if scheme else F.lit(""), host, F.rtrim(url_part(url, "path"), F.lit("/")))
+    base = F.concat(F.concat(url_part(url, "scheme"), F.lit("://")) if scheme else F.lit(""), host, F.coalesce(F.nullif(F.rtrim(url_part(url, "path"), F.lit("/")), F.lit("")), F.lit(root)))
     given = F.substring(url_part(url, "query"), 2, 1 << 30)
     if query == "drop":
         tail = F.lit("")
@@ -40,6 +48,49 @@ def normalize_url(url: Column, query: str = "filter", drop: Sequence[str] = TRAC
     return F.when(F.regexp_extract(url, _PARTS, 2) != "", F.concat(base, tail)).otherwise(F.rtrim(F.trim(url), F.lit("/")))
 
 
+def canonical_url(url: Column) -> Column:
+    """Key of a monitored list's address: without www and tracking, paging among it, with sorted parameters."""
+    return normalize_url(url, drop=MONITOR_TRACKING, strip_www=True, sort_query=True)
+
+
+def page_key(url: Column) -> Column:
+    """Scheme, lower host and path alone."""
+    return normalize_url(url, query="drop")
+
+
+def funnel_key(url: Column) -> Column:
+    """Host and path of the whole address in lower case."""
+    low = F.rtrim(F.lower(url), F.lit("/"))
+    return F.when(url_part(low, "host") != "", F.concat(url_part(low, "host"), url_part(low, "path"))).otherwise(low)
+
+
+def is_noise(url: Column, patterns: Sequence[str] = NOISE) -> Column:
+    """A flag, not a filter."""
+    return F.lower(url).rlike("|".join(patterns))
+
+
+def links(html: Column, base: Column, least_title: int = 0, include: str | None = None, exclude: str | None = None) -> Column:
+    """Array of (url, title) of a page's anchors: absolute or under the host of ``base``; whole markup is left out of titles.
+
+    Anchors without title of ``least_title`` characters, or whose address doesn't match ``include`` or matches
+    ``exclude``, are left out.
+    """
+    anchors = F.regexp_extract_all(html, F.lit(r"(?is)(<a\s[^>]*>.*?</a>)"), F.lit(1))
+    host = F.concat(url_part(base, "scheme"), F.lit("://"), url_part(base, "host"))
+
+    def one(a: Column) -> Column:
+        href = F.trim(F.regexp_extract(a, r"""(?i)\shref\s*=\s*["']([^"']*)["']""", 1))
+        title = F.trim(F.regexp_replace(F.regexp_replace(a, r"<[^>]*>", " "), r"\s+", " "))
+        return F.struct(F.when(href.rlike("(?i)^https?://"), href).when(href.startswith("/"), F.concat(host, href)).alias("url"), title.alias("title"))
+
+    def wanted(x: Column) -> Column:
+        keep = x["url"].isNotNull() & (F.length(x["title"]) >= least_title)
+        keep = keep & x["url"].rlike(include) if include else keep
+        return keep & ~x["url"].rlike(exclude) if exclude else keep
+
+    return F.filter(F.transform(anchors, one), wanted)
+
+
 def url_date(url: Column, min_year: int = 2020, max_year: int = 2030, calendar: bool = True) -> Column:
     """Date in a URL path (/2024/05/06/, /2024-05-06, /20240506); null without one. ``calendar``: no 31 February."""
     out = F.lit(None).cast("string")

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from gristmill.functions import text as X
+from gristmill.operators import lineage
+
 
 def union_sources(frames: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Union by name in order of priority, with ``source_file`` and ``priority``; missing columns are null."""
@@ -47,7 +50,7 @@ def unseen(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     return df.join(ledger.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
-def similar_pairs(df: DataFrame, id_col: str, grams: str, least: float, max_frequency: int | None = None) -> DataFrame:
+def similar_pairs(df: DataFrame, id_col: str, grams: str, least: float) -> DataFrame:
     """Pairs (a, b, similarity) with a < b whose gram sets have Jaccard similarity ``least`` or more.
 
     Sets that are similar share one of their rarest grams, so only those are joined (prefix filter): no pair is lost
@@ -72,26 +75,30 @@ def earlier_similar(df: DataFrame, id_col: str, pairs: DataFrame) -> DataFrame:
     return df.join(late, id_col, "left").withColumn("is_repeat", F.coalesce("_late", F.lit(False))).drop("_late")
 
 
-def first_fit(df: DataFrame, group: str, order: Sequence[Column], keys: Sequence[str]) -> DataFrame:
+def first_fit(df: DataFrame, group: str, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Greedy first-fit clusters in each ``group``: a row joins the first cluster whose founder agrees in any of ``keys``.
 
-    A row's cluster depends on the rows before it, so each group is folded in order by one task; groups are periods of
-    bounded size. Adds ``cluster`` (1, 2, ...).
+    ``order`` names columns that order the rows, the first row first. A row's cluster depends on the rows before it, so
+    each group is folded in order by one task. A row that agrees in all keys with an earlier one joins its cluster in any
+    case, so only the first row of each combination of keys is folded: a task sees distinct combinations, not rows, and
+    the cluster numbers are joined back. Adds ``cluster`` (1, 2, ...).
     """
-    rows = df.withColumn("_at", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    place = F.struct(*order)
+    rows = df.groupBy(group, *keys).agg(F.min(place).alias("_at"))
     schema = StructType([*rows.drop("_at").schema.fields, StructField("cluster", IntegerType())])
     columns = schema.names
+    rows = rows.select(group, *keys, F.row_number().over(Window.partitionBy(group).orderBy("_at")).alias("_at"))
 
     def fold(pdf):
         pdf = pdf.sort_values("_at")
         founders: list[dict[str, int]] = [{} for _ in keys]
-        out = []
+        out, n = [], 0
         for values in pdf[list(keys)].itertuples(index=False):
             found = [f[v] for f, v in zip(founders, values, strict=True) if v is not None and v == v and v in f]
             if found:
                 out.append(min(found))
                 continue
-            n = max((m for f in founders for m in f.values()), default=0) + 1
+            n += 1
             for f, v in zip(founders, values, strict=True):
                 if v is not None and v == v:
                     f.setdefault(v, n)
@@ -99,4 +106,68 @@ def first_fit(df: DataFrame, group: str, order: Sequence[Column], keys: Sequence
         pdf["cluster"] = out
         return pdf[columns]
 
-    return rows.groupBy(group).applyInPandas(fold, schema)
+    folded = rows.groupBy(group).applyInPandas(fold, schema)
+    same = F.lit(True)
+    for c in (group, *keys):
+        same = same & df[c].eqNullSafe(folded[c])
+    return df.join(folded, same, "left").select(*[df[c] for c in df.columns], folded["cluster"])
+
+
+def within_budget(df: DataFrame, order: Sequence[Column], budget: int, free: Column) -> DataFrame:
+    """The first ``budget`` rows of a small table by ``order``, and all that are ``free``; adds ``place``.
+
+    For tables of generated queries, whose size is that of their dimensions: the order is one window over all rows.
+    """
+    ranked = df.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    return ranked.where(free | (F.col("place") <= budget))
+
+
+def greedy_pairs(df: DataFrame, id_col: str, title: str, entities: str, richness: str, least: float = 0.55, letters: str = r"([\u4e00-\u9fff])") -> DataFrame:
+    """Pairs (a < b, later_wins) that a greedy removal of duplicates goes through; ``fold_pairs`` says what it absorbs.
+
+    Rows are taken in order of ``id_col``. A row that hasn't been absorbed meets every later one that hasn't, if their
+    titles' letters are similar enough (``least``) and their entities meet, or one has none; the poorer one (the later,
+    if equally rich) is absorbed. A row goes on absorbing after it was absorbed itself, in the same pass.
+
+    Similar pairs are found by a prefix-filtered join. The greedy order matters only within a connected component of
+    these pairs, so components are folded, not tables.
+    """
+    sets = df.select(F.col(id_col).alias("id"), X.letters(F.col(title), letters).alias("grams"), F.col(entities).alias("e"), F.col(richness).alias("r"))
+    pairs = similar_pairs(sets, "id", "grams", least).select("a", "b")
+    side = lambda p: sets.select(F.col("id").alias(p), F.col("e").alias(f"e{p}"), F.col("r").alias(f"r{p}"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+    meet = F.arrays_overlap("ea", "eb") | (F.size(F.coalesce("ea", F.array().cast("array<string>"))) == 0) | (F.size(F.coalesce("eb", F.array().cast("array<string>"))) == 0)
+    pairs = pairs.where(F.coalesce(meet, F.lit(False))).select("a", "b", (F.col("rb") > F.col("ra")).alias("later_wins"))
+    return pairs
+
+
+def fold_pairs(pairs: DataFrame) -> DataFrame:
+    """What greedy removal absorbs: (absorbed, kept), for ``pairs`` (a < b, later_wins) of one ordered table.
+
+    Components of pairs are found by passing the smallest id along the pairs until nothing changes; each is folded alone.
+    """
+    pairs = lineage.cut(pairs)
+    ends = pairs.select("a", "b").union(pairs.select("b", "a"))
+    label = ends.select(F.col("a").alias("id")).distinct().withColumn("c", F.col("id"))
+    while True:
+        least = ends.join(label.select(F.col("id").alias("b"), "c"), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("m"))
+        moved = lineage.cut(label.join(least, "id").select("id", F.least("c", "m").alias("c"), (F.col("m") < F.col("c")).alias("moved")))
+        if moved.where("moved").isEmpty():
+            break
+        label = moved.select("id", "c")
+
+    def fold(pdf):
+        later: dict[object, list[tuple[object, bool]]] = {}
+        for a, b, wins in sorted(zip(pdf["a"], pdf["b"], pdf["later_wins"], strict=True)):
+            later.setdefault(a, []).append((b, wins))
+        gone: dict[object, object] = {}
+        for a in sorted(later):
+            if a in gone:
+                continue
+            for b, wins in later[a]:
+                if b not in gone:
+                    gone[a if wins else b] = b if wins else a
+        return pdf.iloc[: len(gone)].assign(absorbed=list(gone), kept=list(gone.values()))[["absorbed", "kept"]]
+
+    kind = pairs.schema["a"].dataType.simpleString()
+    return pairs.join(label.withColumnRenamed("id", "a"), "a").groupBy("c").applyInPandas(fold, f"absorbed {kind}, kept {kind}")

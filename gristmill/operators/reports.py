@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.functions import text as X
+from gristmill.operators.dedup import similar_pairs
+
 
 def counters(df: DataFrame, dimensions: Sequence[str | tuple[str, str]]) -> DataFrame:
     """All one- and two-way counts in a single pass of grouping sets: dimension, value, value2, rows."""
@@ -25,9 +28,23 @@ def share(part: Column, whole: Column, places: int = 4) -> Column:
     return F.when(whole > 0, F.floor(part * scale / whole) / scale).otherwise(0.0)
 
 
-def grade(share_good: Column, edges: Sequence[float] = (0.8, 0.5, 0.2)) -> Column:
-    a, b, c = edges
-    return F.when(share_good >= a, "A").when(share_good >= b, "B").when(share_good >= c, "C").otherwise("D")
+def source_grade(recent_ratio: Column, old_ratio: Column, yield_rate: Column, matched: Column) -> Column:
+    """A source with enough recent articles is A or B by the share that was kept; an old one C, or D without any match."""
+    return (
+        F.when((recent_ratio >= 0.3) & (yield_rate >= 0.1), "A")
+        .when(recent_ratio >= 0.3, "B")
+        .when((old_ratio >= 0.8) & (matched > 0), "C")
+        .when(old_ratio >= 0.8, "D")
+        .when(old_ratio >= 0.5, "C")
+        .otherwise("B")
+    )
+
+
+RECOMMENDED = {"A": "keep_primary", "B": "keep_secondary_limit", "C": "reference_only", "D": "disable_candidate"}
+
+
+def route_grade(ok: Column, items: Column, with_url: Column, old_ratio: Column) -> Column:
+    return F.when(~ok, "D").when((items >= 5) & (with_url >= 5) & (old_ratio <= 0.8), "A").when(items < 5, "B").when(old_ratio > 0.8, "C").otherwise("A")
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -48,19 +65,43 @@ def coverage(days: DataFrame, start: str, end: str, healthy: int) -> DataFrame:
     return s.withColumn("coverage_ratio", ratio).withColumn("status", F.when(ratio >= 0.9, "normal").when(ratio >= 0.7, "partial").otherwise("insufficient"))
 
 
-def trend(counts: DataFrame, key: Sequence[str], period: str, n: str, days: str) -> DataFrame:
-    """Direction of each key against its period before: new, accelerating, rising, stable, cooling."""
-    w = Window.partitionBy(*key).orderBy(period)
-    before = F.lag(n).over(w)
-    out = counts.withColumn("before", before)
-    direction = (
-        F.when(F.col("before").isNull(), F.when(F.col(days) >= 3, "emerging").otherwise("new"))
-        .when((F.col(n) >= 2 * F.col("before")) & (F.col(days) >= 3), "accelerating")
-        .when(F.col(n) > F.col("before"), "rising")
-        .when(F.col(n) == F.col("before"), "stable")
-        .otherwise("cooling")
+def trend(n: Column, before: Column, days: Column, sources: Column, ratio: float = 1.5, min_days: int = 3, min_sources: int = 3) -> Column:
+    """Direction of a cluster of ``n`` events against ``before``, those of its like in the period before (null without).
+
+    emerging, accelerating (by ``ratio``), weakening (half of at least 3), stable (within a fifth, or one) or unclear.
+    """
+    strong = (days >= min_days) & (sources >= min_sources)
+    return (
+        F.when(before.isNull(), F.when(strong, "emerging").otherwise("unclear"))
+        .when((before > 0) & (n >= before * ratio) & strong, "accelerating")
+        .when((before >= 3) & (n <= before * 0.5), "weakening")
+        .when((before > 0) & (F.abs(n - before) <= F.greatest(F.lit(1.0), before * 0.2)), "stable")
+        .otherwise("unclear")
     )
-    return out.withColumn("direction", direction)
+
+
+def like_before(clusters: DataFrame, previous: DataFrame, least: float = 0.7) -> DataFrame:
+    """Pairs (id, previous_id) of clusters (id, key, entities, actions, title) and their like of the period before.
+
+    Alike are equal keys, equal sets of entities with a common action, or titles with similar 3-grams. Each test is an
+    equi-join (by key, by the sorted entities and an action, by a rare 3-gram), so no pair is tried in vain.
+    """
+    side = lambda df, p: df.select(*[F.col(c).alias(f"{p}{c}") for c in ("id", "key", "entities", "actions", "title")])
+    a, b = side(clusters, ""), side(previous, "p_")
+    by_key = a.where("key <> ''").join(b, F.col("key") == F.col("p_key")).select("id", F.col("p_id").alias("previous_id"))
+    acting = lambda df, p: df.where(F.size(f"{p}entities") > 0).select(f"{p}id", F.array_join(F.array_sort(F.array_distinct(f"{p}entities")), "|").alias(f"{p}who"), F.explode(f"{p}actions").alias(f"{p}act"))
+    by_entity = acting(a, "").join(acting(b, "p_"), (F.col("who") == F.col("p_who")) & (F.col("act") == F.col("p_act"))).select("id", F.col("p_id").alias("previous_id"))
+    titles = a.select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("doc"), "title").unionByName(b.select(F.concat(F.lit("p"), F.col("p_id").cast("string")).alias("doc"), F.col("p_title").alias("title")))
+    titles = titles.withColumn("norm", X.period_text(F.col("title"))).where("norm <> ''")
+    first = titles.groupBy("norm").agg(F.min("doc").alias("doc")).withColumn("grams", X.char_ngrams(F.col("norm")))
+    near = similar_pairs(first, "doc", "grams", least).select("a", "b")
+    near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(first.select(F.col("doc").alias("a"), F.col("doc").alias("b")))
+    named = titles.select("doc", "norm").join(first.select("norm", F.col("doc").alias("rep")), "norm").select("doc", "rep")
+    here = named.where(F.col("doc").startswith("n")).select(F.substring("doc", 2, 64).alias("id"), F.col("rep").alias("a"))
+    there = named.where(F.col("doc").startswith("p")).select(F.substring("doc", 2, 64).alias("previous_id"), F.col("rep").alias("b"))
+    by_title = here.join(near, "a").join(there, "b").select("id", "previous_id")
+    text = lambda df: df.select(F.col("id").cast("string").alias("id"), F.col("previous_id").cast("string").alias("previous_id"))
+    return text(by_key).union(text(by_entity)).union(text(by_title)).distinct()
 
 
 def quota(df: DataFrame, id_col: str, score: str, group: str, per_group: int, floors: dict[str, tuple[str, int]], total: int) -> DataFrame:
@@ -68,15 +109,13 @@ def quota(df: DataFrame, id_col: str, score: str, group: str, per_group: int, fl
     then by score, until ``total``. ``floors``: column -> (value, rows). Adds ``layer``. A top-k report of ``total`` rows.
     """
     order = [F.col(score).desc(), F.col(id_col)]
-    ranked = df.withColumn("_g", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    layer = F.when(F.col("_g") <= per_group, 1)
+    best = df.withColumn("_g", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_g") <= per_group).drop("_g")
+    chosen = best.withColumn("layer", F.lit(1))
     for k, (column, (value, rows)) in enumerate(floors.items()):
-        place = F.row_number().over(Window.partitionBy(F.col(column) == value).orderBy(*order))
-        ranked = ranked.withColumn(f"_d{k}", place)
-        layer = layer.when((F.col(column) == value) & (F.col(f"_d{k}") <= rows), 2 + k)
-    layer = layer.otherwise(2 + len(floors))
-    chosen = ranked.withColumn("layer", layer).orderBy("layer", *order).limit(total)
-    return chosen.select(*df.columns, "layer")
+        chosen = chosen.unionByName(df.where(F.col(column) == value).orderBy(*order).limit(rows).withColumn("layer", F.lit(2 + k)))
+    chosen = chosen.unionByName(df.orderBy(*order).limit(total).withColumn("layer", F.lit(2 + len(floors))))
+    first = Window.partitionBy(id_col).orderBy("layer")
+    return chosen.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n").orderBy("layer", *order).limit(total)
 
 
 def reconcile(checks: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:

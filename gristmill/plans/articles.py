@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions import text as X
+from gristmill.functions import times as T
 from gristmill.functions import urls as U
 from gristmill.operators import dedup, reports, scoring
 from gristmill.plans.registry import query, table
@@ -77,14 +78,14 @@ def q_content_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 _URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
-@query(f"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '{_URL}', 1)) || '://' || lower(regexp_extract(url, '{_URL}', 2)) || rtrim(regexp_extract(url, '{_URL}', 3), '/') AS base,
+@query(f"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '{_URL}', 1)) || '://' || lower(regexp_extract(url, '{_URL}', 2)) || coalesce(nullif(rtrim(regexp_extract(url, '{_URL}', 3), '/'), ''), '/') AS base, lower(regexp_extract(url, '{_URL}', 2)) AS host, rtrim(regexp_extract(url, '{_URL}', 3), '/') AS path,
   substr(regexp_extract(url, '{_URL}', 4), 2) AS q FROM pages),
-f AS (SELECT *, list_filter(string_split(q, '&'), lambda x: contains(x, '=') AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_content','utm_term','spm','from','ref')) AS pairs FROM p)
+f AS (SELECT *, list_filter(string_split(q, '&'), lambda x: contains(x, '=') AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_content','utm_term','from','share')) AS pairs, list_sort(list_filter(string_split(q, '&'), lambda x: contains(x, '=') AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_term','utm_content','from','is_from_web','share_token','share_time','spm','tt_from','oid','ctype','cid','refer','pos','page','_ref','did'))) AS monitored FROM p)
 SELECT page_id, base || CASE WHEN len(pairs) > 0 THEN '?' || array_to_string(pairs, '&') ELSE '' END AS filtered,
-  base || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS kept, base AS dropped FROM f""")
+  base || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS kept, base AS dropped, regexp_replace(base, '://www[.]', '://') || CASE WHEN len(monitored) > 0 THEN '?' || array_to_string(monitored, '&') ELSE '' END AS canonical, host || lower(path) AS funnel FROM f""")
 def q_url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.col("url")
-    return table(spark, sf_dir, "pages").select("page_id", U.normalize_url(url).alias("filtered"), U.normalize_url(url, query="keep").alias("kept"), U.normalize_url(url, query="drop").alias("dropped"))
+    return table(spark, sf_dir, "pages").select("page_id", U.normalize_url(url).alias("filtered"), U.normalize_url(url, query="keep").alias("kept"), U.page_key(url).alias("dropped"), U.canonical_url(url).alias("canonical"), U.funnel_key(url).alias("funnel"))
 
 
 @query(f"""WITH h AS (SELECT lower(regexp_extract(url, '{_URL}', 2)) AS host FROM pages),
@@ -105,14 +106,6 @@ def q_html_title_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", '<html[^>]*lang="([^"]*)"', 1).alias("lang"), F.size(links).alias("links"))
 
 
-@query("""SELECT page_id, make_date(2020 + CAST(regexp_extract(url, '/([0-9]+)', 1) AS INTEGER) % 10, 1 + CAST(page_id % 12 AS INTEGER), 1 + CAST(page_id % 28 AS INTEGER)) AS day FROM pages WHERE regexp_matches(url, '/[0-9]+')""")
-def q_url_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.regexp_extract("url", r"/([0-9]+)", 1)
-    pages = table(spark, sf_dir, "pages").where(F.col("url").rlike(r"/[0-9]+"))
-    dated = F.format_string("https://site.example/%04d/%02d/%02d/x.html", (2020 + number.cast("int") % 10), (1 + F.col("page_id") % 12).cast("int"), (1 + F.col("page_id") % 28).cast("int"))
-    return pages.select("page_id", U.url_date(dated).alias("day"))
-
-
 _KEY_SQL = "regexp_replace(lower(coalesce(text, '')), '\\s+', '', 'g')"
 
 
@@ -156,13 +149,39 @@ def q_source_pool_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.groupBy("source").pivot("pool", ["main", "reference", "reject"]).count().fillna(0, ["main", "reference", "reject"])
 
 
-@query(f"""SELECT source, total, main, CASE WHEN total > 0 THEN floor(main * 10000 / total) / 10000 ELSE 0.0 END AS main_share,
-  CASE WHEN main * 10 >= total * 8 THEN 'A' WHEN main * 2 >= total THEN 'B' WHEN main * 5 >= total THEN 'C' ELSE 'D' END AS grade, last_doc
-FROM (SELECT source, count(*) AS total, count(*) FILTER (pool = 'main') AS main, max(doc_id) AS last_doc FROM ({SCORED_SQL}) GROUP BY source)""")
+_HEALTH = f"""SELECT *, CASE WHEN recent >= 0.3 AND kept >= 0.1 THEN 'A' WHEN recent >= 0.3 THEN 'B' WHEN old >= 0.8 AND matched > 0 THEN 'C' WHEN old >= 0.8 THEN 'D' WHEN old >= 0.5 THEN 'C' ELSE 'B' END AS grade
+FROM (SELECT source, total, main, matched, (in_window + near_window) / total AS recent, old_rows / total AS old, main / total AS kept, in_window, near_window, old_rows, unknown_time
+FROM (SELECT source, count(*) AS total, count(*) FILTER (pool = 'main') AS main, count(*) FILTER (len({_SQL_HITS}) > 0) AS matched, count(*) FILTER (t = 'in_window') AS in_window, count(*) FILTER (t = 'near_window') AS near_window, count(*) FILTER (t = 'old') AS old_rows, count(*) FILTER (t = 'unknown_time') AS unknown_time
+FROM (SELECT d.*, CASE WHEN e.ts IS NULL THEN 'unknown_time' WHEN e.ts > TIMESTAMP '2024-01-31' - to_days(CAST(substr(source, 4) AS INTEGER)) THEN 'in_window' WHEN floor((epoch_us(TIMESTAMP '2024-01-31' - to_days(CAST(substr(source, 4) AS INTEGER))) - epoch_us(e.ts)) / 86400000000.0) <= 2 THEN 'in_window'
+  WHEN floor((epoch_us(TIMESTAMP '2024-01-31' - to_days(CAST(substr(source, 4) AS INTEGER))) - epoch_us(e.ts)) / 86400000000.0) <= 7 THEN 'near_window' ELSE 'old' END AS t FROM ({SCORED_SQL}) d LEFT JOIN events e ON e.event_id = 10 * d.doc_id) GROUP BY source))"""
+
+
+def source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, ratios and grade of each source. A source's clock stands as many days before the last event as its number."""
+    events = table(spark, sf_dir, "events").where("event_id % 10 = 0").select((F.col("event_id") / 10).cast("long").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"))
+    s = scored(table(spark, sf_dir, "documents")).join(events, "doc_id", "left")
+    clock = F.timestamp_micros(F.unix_micros(F.lit("2024-01-31 00:00:00").cast("timestamp")) - F.substring("source", 4, 9).cast("long") * 86_400_000_000)
+    s = s.withColumn("t", T.time_status(F.col("ts"), clock))
+    of = lambda t: F.count_if(F.col("t") == t)
+    s = s.groupBy("source").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("pool") == "main").alias("main"), F.count_if(X.any_keyword(F.col("text"), KEYWORDS)).alias("matched"),
+        of("in_window").alias("in_window"), of("near_window").alias("near_window"), of("old").alias("old_rows"), of("unknown_time").alias("unknown_time"),
+    )
+    s = s.select("*", ((F.col("in_window") + F.col("near_window")) / F.col("total")).alias("recent"), (F.col("old_rows") / F.col("total")).alias("old"), (F.col("main") / F.col("total")).alias("kept"))
+    return s.withColumn("grade", reports.source_grade(F.col("recent"), F.col("old"), F.col("kept"), F.col("matched")))
+
+
+@query(f"SELECT source, total, main, matched, in_window, near_window, old_rows, unknown_time, floor(recent * 10000) / 10000 AS recent_ratio, floor(old * 10000) / 10000 AS old_ratio, grade, CASE grade WHEN 'A' THEN 'keep_primary' WHEN 'B' THEN 'keep_secondary_limit' WHEN 'C' THEN 'reference_only' ELSE 'disable_candidate' END AS recommendation FROM ({_HEALTH})")
 def q_source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = scored(table(spark, sf_dir, "documents")).groupBy("source").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("pool") == "main").alias("main"), F.max("doc_id").alias("last_doc"))
-    good = F.when(F.col("main") * 10 >= F.col("total") * 8, 0.8).when(F.col("main") * 2 >= F.col("total"), 0.5).when(F.col("main") * 5 >= F.col("total"), 0.2).otherwise(0.0)
-    return s.select("source", "total", "main", reports.share(F.col("main"), F.col("total")).alias("main_share"), reports.grade(good).alias("grade"), "last_doc")
+    cut = lambda c: F.floor(F.col(c) * 10000) / 10000
+    advice = scoring.lookup(F.col("grade"), reports.RECOMMENDED, "")
+    return source_health(spark, sf_dir).select("source", "total", "main", "matched", "in_window", "near_window", "old_rows", "unknown_time", cut("recent").alias("recent_ratio"), cut("old").alias("old_ratio"), "grade", advice.alias("recommendation"))
+
+
+@query(f"SELECT grade, count(*) AS sources, CAST(sum(total) AS BIGINT) AS articles, CAST(sum(main) AS BIGINT) AS main, CAST(sum(unknown_time) AS BIGINT) AS unknown_time FROM ({_HEALTH}) GROUP BY ROLLUP (grade)")
+def q_health_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources by grade, and all of them (null)."""
+    return source_health(spark, sf_dir).rollup("grade").agg(F.count(F.lit(1)).alias("sources"), F.sum("total").alias("articles"), F.sum("main").alias("main"), F.sum("unknown_time").alias("unknown_time"))
 
 
 @query(f"SELECT pool, doc_id, rule_score, CAST(rn AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY rule_score DESC, doc_id) AS rn FROM ({SCORED_SQL})) WHERE rn <= 50")
@@ -179,11 +198,11 @@ def q_funnel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("raw_rows"), F.count("met").alias("processed"), F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("met").isNull()).alias("unprocessed"))
 
 
-@query(f"""SELECT 'low_main_share' AS issue, source FROM (SELECT source, count(*) AS n, count(*) FILTER (pool = 'main') AS m FROM ({SCORED_SQL}) GROUP BY source) WHERE m * 10 < n
-UNION ALL SELECT 'mostly_reject', source FROM (SELECT source, count(*) AS n, count(*) FILTER (pool = 'reject') AS r FROM ({SCORED_SQL}) GROUP BY source) WHERE r * 2 > n""")
+@query(f"""SELECT 'low_main_share' AS issue, source FROM (SELECT source, count(*) AS n, count(*) FILTER (pool = 'main') AS m FROM ({SCORED_SQL}) GROUP BY source) WHERE m * 100 < n * 42
+UNION ALL SELECT 'mostly_reject', source FROM (SELECT source, count(*) AS n, count(*) FILTER (pool = 'reject') AS r FROM ({SCORED_SQL}) GROUP BY source) WHERE r * 100 > n * 15""")
 def q_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored(table(spark, sf_dir, "documents")).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("pool") == "main").alias("m"), F.count_if(F.col("pool") == "reject").alias("r"))
-    issues = F.array_compact(F.array(F.when(F.col("m") * 10 < F.col("n"), "low_main_share"), F.when(F.col("r") * 2 > F.col("n"), "mostly_reject")))
+    issues = F.array_compact(F.array(F.when(F.col("m") * 100 < F.col("n") * 42, "low_main_share"), F.when(F.col("r") * 100 > F.col("n") * 15, "mostly_reject")))
     return s.select(F.explode(issues).alias("issue"), "source")
 
 
@@ -267,3 +286,36 @@ SELECT a, b, floor(i / u * 1e6) / 1e6 AS similarity FROM c WHERE i / u >= 0.7"""
 def q_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = X.chunks(F.col("text"), 2000)
     return table(spark, sf_dir, "documents").select("doc_id", F.size(pieces).alias("chunks"), F.aggregate(pieces, F.lit(0).cast("long"), lambda a, p: a + F.length(p)).alias("chars"))
+
+
+_ANCHOR = "'(?is)<a\\s[^>]*\\shref=\"[^\"]*\"[^>]*>.*?</a>|<a\\shref=\"[^\"]*\"[^>]*>.*?</a>'"
+
+
+@query(f"""SELECT page_id, url, title FROM (SELECT page_id, regexp_extract(base, '^([a-z]+://[^/?#]*)', 1) AS site, regexp_extract(a, 'href="([^"]*)"', 1) AS href, trim(regexp_replace(regexp_replace(a, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS title
+FROM (SELECT page_id, url AS base, unnest(regexp_extract_all(html, {_ANCHOR})) AS a FROM pages)), LATERAL (SELECT CASE WHEN starts_with(href, 'http') THEN href WHEN starts_with(href, '/') THEN site || href END AS url) WHERE url IS NOT NULL AND length(title) >= 3""")
+def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses and titles of the links of pages, relative ones under the page's host."""
+    found = U.links(F.col("html"), F.col("url"), least_title=3)
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(found).alias("l")).select("page_id", "l.url", "l.title")
+
+
+@query(f"""WITH r AS (SELECT doc_id, source, {_KEY_SQL} AS k FROM documents), d AS (SELECT k, min(doc_id) AS doc_id FROM r GROUP BY k)
+SELECT source, count(*) AS rows, count(d.doc_id) AS kept, count(*) - count(d.doc_id) AS merged_away FROM r LEFT JOIN d USING (k, doc_id) GROUP BY source""")
+def q_merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each source before and after the first copy of a text has won."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.md5(F.regexp_replace(F.lower(X.nz(F.col("text"))), r"\s+", "").cast("binary")).alias("key"))
+    before = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+    after = dedup.first_wins(rows, F.col("key"), ["doc_id"]).groupBy("source").agg(F.count(F.lit(1)).alias("kept"))
+    return before.join(after, "source", "left").select("source", "rows", F.coalesce("kept", F.lit(0)).alias("kept"), (F.col("rows") - F.coalesce("kept", F.lit(0))).alias("merged_away"))
+
+
+@query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'appended' WHEN l.doc_id IS NULL THEN 'unprocessed' ELSE 'met' END AS side, CASE WHEN l.pool = 0 THEN 'cleaned' WHEN l.pool = 1 THEN 'reference' WHEN l.pool = 2 THEN 'rejected' END AS pool
+FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 4 > 0) d FULL JOIN (SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 0 WHEN quality = 1 THEN 1 ELSE 2 END) AS pool FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id""")
+def q_funnel_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw articles with the pool that takes precedence among what was processed; processed ones that raw lacks are appended."""
+    raw = table(spark, sf_dir, "documents").where("doc_id % 4 > 0").select("doc_id").distinct().withColumn("raw", F.lit(True))
+    rank = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 0).when(F.col("quality") == 1, 1).otherwise(2)
+    done = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min(rank).alias("rank"))
+    both = raw.join(done, "doc_id", "full")
+    pool = F.get(F.array(F.lit("cleaned"), F.lit("reference"), F.lit("rejected")), F.col("rank"))
+    return both.select("doc_id", F.when(F.col("raw").isNull(), "appended").when(F.col("rank").isNull(), "unprocessed").otherwise("met").alias("side"), pool.alias("pool"))

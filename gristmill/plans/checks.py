@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions import text as X
+from gristmill.functions import times as T
 from gristmill.functions import urls as U
 from gristmill.operators import dedup, reports, scoring
 from gristmill.plans.articles import SCORED_SQL, scored
 from gristmill.plans.registry import query, table
 
-_N = "regexp_replace(regexp_replace(regexp_replace(lower(coalesce(split_part(text, chr(10), 1), '')), '[0-9]{4}[-/.年][0-9]{1,2}[-/.月][0-9]{1,2}日?', '', 'g'), '[0-9]+(\\.[0-9]+)?%?', '', 'g'), '[^\\p{L}\\p{N}]', '', 'g')"
+_N = r"lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(coalesce(split_part(text, chr(10), 1), '')), '\d{4}年\d{1,2}月\d{1,2}日', '', 'g'), '\d{4}[-/]\d{1,2}[-/]\d{1,2}', '', 'g'), '\d{1,2}月\d{1,2}日', '', 'g'), '\d+\.?\d*%?', '', 'g'), '[，。、！？；：‘’“”【】《》（）\[\]{},.!?;:''\x22()<>]', '', 'g'), '\s+', '', 'g'))"
 
-
-@query(f"SELECT lang || ':' || substr({_N}, 1, 40) || ':' || source AS cluster_key, substr(md5({_N}), 1, 12) AS fact_hash, count(*) AS n, min(doc_id) AS founder FROM documents GROUP BY 1, 2")
+@query(f"SELECT lang || ':' || substr({_N}, 1, 40) || ':' || CASE WHEN lang < source THEN lang || '|' || source ELSE source || '|' || lang END AS cluster_key, substr(md5({_N}), 1, 12) AS fact_hash, count(*) AS n, min(doc_id) AS founder FROM documents GROUP BY 1, 2")
 def q_cluster_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("title", F.substring_index("text", "\n", 1))
-    key = X.cluster_key(F.col("lang"), F.col("title"), F.array("source"))
+    key = X.cluster_key(F.col("lang"), F.col("title"), F.array("source", "lang"))
     return docs.groupBy(key.alias("cluster_key"), X.fact_hash(F.col("title")).alias("fact_hash")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("founder"))
 
 
@@ -60,23 +60,31 @@ def q_enrich_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_per_group(s, ["source"], [F.col("priority").desc(), F.col("doc_id")], 5).select("source", "doc_id", "priority")
 
 
-@query("""WITH a AS (SELECT page_id, url, 'day_primary' AS round FROM pages WHERE page_id % 2 = 0), n AS (SELECT count(*) AS c FROM a),
-b AS (SELECT page_id, url, 'week_fallback' AS round FROM pages WHERE page_id % 2 = 1 AND (SELECT c FROM n) < 100000000 AND url NOT IN (SELECT url FROM a)) SELECT round, count(*) AS rows FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY round""")
+_ROUNDS = """WITH p AS (SELECT page_id, url, split_part(url, '/', 4) AS lang, contains(url, 'example.org') AS narrow FROM pages), n AS (SELECT lang, count(*) FILTER (narrow) * 3 < count(*) AS few FROM p GROUP BY lang)"""
+
+
+@query(_ROUNDS + """ SELECT p.lang, CASE WHEN narrow THEN 'day_primary' ELSE 'week_fallback' END AS round, count(DISTINCT url) AS rows FROM p JOIN n USING (lang) WHERE narrow OR few AND url NOT IN (SELECT url FROM p WHERE narrow) GROUP BY ALL""")
 def q_two_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A narrow round of pages, and a wider one without the addresses of the first where the first brought too few."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    first, second = pages.where("page_id % 2 = 0"), pages.where("page_id % 2 = 1")
-    count = first.agg((F.count(F.lit(1)) < 100_000_000).alias("few"))
-    wider = dedup.unseen(second, first, "url").crossJoin(F.broadcast(count)).where("few").drop("few")  # one row
-    both = first.withColumn("round", F.lit("day_primary")).unionByName(wider.withColumn("round", F.lit("week_fallback")))
-    return both.groupBy("round").agg(F.count(F.lit(1)).alias("rows"))
+    """A narrow round of pages for each language, and a wider one, without addresses of the first, where that brought less than a third."""
+    pages = table(spark, sf_dir, "pages").select("url", F.get(F.split("url", "/"), F.lit(3)).alias("lang"), F.col("url").contains("example.org").alias("narrow"))
+    few = pages.groupBy("lang").agg((F.count_if("narrow") * 3 < F.count(F.lit(1))).alias("few"))
+    first, second = pages.where("narrow"), pages.where("not narrow").join(few.where("few"), "lang", "left_semi")
+    both = first.withColumn("round", F.lit("day_primary")).unionByName(dedup.unseen(second, first, "url").withColumn("round", F.lit("week_fallback")))
+    return both.groupBy("lang", "round").agg(F.count_distinct("url").alias("rows"))
 
 
-@query("""SELECT host, routes, with_title, grade FROM (SELECT *, CASE WHEN with_title * 5 >= routes * 4 THEN 'A' WHEN with_title * 2 >= routes THEN 'B' WHEN with_title * 5 >= routes THEN 'C' ELSE 'D' END AS grade
-FROM (SELECT lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host, count(*) AS routes, count(*) FILTER (regexp_matches(html, '<title>[^<]')) AS with_title FROM pages GROUP BY 1))""")
+@query("""SELECT host, items, with_url, old_items, grade FROM (SELECT *, CASE WHEN NOT ok THEN 'D' WHEN items >= 5 AND with_url >= 5 AND old_items / greatest(items, 1) <= 0.8 THEN 'A' WHEN items < 5 THEN 'B' WHEN old_items / greatest(items, 1) > 0.8 THEN 'C' ELSE 'A' END AS grade
+FROM (SELECT host, bool_or(titled) AS ok, count(*) AS items, count(*) FILTER (NOT paged) AS with_url, count(*) FILTER (ts < TIMESTAMP '2024-01-20') AS old_items
+FROM (SELECT lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host, regexp_matches(html, '<title>[^<%]*</title>') AS titled, contains(url, '?') AS paged, e.ts FROM pages p LEFT JOIN events e ON e.event_id = p.page_id * 40) GROUP BY host))""")
 def q_route_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "pages").groupBy(U.url_part(F.col("url"), "host").alias("host")).agg(F.count(F.lit(1)).alias("routes"), F.count_if(F.col("html").rlike("<title>[^<]")).alias("with_title"))
-    return s.withColumn("grade", F.when(F.col("with_title") * 5 >= F.col("routes") * 4, "A").when(F.col("with_title") * 2 >= F.col("routes"), "B").when(F.col("with_title") * 5 >= F.col("routes"), "C").otherwise("D"))
+    """Grade of each host as a route: whether a page of it can be read, its pages, those with a plain address, and old ones."""
+    events = table(spark, sf_dir, "events").where("event_id % 40 = 0").select((F.col("event_id") / 40).cast("long").alias("page_id"), "ts")
+    p = table(spark, sf_dir, "pages").join(events, "page_id", "left")
+    s = p.groupBy(U.url_part(F.col("url"), "host").alias("host")).agg(
+        F.bool_or(F.col("html").rlike("<title>[^<%]*</title>")).alias("ok"), F.count(F.lit(1)).alias("items"), F.count_if(~F.col("url").contains("?")).alias("with_url"), F.count_if(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")).alias("old_items")
+    )
+    grade = reports.route_grade(F.col("ok"), F.col("items"), F.col("with_url"), F.col("old_items") / F.greatest("items", F.lit(1)))
+    return s.select("host", "items", "with_url", "old_items", grade.alias("grade"))
 
 
 @query("""SELECT section, doc_id, CAST(rn AS INTEGER) AS rank FROM (SELECT s.section, d.doc_id, row_number() OVER (PARTITION BY s.section ORDER BY d.n_chars DESC, d.doc_id) AS rn FROM documents d JOIN (VALUES ('north', 'keit'), ('south', 'ción'), ('west', 'eauoi'), ('west', 'ouvi')) s(section, keyword)
@@ -95,16 +103,22 @@ def q_score_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.groupBy("pool", X.bucket(F.col("rule_score"), [8, 3], ["high", "middle", "low"]).alias("score_bucket"), F.when(F.lower("text").contains("http"), "linked").otherwise("plain").alias("kind")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("""SELECT doc_id, CAST(len(d) AS INTEGER) AS dates, list_min(d) AS first_date, list_max(d) AS last_date FROM (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '((?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2})', 1), lambda x: try_cast(regexp_replace(x, '[/.]', '-', 'g') AS DATE)), lambda x: x IS NOT NULL) AS d FROM (SELECT doc_id, text || ' 2024-0' || (1 + doc_id % 9) || '-1' || (doc_id % 9) || ' 2023/12/3' AS text FROM documents))""")
+@query("""SELECT o_custkey, CAST(len(d) AS INTEGER) AS dates, list_min(d) AS first_date, list_max(d) AS last_date FROM (SELECT o_custkey, list_transform(regexp_extract_all(told, '[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}'), lambda x: CAST(replace(x, '/', '-') AS DATE)) AS d
+FROM (SELECT o_custkey, string_agg(CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y/%m/%d') ELSE strftime(o_orderdate, 'on %Y-%m-%d') END, ', ') AS told FROM orders GROUP BY o_custkey))""")
 def q_text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from gristmill.functions import times as T
+    """Dates that are read from a customer's orders told as text."""
+    day = F.col("o_orderdate").cast("timestamp")
+    form = F.when(F.col("o_orderkey") % 2 == 0, F.date_format(day, "yyyy/MM/dd")).otherwise(F.date_format(day, "'on 'yyyy-MM-dd"))
+    d = T.text_dates(F.col("told"))
+    told = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_join(F.collect_list(form), ", ").alias("told"))
+    return told.select("o_custkey", F.size(d).alias("dates"), F.array_min(d).alias("first_date"), F.array_max(d).alias("last_date"))
+
 
-    dated = F.concat("text", F.lit(" 2024-0"), 1 + F.col("doc_id") % 9, F.lit("-1"), F.col("doc_id") % 9, F.lit(" 2023/12/3"))
-    d = T.text_dates(F.col("dated"))
-    return table(spark, sf_dir, "documents").select("doc_id", dated.alias("dated")).select("doc_id", F.size(d).alias("dates"), F.array_min(d).alias("first_date"), F.array_max(d).alias("last_date"))
+_STIFF, _LIVELY = ("[a-z]+mente", "[a-z]+keit"), ("[a-z]+ing ", "eau")
 
 
-@query("""SELECT conv_id, turn, CAST(greatest(0.0, least(100.0, 80 - 5 * (length(t) - length(replace(t, 'therefore', ''))) / 9 + least(20.0, 4 * (length(t) - length(replace(t, 'the ', ''))) / 4) - CASE WHEN list_sum(p) / greatest(len(p), 1) > 60 THEN 10.0 ELSE 0.0 END)) AS DOUBLE) AS score
-FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS t, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '[,.;:!?\\n]'), lambda s: length(trim(s))), lambda n: n > 0) AS p FROM conversations)""")
+@query(r"""SELECT conv_id, turn, CAST(greatest(0, least(100, 100 - 5 * (len(regexp_extract_all(text, '[a-z]+mente')) + len(regexp_extract_all(text, '[a-z]+keit'))) + least(20, 2 * (len(regexp_extract_all(text, '[a-z]+ing ')) + len(regexp_extract_all(text, 'eau'))))
+ - CASE WHEN mean > 40 THEN 20 WHEN mean > 30 THEN 10 ELSE 0 END - CASE WHEN 2 * len(regexp_extract_all(text, 'the ')) + len(regexp_extract_all(text, 'und ')) < 3 THEN 15 ELSE 0 END)) AS INTEGER) AS score
+FROM (SELECT conv_id, turn, coalesce(text, '') AS text, coalesce(list_avg(list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '[。！？\n]'), lambda s: length(trim(s))), lambda n: n > 5)), 0) AS mean FROM conversations)""".replace("\\n", "\n"))
 def q_orality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.orality(F.col("text"), ("therefore",), ("the ",)).alias("score"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.orality(F.col("text"), _STIFF, _LIVELY, you="the ", we="und ").alias("score"))

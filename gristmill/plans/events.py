@@ -19,14 +19,6 @@ def q_time_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("event_type", status.alias("time_status")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query(f"""SELECT event_type, CASE WHEN event_type IN ('purchase') THEN 'trusted' WHEN ts > TIMESTAMP '{AS_OF}' + INTERVAL 1 DAY THEN 'future' WHEN {_AGE} > CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 3 ELSE 7 END THEN 'too_old' ELSE 'kept' END AS gate, count(*) AS rows FROM events GROUP BY ALL""")
-def q_date_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    as_of = F.lit(AS_OF).cast("timestamp")
-    limit = scoring.lookup(F.col("event_type"), {"view": 1, "click": 3}, 7)
-    gate = scoring.first_guard([(F.col("event_type") == "purchase", "trusted", ""), (F.col("ts") > as_of + F.expr("interval 1 day"), "future", ""), (T.age_days(F.col("ts"), as_of) > limit, "too_old", "")], ("kept", ""))
-    return table(spark, sf_dir, "events").groupBy("event_type", gate["outcome"].alias("gate")).agg(F.count(F.lit(1)).alias("rows"))
-
-
 @query("SELECT CAST(ts + INTERVAL 25 HOUR AS DATE) AS day, event_type, count(*) AS rows, count(DISTINCT user_id) AS users FROM events GROUP BY ALL")
 def q_offset_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy(T.daily_window(F.col("ts")).alias("day"), "event_type").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("users"))
@@ -92,23 +84,30 @@ def q_ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latest(rows, "key", "event_id").select("key.user_id", "key.event_type", "event_id", "value")
 
 
-_NOVELTY = """WITH e AS (SELECT event_id, user_id || ':' || event_type AS key, CAST(ts AS DATE) AS day, CAST(props->>'$.k' AS BIGINT) % 4 AS fact FROM events),
-w AS (SELECT *, min(day) OVER (PARTITION BY key ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS first_day, row_number() OVER (PARTITION BY key ORDER BY event_id) - 1 AS seen,
-  lag(day) OVER (PARTITION BY key ORDER BY event_id) AS last_day, fact IS DISTINCT FROM lag(fact) OVER (PARTITION BY key ORDER BY event_id) AS changed FROM e)
-SELECT event_id, key, seen, CASE WHEN seen = 0 THEN 'new' WHEN first_day = day THEN 'same_day' WHEN changed THEN 'updated' WHEN date_diff('day', last_day, day) > 7 THEN 'stale_repeat' WHEN date_diff('day', first_day, day) > 3 THEN 'old_fact' ELSE 'repeat' END AS status FROM w"""
+_NOVELTY = """WITH e AS (SELECT event_id, user_id || ':' || event_type AS key, CAST(ts AS DATE) AS day, CAST(props->>'$.k' AS BIGINT) % 2 AS fact, CASE WHEN CAST(props->>'$.k' AS BIGINT) % 9 = 0 THEN 'republished_old_fact' END AS freshness FROM events),
+w AS (SELECT *, min(day) OVER (PARTITION BY key ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS first_day, lag(day) OVER (PARTITION BY key ORDER BY event_id) AS last_day, fact IS DISTINCT FROM lag(fact) OVER (PARTITION BY key ORDER BY event_id) AS changed FROM e),
+x AS (SELECT *, last_day IS NOT NULL AND changed AS again, date_diff('day', last_day, day) AS gap FROM w),
+y AS (SELECT *, 1 + count(*) FILTER (again AND first_day <> day) OVER (PARTITION BY key ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS report_count, max(CASE WHEN first_day = day OR again THEN day END) OVER (PARTITION BY key ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS last_reported,
+  count(*) FILTER (again) OVER (PARTITION BY key ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM x),
+z AS (SELECT *, min(day) OVER (PARTITION BY key, run ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS fact_first_day, row_number() OVER (PARTITION BY key, run ORDER BY event_id) AS fact_seen,
+  CASE WHEN last_day IS NULL THEN 'new_today' WHEN first_day = day THEN CASE WHEN changed THEN 'updated_today' ELSE 'new_today' END WHEN changed THEN 'updated_today' WHEN freshness IS NOT NULL OR gap < 3 THEN 'repeated' WHEN gap < 7 THEN 'ongoing' ELSE 'background' END AS status FROM y)
+SELECT event_id, key, status, CASE WHEN status IN ('new_today', 'updated_today') THEN 'core' WHEN status = 'repeated' THEN 'reference' WHEN status = 'ongoing' THEN 'tracking' ELSE 'archive' END AS eligibility, report_count, last_reported, fact_first_day, fact_seen, gap AS gap_days FROM z"""
+
+
+def novelties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("long")
+    rows = table(spark, sf_dir, "events").select("event_id", F.concat_ws(":", "user_id", "event_type").alias("key"), F.to_date("ts").alias("day"), (k % 2).alias("fact"), F.when(k % 9 == 0, "republished_old_fact").alias("freshness"))
+    return ledger.novelty(rows, "key", "event_id", "day", "fact", "freshness")
 
 
 @query(_NOVELTY)
 def q_novelty_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = F.get_json_object("props", "$.k").cast("long") % 4
-    rows = table(spark, sf_dir, "events").select("event_id", F.concat_ws(":", "user_id", "event_type").alias("key"), F.to_date("ts").alias("day"), fact.alias("fact"))
-    return ledger.novelty(rows, "key", "event_id", "day", "fact").select("event_id", "key", "seen", "status")
+    return novelties(spark, sf_dir).select("event_id", "key", "status", "eligibility", "report_count", "last_reported", "fact_first_day", "fact_seen", "gap_days")
 
 
-@query(f"SELECT status, CASE WHEN status IN ('new', 'same_day', 'updated') THEN 'core' WHEN status = 'repeat' THEN 'reference' ELSE 'reject' END AS eligibility, count(*) AS rows FROM ({_NOVELTY}) GROUP BY ALL")
+@query(f"SELECT status, eligibility, count(*) AS rows, max(report_count) AS most_reports FROM ({_NOVELTY}) GROUP BY ALL")
 def q_novelty_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = q_novelty_fold(spark, sf_dir)
-    return s.groupBy("status", ledger.eligibility(F.col("status")).alias("eligibility")).agg(F.count(F.lit(1)).alias("rows"))
+    return novelties(spark, sf_dir).groupBy("status", "eligibility").agg(F.count(F.lit(1)).alias("rows"), F.max("report_count").alias("most_reports"))
 
 
 @query("""SELECT user_id, min(CAST(ts AS DATE)) AS first_seen, max(CAST(ts AS DATE)) AS last_seen, max(event_id) AS event_id,
@@ -118,16 +117,23 @@ def q_ledger_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.rebuild(log, "user_id", "day", "event_id", ["event_type"])
 
 
-@query("""SELECT day, event_type, n, CAST(sum(n) OVER (PARTITION BY event_type, date_trunc('month', day) ORDER BY day) AS BIGINT) AS used, CASE WHEN sum(n) OVER (PARTITION BY event_type, date_trunc('month', day) ORDER BY day) * 31 >= 1500 * day(day) THEN 'over' WHEN sum(n) OVER (PARTITION BY event_type, date_trunc('month', day) ORDER BY day) * 31 >= 1000 * day(day) THEN 'warn' ELSE 'ok' END AS status
-FROM (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL)""")
+_MONTH = {"click": 1800, "view": 2400, "signup": 2050, "error": 1300}
+
+
+@query("""WITH s AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS day), q(event_type, quota) AS (VALUES ('click', 1800), ('view', 2400), ('signup', 2050), ('error', 1300)),
+n AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL)
+SELECT event_type, day, used, CASE WHEN used * 31 >= 15 * quota * day(day) / 10 THEN 'critical' WHEN used * 31 >= 12 * quota * day(day) / 10 THEN 'high' WHEN used * 31 >= quota * day(day) THEN 'warn' ELSE 'ok' END AS status
+FROM (SELECT event_type, quota, s.day, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY event_type ORDER BY s.day) AS BIGINT) AS used FROM s CROSS JOIN q LEFT JOIN n USING (day, event_type))""")
 def q_quota_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-to-date use of each type on a spine of days, against its quota to date (1.0, 1.2 and 1.5 of it)."""
     from pyspark.sql import Window
 
+    spine = spark.createDataFrame(list(_MONTH.items()), "event_type string, quota long").withColumn("day", F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"))))
     daily = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    month = Window.partitionBy("event_type", F.trunc("day", "month")).orderBy("day")
-    daily = daily.withColumn("used", F.sum("n").over(month))
-    pace = F.col("used") * 31
-    return daily.withColumn("status", F.when(pace >= 1500 * F.dayofmonth("day"), "over").when(pace >= 1000 * F.dayofmonth("day"), "warn").otherwise("ok"))
+    month = Window.partitionBy("event_type").orderBy("day")
+    used = spine.join(daily, ["event_type", "day"], "left").withColumn("used", F.sum(F.coalesce("n", F.lit(0))).over(month))
+    pace, due = F.col("used") * 310, F.col("quota") * F.dayofmonth("day")
+    return used.select("event_type", "day", "used", F.when(pace >= 15 * due, "critical").when(pace >= 12 * due, "high").when(pace >= 10 * due, "warn").otherwise("ok").alias("status"))
 
 
 @query("""SELECT CAST(props->>'$.k' AS BIGINT) % 10 AS step, count(*) AS runs, count(*) FILTER (event_type = 'error') AS errors, CASE WHEN count(*) FILTER (event_type = 'error') = 0 THEN 'ok' WHEN CAST(props->>'$.k' AS BIGINT) % 10 < 3 THEN 'critical' ELSE 'warning' END AS level FROM events GROUP BY 1""".replace("CAST(props->>'$.k' AS BIGINT) % 10 < 3", "any_value(CAST(props->>'$.k' AS BIGINT) % 10) < 3"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions import times as T
@@ -28,17 +28,17 @@ def q_period_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters(table(spark, sf_dir, "events"))
 
 
-@query(f"""SELECT period, event_type, topic, n, before, CASE WHEN before IS NULL THEN CASE WHEN days >= 3 THEN 'emerging' ELSE 'new' END WHEN n >= 2 * before AND days >= 3 THEN 'accelerating' WHEN n > before THEN 'rising' WHEN n = before THEN 'stable' ELSE 'cooling' END AS direction
-FROM (SELECT *, lag(n) OVER (PARTITION BY event_type, topic ORDER BY period) AS before FROM ({_CLUSTERS}))""")
+@query(f"""SELECT period, event_type, topic, n, before, CASE WHEN before IS NULL THEN CASE WHEN days >= 3 AND users >= 3 THEN 'emerging' ELSE 'unclear' END WHEN before > 0 AND n >= before * 1.5 AND days >= 3 AND users >= 3 THEN 'accelerating' WHEN before >= 3 AND n <= before * 0.5 THEN 'weakening'
+ WHEN before > 0 AND abs(n - before) <= greatest(1.0, before * 0.2) THEN 'stable' ELSE 'unclear' END AS direction FROM (SELECT *, lag(n) OVER (PARTITION BY event_type, topic ORDER BY period) AS before FROM ({_CLUSTERS}))""")
 def q_period_over_period_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = reports.trend(clusters(table(spark, sf_dir, "events")), ["event_type", "topic"], "period", "n", "days")
-    return t.select("period", "event_type", "topic", "n", "before", "direction")
+    before = F.lag("n").over(Window.partitionBy("event_type", "topic").orderBy("period"))
+    c = clusters(table(spark, sf_dir, "events")).withColumn("before", before)
+    return c.select("period", "event_type", "topic", "n", "before", reports.trend(F.col("n"), F.col("before"), F.col("days"), F.col("users")).alias("direction"))
 
 
-@query(f"""WITH c AS (SELECT *, event_type || '-' || topic || '-' || period AS id FROM ({_CLUSTERS})), r AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY best DESC, id) AS g,
-  row_number() OVER (PARTITION BY event_type = 'error' ORDER BY best DESC, id) AS d0, row_number() OVER (PARTITION BY period = '2024-W05' ORDER BY best DESC, id) AS d1 FROM c),
-l AS (SELECT *, CASE WHEN g <= 1 THEN 1 WHEN event_type = 'error' AND d0 <= 10 THEN 2 WHEN period = '2024-W05' AND d1 <= 10 THEN 3 ELSE 4 END AS layer FROM r)
-SELECT id, CAST(layer AS INTEGER) AS layer FROM l ORDER BY layer, best DESC, id LIMIT 80""")
+@query(f"""WITH c AS (SELECT *, event_type || '-' || topic || '-' || period AS id FROM ({_CLUSTERS})), a AS (SELECT id, 1 AS layer FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY best DESC, id) AS g FROM c) WHERE g <= 1
+ UNION ALL SELECT id, 2 FROM (SELECT id FROM c WHERE event_type = 'error' ORDER BY best DESC, id LIMIT 10) UNION ALL SELECT id, 3 FROM (SELECT id FROM c WHERE period = '2024-W05' ORDER BY best DESC, id LIMIT 10) UNION ALL SELECT id, 4 FROM c),
+l AS (SELECT id, min(layer) AS layer FROM a GROUP BY id) SELECT id, CAST(layer AS INTEGER) AS layer FROM l JOIN c USING (id) ORDER BY layer, best DESC, id LIMIT 80""")
 def q_quota_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = clusters(table(spark, sf_dir, "events")).withColumn("id", F.concat_ws("-", "event_type", "topic", "period"))
     return reports.quota(c, "id", "best", "topic", 1, {"event_type": ("error", 10), "period": ("2024-W05", 10)}, 80).select("id", "layer")
@@ -63,17 +63,17 @@ def q_period_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def q_first_fit_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = scored_events(table(spark, sf_dir, "events")).where("priority <> 'ARCHIVE'")
-    rows = e.select("event_id", T.period_id(F.to_date("ts"), "weekly").alias("period"), "weighted", F.concat_ws(":", "event_type", F.col("user_id") % 50).alias("key"), F.get_json_object("props", "$.k").alias("fact"))
-    return dedup.first_fit(rows, "period", [F.col("weighted").desc(), F.col("event_id")], ["key", "fact"])
+    rows = e.select("event_id", T.period_id(F.to_date("ts"), "weekly").alias("period"), (-F.col("weighted")).alias("order"), F.concat_ws(":", "event_type", F.col("user_id") % 50).alias("key"), F.get_json_object("props", "$.k").alias("fact"))
+    return dedup.first_fit(rows, "period", ["order", "event_id"], ["key", "fact"])
 
 
-@query("""WITH c AS (SELECT conv_id, turn, role, unnest(regexp_extract_all(text, '([0-9]+)', 1)) AS number FROM conversations), k AS (SELECT DISTINCT conv_id, number FROM c WHERE role = 'user')
-SELECT conv_id, count(*) AS claims, count(*) FILTER (k.number IS NULL) AS unsupported FROM (SELECT DISTINCT conv_id, number FROM c WHERE role <> 'user') a LEFT JOIN k USING (conv_id, number) GROUP BY conv_id""")
+@query("""SELECT o_orderkey AS claim, floor(o_totalprice) AS number FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND abs(floor(o_totalprice) - floor(l_extendedprice)) * 100 <= abs(floor(l_extendedprice)) * 10)""")
 def q_numeric_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbers = table(spark, sf_dir, "conversations").select("conv_id", "role", F.explode(F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1))).alias("number"))
-    known = numbers.where("role = 'user'").select("conv_id", "number").distinct().withColumn("met", F.lit(True))
-    claims = numbers.where("role <> 'user'").select("conv_id", "number").distinct()
-    return claims.join(known, ["conv_id", "number"], "left").groupBy("conv_id").agg(F.count(F.lit(1)).alias("claims"), F.count_if(F.col("met").isNull()).alias("unsupported"))
+    """Prices of orders, as claims, that no line of the order bears out within a tenth."""
+    number = lambda c: F.floor(c).alias("number")
+    claims = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("claim"), F.lit("price").alias("unit"), number("o_totalprice"))
+    known = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("claim"), F.lit("price").alias("unit"), number("l_extendedprice"))
+    return reports.unmatched_numbers(claims, known, "claim").select("claim", "number")
 
 
 @query("""SELECT o_orderstatus AS kind, CAST(o_orderdate AS DATE) AS day, c.campaign, count(*) AS orders FROM orders JOIN (VALUES ('spring', 3, 5), ('summer', 6, 8), ('autumn', 9, 11), ('winter_a', 1, 2), ('winter_b', 12, 12)) c(campaign, m1, m2) ON month(o_orderdate) BETWEEN m1 AND m2 GROUP BY ALL""")
@@ -84,10 +84,21 @@ def q_campaign_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(months, "month").groupBy("kind", "day", "campaign").agg(F.count(F.lit(1)).alias("orders"))
 
 
-@query("""WITH q AS (SELECT n_name, c_mktsegment, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY customers DESC, n_name) AS rn FROM q)
-SELECT c_mktsegment || ' ' || n_name AS query, CASE WHEN rn <= 3 THEN 'A' WHEN rn <= 8 THEN 'B' ELSE 'C' END AS tier FROM r WHERE rn <= 12""")
+_TEMPLATES = ("{segment} in {nation}", "news of {segment} {nation}", "{nation}")
+_GENERATED = """WITH n AS (SELECT n_nationkey, n_name FROM nation), m AS (SELECT DISTINCT c_mktsegment FROM customer), t(ord, template) AS (VALUES (1, '{segment} in {nation}'), (2, 'news of {segment} {nation}'), (3, '{nation}')),
+x AS (SELECT replace(replace(template, '{segment}', c_mktsegment), '{nation}', n_name) AS query, CASE WHEN ord = 1 AND n_nationkey < 5 THEN 'A' WHEN ord = 2 THEN 'B' ELSE 'C' END AS tier, ord = 2 AS dated, n_nationkey FROM n CROSS JOIN m CROSS JOIN t),
+u AS (SELECT query, min({'tier': tier, 'dated': NOT dated, 'nation': n_nationkey}) AS b FROM x GROUP BY query),
+r AS (SELECT query, b.tier AS tier, CASE WHEN b.tier = 'A' THEN 0 WHEN NOT b.dated THEN 1 ELSE 2 END AS stage, row_number() OVER (ORDER BY CASE WHEN b.tier = 'A' THEN 0 WHEN NOT b.dated THEN 1 ELSE 2 END, b.nation, query) AS place FROM u)"""
+
+
+@query(_GENERATED + " SELECT query, tier, CAST(place AS INTEGER) AS place FROM r WHERE tier = 'A' OR place <= 150")
 def q_query_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    q = table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("customers")).join(nations, "c_nationkey")
-    top = reports.top_per_group(q, ["c_mktsegment"], [F.col("customers").desc(), F.col("n_name")], 12)
-    return top.select(F.concat_ws(" ", "c_mktsegment", "n_name").alias("query"), F.when(F.col("rank") <= 3, "A").when(F.col("rank") <= 8, "B").otherwise("C").alias("tier"))
+    """Search queries: templates filled with the product of two small dimensions, each once, under a budget that spares tier A."""
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    segments = table(spark, sf_dir, "customer").select("c_mktsegment").distinct()  # a handful: the product is bounded by the dimensions
+    filled = F.array(*[F.struct(F.lit(k).alias("ord"), F.replace(F.replace(F.lit(t), F.lit("{segment}"), F.col("c_mktsegment")), F.lit("{nation}"), F.col("n_name")).alias("query")) for k, t in enumerate(_TEMPLATES, 1)])
+    each = nations.withColumn("one", F.lit(1)).join(segments.withColumn("one", F.lit(1)), "one").select("n_nationkey", F.explode(filled).alias("q")).select("n_nationkey", "q.ord", "q.query")
+    tier = F.when((F.col("ord") == 1) & (F.col("n_nationkey") < 5), "A").when(F.col("ord") == 2, "B").otherwise("C")
+    unique = each.groupBy("query").agg(F.min(F.struct(tier.alias("tier"), (F.col("ord") != 2).alias("undated"), "n_nationkey")).alias("b")).select("query", "b.*")
+    stage = F.when(F.col("tier") == "A", 0).when(~F.col("undated"), 1).otherwise(2)
+    return dedup.within_budget(unique, [stage, F.col("n_nationkey"), F.col("query")], 150, free=F.col("tier") == "A").select("query", "tier", "place")

@@ -26,35 +26,33 @@ def first_seen(stream: DataFrame, ts: str, keys: list[str], late: str = "7 days"
 
 
 class NoveltyProcessor(StatefulProcessor):
-    """Per key: first day, last day, rows seen and the last fact; gives each row the status that the batch fold gives."""
+    """Per key: first and last day and the last fact; gives each row the status that the batch fold gives."""
 
-    def __init__(self, key: str, seq: str, day: str, fact: str, stale_days: int = 7, fresh_days: int = 3):
-        self.key, self.seq, self.day, self.fact, self.stale, self.fresh = key, seq, day, fact, stale_days, fresh_days
+    def __init__(self, key: str, seq: str, day: str, fact: str, near_days: int = 3, stale_days: int = 7):
+        self.key, self.seq, self.day, self.fact, self.near, self.stale = key, seq, day, fact, near_days, stale_days
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "first_day date, last_day date, seen long, fact string")
+        self.state = handle.getValueState("state", "first_day date, last_day date, fact string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         held = self.state.get() if self.state.exists() else None
-        first, last, seen, fact = held if held else (None, None, 0, None)
+        first, last, fact = held if held else (None, None, None)
         batch = pd.concat(list(rows)).sort_values(self.seq)
         status = []
         for day, now in zip(batch[self.day], batch[self.fact], strict=True):
             first = day if first is None or day < first else first
-            if seen == 0:
-                status.append("new")
+            if last is None:
+                status.append("new_today")
             elif first == day:
-                status.append("same_day")
+                status.append("new_today" if now == fact else "updated_today")
             elif now != fact:
-                status.append("updated")
-            elif (day - last).days > self.stale:
-                status.append("stale_repeat")
-            elif (day - first).days > self.fresh:
-                status.append("old_fact")
+                status.append("updated_today")
+            elif (day - last).days < self.near:
+                status.append("repeated")
             else:
-                status.append("repeat")
-            last, seen, fact = day, seen + 1, now
-        self.state.update((first, last, seen, fact))
+                status.append("ongoing" if (day - last).days < self.stale else "background")
+            last, fact = day, now
+        self.state.update((first, last, fact))
         yield pd.DataFrame({self.key: [key[0]] * len(batch), self.seq: batch[self.seq].values, "status": status})
 
     def close(self) -> None:
