@@ -1,11 +1,12 @@
-"""Cutting the lineage of loops, in the folder that driver and executors share."""
+"""Cutting the lineage of loops, in the folder that driver and executors share, and keeping long expressions apart."""
 
 from __future__ import annotations
 
 import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -17,3 +18,13 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns, each computed once however often what is built on them names them.
+
+    They pass through a one-row inner table, into which the optimizer copies no expression and pushes no filter; long
+    ladders would multiply otherwise.
+    """
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select("*", made.alias("_once")).select(*df.columns, *[F.col("_once")[n].alias(n) for n in columns])

@@ -9,6 +9,7 @@ from gristmill.functions import text as X
 from gristmill.functions import times as T
 from gristmill.operators import ladders as L
 from gristmill.operators import reports, scoring
+from gristmill.operators.lineage import once
 from gristmill.plans.articles import KEYWORDS, scored
 from gristmill.plans.registry import query, table
 from gristmill.plans.sql import any_of, count_of, matches
@@ -92,13 +93,13 @@ def classed(df: DataFrame) -> DataFrame:
     """Articles with kind of page, place, retrospective level, core kind and time status."""
     at = [F.col(c) for c in ("title", "summary", "content")]
     status = T.time_status(F.col("published"), F.lit(AS_OF).cast("timestamp"))
-    return df.select(
-        "*",
-        L.page_type(F.col("url"), *at, ARTICLE).alias("page"),
-        L.region(F.col("url"), *at, ARTICLE).alias("place"),
-        L.retrospective(*at, ARTICLE).alias("retro"),
-        L.core_hit(*at, ARTICLE).alias("core"),
-        F.when(F.col("k") % 10 == 0, "uncertain_date").otherwise(status).alias("time"),
+    return once(
+        df,
+        page=L.page_type(F.col("url"), *at, ARTICLE),
+        place=L.region(F.col("url"), *at, ARTICLE),
+        retro=L.retrospective(*at, ARTICLE),
+        core=L.core_hit(*at, ARTICLE),
+        time=F.when(F.col("k") % 10 == 0, "uncertain_date").otherwise(status),
     )
 
 
@@ -185,7 +186,7 @@ def pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reviewed": F.when(F.col("quality") == 1, "main").when(F.col("quality") == 0, "reject"),
     }
     decided = L.pool_decision(given, ARTICLE, F.lit(AS_OF).cast("timestamp"))
-    return a.select("doc_id", "source", F.col("rule_score").alias("score"), "page", "time", decided.alias("d")).select("doc_id", "source", "score", "page", "time", "d.pool", "d.reason")
+    return once(a, d=decided).select("doc_id", "source", F.col("rule_score").alias("score"), "page", "time", "d.pool", "d.reason")
 
 
 @query(f"SELECT doc_id, pool, reason FROM ({_POOLED})")
@@ -268,7 +269,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentence = lambda n: F.split_part("text", F.lit("."), n.cast("int"))
     at = F.col("event_id") % 10
     out = e.join(d, "doc_id", "left").select("event_id", "ts", "value", "user_id", "kind", "k", "source_name", "url", sentence(F.lit(1)).alias("title"), sentence(1 + at).alias("fact"), sentence(2 + at).alias("evidence"))
-    return out.withColumn("text", F.concat_ws(" ", X.nz(F.col("title")), X.nz(F.col("fact")), X.nz(F.col("evidence"))))
+    return once(out, text=F.concat_ws(" ", X.nz(F.col("title")), X.nz(F.col("fact")), X.nz(F.col("evidence"))))
 
 
 _HOST_E = f"regexp_replace({_HOST}, '^m[.]', '')"
@@ -309,16 +310,16 @@ def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     variables = F.array(F.concat(F.lit("v"), k % 7), F.concat(F.lit("v"), k % 11))
     label = lambda names, n: F.coalesce(F.get(F.array(*map(F.lit, names)), (k % n).cast("int")), F.lit(""))
     e = e.withColumn("platforms", X.keyword_hits(F.col("text"), _PLATFORMS)).withColumn("competitors", X.keyword_hits(F.col("text"), _COMPETITORS)).withColumn("variables", variables)
-    e = e.select(
-        "*",
-        L.importance(F.col("kind"), F.col("title"), F.col("fact"), EVENT).alias("importance"),
-        L.relevance(F.col("text"), EVENT).alias("relevance"),
-        L.impact_scope(F.col("text"), F.size("platforms"), F.size("competitors"), F.col("kind"), EVENT).alias("scope"),
-        L.credibility(F.col("source_name"), F.col("url"), EVENT).alias("credibility"),
-        L.richness(F.col("text"), F.col("fact"), EVENT).alias("richness"),
-        L.actionability(F.col("variables"), F.col("kind"), EVENT).alias("actionability"),
-        L.time_sensitivity(label(("today", "recent", "background", "old_background"), 5), F.col("ts"), F.lit(AS_OF).cast("timestamp"), EVENT).alias("sensitivity"),
-        L.novelty(label(("new", "follow_up", "old_background"), 6), F.col("fact"), F.col("repeated"), EVENT).alias("novelty"),
+    e = once(
+        e,
+        importance=L.importance(F.col("kind"), F.col("title"), F.col("fact"), EVENT),
+        relevance=L.relevance(F.col("text"), EVENT),
+        scope=L.impact_scope(F.col("text"), F.size("platforms"), F.size("competitors"), F.col("kind"), EVENT),
+        credibility=L.credibility(F.col("source_name"), F.col("url"), EVENT),
+        richness=L.richness(F.col("text"), F.col("fact"), EVENT),
+        actionability=L.actionability(F.col("variables"), F.col("kind"), EVENT),
+        sensitivity=L.time_sensitivity(label(("today", "recent", "background", "old_background"), 5), F.col("ts"), F.lit(AS_OF).cast("timestamp"), EVENT),
+        novelty=L.novelty(label(("new", "follow_up", "old_background"), 6), F.col("fact"), F.col("repeated"), EVENT),
     )
     e = e.withColumn("weighted", scoring.weighted_sum({c: F.col(c) for c in _WEIGHTS}, _WEIGHTS))
     w = F.col("weighted")
@@ -381,7 +382,7 @@ def downgraded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rated events with the priority that the downgrade chain leaves, and its reasons."""
     d = dimensions(spark, sf_dir)
     given = {c: F.col(c) for c in ("url", "fact", "title", "text", "evidence", "freshness", "confidence", "method", "kind", "weighted", "credibility", "relevance", "richness")}
-    out = d.withColumn("d", L.downgrade(F.col("priority"), given | {"eligibility": F.lit("")}, EVENT))
+    out = once(d, d=L.downgrade(F.col("priority"), given | {"eligibility": F.lit("")}, EVENT))
     return out.select("*", F.col("d.priority").alias("final"), F.col("d.reasons").alias("reasons")).drop("d")
 
 
@@ -442,9 +443,9 @@ def analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Downgraded events with their impact analysis and the action level that its checks leave."""
     d = downgraded(spark, sf_dir)
     e = {c: F.col(c) for c in ("platforms", "text", "variables", "kind", "confidence", "credibility", "richness", "relevance", "title", "method")} | {"priority": F.col("final")}
-    d = d.withColumn("a", L.analysis(e, IMPACT))
+    d = once(d, a=L.analysis(e, IMPACT))
     given = {c: F.col("a")[c] for c in ("action_level", "recommended_action", "metrics")}
-    return d.withColumn("checked", L.analysis_downgrade(given, e, IMPACT))
+    return once(d, checked=L.analysis_downgrade(given, e, IMPACT))
 
 
 @query(f"""SELECT event_id, impact_type, array_to_string(channels, '|') AS channels, array_to_string({_ALLVARS}, '|') AS variables, action, level, why, CASE kind WHEN 'platform_rule' THEN 'rules team' WHEN 'competitor_move' THEN 'market team' ELSE 'undecided' END AS owner,
@@ -463,7 +464,7 @@ _LABELLED = f"""SELECT *, CASE WHEN len(raw_labels) > 0 THEN raw_labels ELSE ['C
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysed(spark, sf_dir).withColumn("labels", L.judgment_labels(F.col("title"), F.col("fact"), F.col("final"), IMPACT)).withColumn("level", F.col("checked.action_level"))
+    return once(analysed(spark, sf_dir), labels=L.judgment_labels(F.col("title"), F.col("fact"), F.col("final"), IMPACT)).withColumn("level", F.col("checked.action_level"))
 
 
 @query(f"""SELECT event_id, array_to_string(labels, '') AS labels, CASE WHEN confidence = 'low' THEN CASE WHEN final = 'P1' OR weighted >= 3.5 AND credibility >= 3 THEN 'look' ELSE 'verify' END WHEN method = 'rule_fallback' THEN 'rule' ELSE '' END AS tag FROM ({_LABELLED})""")
