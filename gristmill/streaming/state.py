@@ -1,4 +1,4 @@
-"""Structured Streaming twins: offset windows, seen-set dedup and the novelty ledger as keyed state."""
+"""Structured Streaming twins: offset windows, lateness gates, calendar periods, sessions, seen-set dedup and the novelty ledger as keyed state."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from gristmill.functions import times as T
+
 
 def windowed_counts(stream: DataFrame, ts: str, keys: list[str], late: str = "7 days", size: str = "1 day", offset: str = "23 hours") -> DataFrame:
     """Counts by key in daily windows that start at 07:00 of UTC+8; rows later than ``late`` are left out."""
@@ -25,6 +27,29 @@ def first_seen(stream: DataFrame, ts: str, keys: list[str], late: str = "7 days"
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
+def lateness(stream: DataFrame, ts: str, arrived: str, tier: str, days: dict[str, int] | None = None, future_days: int = 1) -> DataFrame:
+    """``stream`` with ``gate``: kept, late (more than its tier's days before it ``arrived``), future or undated.
+
+    Tiers reach back 1, 3 and 7 days by default; one watermark of the longest serves all, and this column tells them apart.
+    """
+    days = days or {"channel": 1, "search": 3, "broad": 7}
+    limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in days.items() for x in kv]), F.col(tier)), F.lit(1))
+    age = (F.unix_micros(F.col(arrived).cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))) / F.lit(86_400_000_000.0)
+    gate = F.when(F.col(ts).isNull(), F.when(F.col(tier) == "broad", "kept").otherwise("undated")).when(age < -future_days, "future").when(age > limit, "late").otherwise("kept")
+    return stream.withColumn("gate", gate)
+
+
+def gate_counts(gated: DataFrame, ts: str, late: str = "7 days") -> DataFrame:
+    """Why rows were kept or not, counted by day: the side output of ``lateness``. Undated rows have no day and aren't counted."""
+    return gated.where(F.col(ts).isNotNull()).withWatermark(ts, late).groupBy(F.window(ts, "1 day"), "gate").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def calendar_counts(stream: DataFrame, ts: str, kind: str, keys: list[str]) -> DataFrame:
+    """Counts by ``weekly`` (from Monday), ``monthly`` or ``yearly`` period and key; months have no fixed length, so this
+    runs in complete or update mode."""
+    return stream.groupBy(T.period_start(F.to_date(ts), kind).alias("period"), *keys).agg(F.count(F.lit(1)).alias("rows"))
+
+
 class NoveltyProcessor(StatefulProcessor):
     """Per key: first and last day and the last fact; gives each row the status that the batch fold gives."""
 
