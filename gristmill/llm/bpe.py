@@ -135,8 +135,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_ids: bool =
     """Tokens of every whole text of ``docs`` (doc_id, text), decoded again.
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip (the decoded bytes are the text's) and, if asked
-    for, ids. A null text counts as empty, an empty one has no tokens; repeated rows give repeated rows; other columns
-    are ignored; an empty table gives no rows. ``path`` is the rank file, on each worker. No shuffle.
+    for, ids. A null text counts as empty, an empty one has no tokens; very long texts are encoded whole, and a long
+    piece in n log n time; a null doc_id stays null; of pairs with equal rank the leftmost is merged first; repeated rows
+    give repeated rows; other columns are ignored; an empty table gives no rows. ``path`` is the rank file, on each worker. No shuffle.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     fields = [f for f in ENCODED.fields if with_ids or f.name != "ids"]

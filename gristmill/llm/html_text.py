@@ -407,8 +407,9 @@ EXTRACTED = StructType([StructField("page_id", LongType()), StructField("url", S
 def extract_pages(pages: DataFrame) -> DataFrame:
     """Main text of every row of ``pages`` (page_id, url, html): page_id, url, text, n_chars (code points).
 
-    A null html counts as empty and gives an empty text; repeated rows give repeated rows; other columns are ignored;
-    an empty table gives no rows. One pass without shuffle.
+    A null html counts as empty and gives an empty text; a null page_id or url stays null; very long pages are read
+    whole, in linear time; of containers with equally many points the first in the page counts; repeated rows give
+    repeated rows; other columns are ignored; an empty table gives no rows. One pass without shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

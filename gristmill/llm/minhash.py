@@ -164,7 +164,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = WORDS) -> DataF
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable, the document's own included) and kept
     (doc_id = component_id). A null, empty or blank text has an empty set and is linked with nothing; with fewer than
-    ``k`` words the whole sequence is one shingle. Texts with equal sets are one set from the start and are linked by
+    ``k`` words the whole sequence is one shingle; very long texts have all their shingles. Texts with equal sets are one set from the start and are linked by
     it. Rows that share a doc_id are one document: a link of any is a link of all. A null doc_id is linked with
     nothing and kept. Other columns are ignored; an empty table gives no rows.
     """

@@ -51,15 +51,23 @@ def number_slots(df: DataFrame, shard: str, order: Sequence[str], slot: str = "s
     return numbered.join(offsets, [shard, bucket]).withColumn(slot, (F.col(slot) + F.col(offset)).cast("long")).drop(bucket, offset)
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, weights: Sequence[float] | None = None, buckets: int = 64) -> DataFrame:
+#: Rows of a shard that are numbered in one task, about.
+BUCKET_ROWS = 250_000
+
+
+def shard_documents(docs: DataFrame, shards: int = 16, weights: Sequence[float] | None = None, buckets: int | None = None) -> DataFrame:
     """Shards of ``docs`` (doc_id, text) by the law ``key``: doc_id and the shard count alone decide.
 
     Returns doc_id, size (UTF-8 bytes of the text plus 1; a null text has none), text_crc32, law, shard, slot and
     grown_shard (the shard with one more shard of weight 1). Other columns of ``docs`` are ignored. A null doc_id is
-    a key of its own; repeated rows share their shard and get slots of their own; an empty table gives no rows.
+    a key of its own; a very long text counts with all its bytes; repeated rows share their shard and get slots of their
+    own, ties in any order; an empty table gives no rows. ``buckets`` a shard follow from the count of rows, of at most
+    about BUCKET_ROWS each.
     """
     weights = list(weights or [1.0] * shards)
     text = F.coalesce(F.col("text"), F.lit(""))
+    if buckets is None:
+        buckets = max(64, docs.count() // (shards * BUCKET_ROWS) + 1)
     rows = docs.select("doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"))
     rows = assign_shards(rows, "doc_id", weights, [*weights, 1.0])
     return number_slots(rows, "shard", ["doc_id", "text_crc32", "size"], buckets=buckets).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
