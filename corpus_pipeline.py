@@ -1,4 +1,8 @@
-"""The corpus pipeline: quality filter, line dedup, near dedup, decontamination, tokens."""
+"""The corpus pipeline: quality filter, line dedup, near dedup, decontamination, tokens.
+
+In every stage null and empty texts are rows like any other, very long texts are treated whole, an empty table gives no
+rows, and further columns pass through whatever their names; what else holds is said at each stage.
+"""
 
 from __future__ import annotations
 
@@ -15,12 +19,14 @@ NEAR_PERCENT = 80
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, trained on the labels of these documents, accepts."""
+    """Documents that the quality classifier, trained on the labels of these documents, accepts. Repeated rows and equal
+    texts are on the same side; null ids are judged by their text. Without usable labels all stay."""
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier one has; those of which nothing is left go. n_chars follows the text."""
+    """Documents without lines that an earlier one has; those of which nothing is left go. n_chars follows the text.
+    Ties in doc_id: rows of one id and text lose the same lines; null ids come first. Null and empty texts stay."""
     n_lines, n_dropped = columns_not_in(docs, "n_lines", "n_dropped")
     out = line_dedup.dedup_lines(docs)
     out = out.where(F.coalesce(~((F.col(n_dropped) > 0) & (F.trim(F.col("text")) == "")), F.lit(True)))
@@ -28,19 +34,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id. Rows without doc_id stay."""
+    """One document of each group of near copies: the one with the smallest doc_id. Rows without doc_id stay, and so do
+    null and empty texts; of rows with one doc_id an arbitrary one stays."""
     kept = minhash.near_duplicates(docs, NEAR_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
     one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; repeated rows go together, and rows without text stay."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the documents, with digests of ids and decoded bytes."""
+    """Token ids of the documents, with digests of ids and decoded bytes, a row for each row; null texts have none."""
     return bpe.encode_documents(docs)
 
 
