@@ -163,16 +163,23 @@ def report_sections(report: Column) -> Column:
 
 
 def chunks(text: Column, size: int) -> Column:
-    """Paragraphs packed in order into pieces of at most ``size`` characters; a longer paragraph stays whole."""
-    start = F.array().cast("array<string>")
+    """Paragraphs packed in order into pieces of at most ``size`` characters; a longer paragraph stays whole.
+
+    One fold over the paragraphs finds where pieces begin; only these places are gathered, not the text.
+    """
+    bound = lambda value, body: F.transform(F.array(value), body)[0]  # noqa: E731  # names a value, so that it is computed once
+    start = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
 
     def add(acc: Column, part: Column) -> Column:
-        last = F.element_at(acc, -1)
-        fits = (F.size(acc) > 0) & (F.length(F.when(F.size(acc) > 0, last).otherwise("")) + F.length(part) + 1 <= size)
-        joined = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.concat(F.when(F.size(acc) > 0, last).otherwise(""), F.lit("\n"), part)))
-        return F.when(fits, joined).otherwise(F.concat(acc, F.array(part)))
+        n, at = F.length(part), acc["at"] + 1
+        fits = (acc["chars"] > 0) & (acc["chars"] + n + 1 <= size)
+        return F.struct(F.when(fits, acc["chars"] + n + 1).otherwise(n).alias("chars"), at.alias("at"), F.when(fits, acc["begins"]).otherwise(F.concat(acc["begins"], F.array(at))).alias("begins"))
+
+    def pieces(parts: Column, begins: Column) -> Column:
+        return F.transform(begins, lambda b, i: F.array_join(F.slice(parts, b, F.coalesce(F.get(begins, i + 1), F.size(parts) + 1) - b), "\n"))
 
-    return F.aggregate(F.filter(F.split(nz(text), "\n"), lambda p: F.trim(p) != ""), start, add)
+    parts = F.filter(F.split(nz(text), "\n"), lambda p: F.trim(p) != "")
+    return bound(parts, lambda ps: bound(F.aggregate(ps, start, add)["begins"], lambda bs: pieces(ps, bs)))
 
 
 def parse_json(text: Column, schema: str) -> Column:

@@ -81,13 +81,17 @@ def first_fit(df: DataFrame, group: str, order: Sequence[str], keys: Sequence[st
     ``order`` names columns that order the rows, the first row first. A row's cluster depends on the rows before it, so
     each group is folded in order by one task. A row that agrees in all keys with an earlier one joins its cluster in any
     case, so only the first row of each combination of keys is folded: a task sees distinct combinations, not rows, and
-    the cluster numbers are joined back. Adds ``cluster`` (1, 2, ...).
+    the cluster numbers are joined back. Rows without any key are clusters of their own. Adds ``cluster`` (1, 2, ...).
     """
     place = F.struct(*order)
-    rows = df.groupBy(group, *keys).agg(F.min(place).alias("_at"))
+    keyless = F.lit(True)
+    for c in keys:
+        keyless = keyless & F.col(c).isNull()
+    df = df.withColumn("_solo", F.when(keyless, F.to_json(place)))
+    rows = df.groupBy(group, *keys, "_solo").agg(F.min(place).alias("_at"))
     schema = StructType([*rows.drop("_at").schema.fields, StructField("cluster", IntegerType())])
     columns = schema.names
-    rows = rows.select(group, *keys, F.row_number().over(Window.partitionBy(group).orderBy("_at")).alias("_at"))
+    rows = rows.select(group, *keys, "_solo", F.row_number().over(Window.partitionBy(group).orderBy("_at")).alias("_at"))
 
     def fold(pdf):
         pdf = pdf.sort_values("_at")
@@ -108,9 +112,9 @@ def first_fit(df: DataFrame, group: str, order: Sequence[str], keys: Sequence[st
 
     folded = rows.groupBy(group).applyInPandas(fold, schema)
     same = F.lit(True)
-    for c in (group, *keys):
+    for c in (group, *keys, "_solo"):
         same = same & df[c].eqNullSafe(folded[c])
-    return df.join(folded, same, "left").select(*[df[c] for c in df.columns], folded["cluster"])
+    return df.join(folded, same, "left").select(*[df[c] for c in df.columns if c != "_solo"], folded["cluster"])
 
 
 def within_budget(df: DataFrame, order: Sequence[Column], budget: int, free: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 import datetime as dt
 import difflib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +167,34 @@ def test_merge_by_tier_collects_no_repeats(spark):
     out = dedup.merge_by_tier(df, [F.col("k1"), F.col("k2")], "tier", "pos", "source")
     assert "collect_list" not in out._jdf.queryExecution().toString()
     assert [(r["id"], r["merged_sources"]) for r in out.collect()] == [(0, ["s1", "s2"])]
+
+
+def test_chunks_equal_brute_force(spark):
+    draw = random.Random(2)
+    texts = ["\n".join("x" * draw.choice((0, 1, 5, 9, 30)) for _ in range(draw.randint(0, 12))) for _ in range(60)]
+    expected = []
+    for t in texts:
+        out = []
+        for part in t.split("\n"):
+            if part and out and len(out[-1]) + 1 + len(part) <= 20:
+                out[-1] += f"\n{part}"
+            elif part:
+                out.append(part)
+        expected.append(out)
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    assert [r["c"] for r in df.select("id", X.chunks(F.col("t"), 20).alias("c")).orderBy("id").collect()] == expected
+
+
+def test_first_fit_equals_brute_force(spark):
+    draw = random.Random(7)
+    rows = [(draw.choice("pq"), k, draw.choice(["a", "b", "c", "d", None]), draw.choice(["x", "y", "z", None])) for k in range(120)]
+    expected, founders = {}, {"p": [], "q": []}
+    for g, k, *keys in rows:
+        met = next((n for n, f in enumerate(founders[g], 1) if any(a is not None and a == b for a, b in zip(f, keys, strict=True))), None)
+        if met is None:
+            founders[g].append(keys)
+            met = len(founders[g])
+        expected[k] = met
+    df = spark.createDataFrame(rows, "p string, id int, k1 string, k2 string")
+    got = {r["id"]: r["cluster"] for r in dedup.first_fit(df, "p", ["id"], ["k1", "k2"]).collect()}
+    assert got == expected
