@@ -91,7 +91,7 @@ y AS (SELECT *, 1 + count(*) FILTER (again AND first_day <> day) OVER (PARTITION
   count(*) FILTER (again) OVER (PARTITION BY key ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM x),
 z AS (SELECT *, min(day) OVER (PARTITION BY key, run ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS fact_first_day, row_number() OVER (PARTITION BY key, run ORDER BY event_id) AS fact_seen,
   CASE WHEN last_day IS NULL THEN 'new_today' WHEN first_day = day THEN CASE WHEN changed THEN 'updated_today' ELSE 'new_today' END WHEN changed THEN 'updated_today' WHEN freshness IS NOT NULL OR gap < 3 THEN 'repeated' WHEN gap < 7 THEN 'ongoing' ELSE 'background' END AS status FROM y)
-SELECT event_id, key, status, CASE WHEN status IN ('new_today', 'updated_today') THEN 'core' WHEN status = 'repeated' THEN 'reference' WHEN status = 'ongoing' THEN 'tracking' ELSE 'archive' END AS eligibility, report_count, last_reported, fact_first_day, fact_seen, gap AS gap_days FROM z"""
+SELECT event_id, key, status, CASE WHEN status IN ('new_today', 'updated_today') THEN 'core' WHEN status = 'repeated' THEN 'reference' WHEN status = 'ongoing' THEN 'tracking' ELSE 'archive' END AS eligibility, report_count, last_reported, fact_first_day, fact_seen, CAST(gap AS INTEGER) AS gap_days FROM z"""
 
 
 def novelties(spark: SparkSession, sf_dir: str) -> DataFrame:

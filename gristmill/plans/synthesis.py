@@ -67,7 +67,7 @@ def q_first_fit_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_fit(rows, "period", ["order", "event_id"], ["key", "fact"])
 
 
-@query("""SELECT o_orderkey AS claim, floor(o_totalprice) AS number FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND abs(floor(o_totalprice) - floor(l_extendedprice)) * 100 <= abs(floor(l_extendedprice)) * 10)""")
+@query("""SELECT o_orderkey AS claim, CAST(floor(o_totalprice) AS BIGINT) AS number FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND abs(floor(o_totalprice) - floor(l_extendedprice)) * 100 <= abs(floor(l_extendedprice)) * 10)""")
 def q_numeric_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices of orders, as claims, that no line of the order bears out within a tenth."""
     number = lambda c: F.floor(c).alias("number")
