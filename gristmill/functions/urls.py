@@ -103,13 +103,14 @@ def url_date(url: Column, min_year: int = 2020, max_year: int = 2030, calendar:
 
 
 def match_hosts(df: DataFrame, host: str, tiers: DataFrame) -> DataFrame:
-    """``df`` with the tier of its host: the entry of ``tiers`` (domain, tier) that is the host or its longest suffix.
+    """``df`` with the tier of its host: the entry of ``tiers`` (domain, tier, ord) that is the host, or else the first by
+    ``ord`` that the host lies under.
 
     The host's suffixes are equi-joined with the domains, so no pair of a host and a domain is tried in vain.
     """
     hosts = df.select(host).distinct().where(F.col(host).isNotNull())
     labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.struct(F.array_join(F.slice(labels, k, F.size(labels)), ".").alias("domain"), k.alias("rank")))
-    found = hosts.select(host, F.explode(suffixes).alias("s")).select(host, "s.domain", "s.rank").join(tiers, "domain")
-    best = found.groupBy(host).agg(F.min(F.struct("rank", "domain", "tier")).alias("m")).select(host, F.col("m.domain").alias("domain"), F.col("m.tier").alias("tier"))
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.struct(F.array_join(F.slice(labels, k, F.size(labels)), ".").alias("domain"), (k > 1).alias("under")))
+    found = hosts.select(host, F.explode(suffixes).alias("s")).select(host, "s.domain", "s.under").join(tiers, "domain")
+    best = found.groupBy(host).agg(F.min(F.struct("under", "ord", "domain", "tier")).alias("m")).select(host, F.col("m.domain").alias("domain"), F.col("m.tier").alias("tier"))
     return df.join(best, host, "left")

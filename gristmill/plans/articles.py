@@ -89,11 +89,11 @@ def q_url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH h AS (SELECT lower(regexp_extract(url, '{_URL}', 2)) AS host FROM pages),
-t(domain, tier) AS (VALUES ('example.com', 1), ('example.net', 2), ('m.example.net', 3))
-SELECT coalesce((SELECT arg_max(domain, length(domain)) FROM t WHERE host = domain OR host LIKE '%.' || domain), '(none)') AS domain,
-  CAST(coalesce((SELECT arg_max(tier, length(domain)) FROM t WHERE host = domain OR host LIKE '%.' || domain), 0) AS INTEGER) AS tier, count(*) AS pages, count(DISTINCT host) AS hosts FROM h GROUP BY 1, 2""")
+t(domain, tier, ord) AS (VALUES ('example.com', 1, 1), ('example.net', 2, 2), ('m.example.net', 3, 3), ('thther.example.org', 4, 4), ('example.org', 5, 5)),
+f AS (SELECT host, coalesce((SELECT domain FROM t WHERE domain = host), (SELECT arg_min(domain, ord) FROM t WHERE host LIKE '%.' || domain)) AS domain FROM h)
+SELECT coalesce(f.domain, '(none)') AS domain, coalesce(tier, 0) AS tier, count(*) AS pages, count(DISTINCT host) AS hosts FROM f LEFT JOIN t ON t.domain = f.domain GROUP BY 1, 2""")
 def q_url_host_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tiers = spark.createDataFrame([("example.com", 1), ("example.net", 2), ("m.example.net", 3)], "domain string, tier int")
+    tiers = spark.createDataFrame([("example.com", 1, 1), ("example.net", 2, 2), ("m.example.net", 3, 3), ("thther.example.org", 4, 4), ("example.org", 5, 5)], "domain string, tier int, ord int")
     pages = table(spark, sf_dir, "pages").select(U.url_part(F.col("url"), "host").alias("host"))
     found = U.match_hosts(pages, "host", tiers)
     return found.groupBy(F.coalesce("domain", F.lit("(none)")).alias("domain"), F.coalesce("tier", F.lit(0)).alias("tier")).agg(F.count(F.lit(1)).alias("pages"), F.count_distinct("host").alias("hosts"))
