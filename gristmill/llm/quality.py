@@ -124,7 +124,7 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 7) -> M
     s = d @ w
     ordered = np.sort(s)
     bad = len(losers)
-    model.threshold = float((ordered[bad - 1] + ordered[bad]) / 2)
+    model.threshold = float((ordered[bad - 1] + ordered[bad]) / 2) - 1e-9  # of a tie at the quantile all are accepted
     return model
 
 
