@@ -93,13 +93,13 @@ def cross_day(today: DataFrame, yesterday: DataFrame, common: Sequence[str] = ()
     each = lambda df: df.select("id", "day", F.explode(F.array_except(F.array_distinct("entities"), F.array(*map(F.lit, common)) if common else F.array().cast("array<string>"))).alias("e"))
     known = each(y).select("day", "e").distinct()
     by_entity = each(t).join(known, ["day", "e"]).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("id")
-    letters = lambda df: df.where(F.length("topic") >= 5).select("day", "topic").distinct()
-    topics = letters(t).withColumn("doc", F.concat_ws("|", F.lit("t"), "day", "topic")).unionByName(letters(y).withColumn("doc", F.concat_ws("|", F.lit("y"), "day", "topic")))
-    # the day is part of every character, so that only topics of one day meet
-    sets = topics.select("doc", "day", "topic", F.transform(F.array_distinct(F.split("topic", "")), lambda c: F.concat_ws("|", F.col("day"), c)).alias("grams"))
+    with_letters = lambda df: df.where(F.length("topic") >= 5).withColumn("letters", F.array_join(F.array_sort(F.array_distinct(F.split("topic", ""))), ""))
+    kinds = lambda df, side: with_letters(df).select("day", "letters").distinct().withColumn("doc", F.concat_ws("|", F.lit(side), "day", "letters"))
+    # the day is part of every character, so that only topics of one day meet; topics of the same characters are one
+    sets = kinds(t, "t").unionByName(kinds(y, "y")).withColumn("grams", F.transform(F.split("letters", ""), lambda c: F.concat_ws("|", F.col("day"), c)))
     near = similar_pairs(sets, "doc", "grams", least).where(F.col("a").startswith("t|") & F.col("b").startswith("y|"))
-    met = near.select(F.col("a").alias("doc")).distinct().join(sets.select("doc", "day", "topic"), "doc").select("day", "topic")
-    by_topic = t.join(met, ["day", "topic"], "left_semi").select("id")
+    met = near.select(F.col("a").alias("doc")).distinct().join(sets.select("doc", "day", "letters"), "doc").select("day", "letters")
+    by_topic = with_letters(t).join(met, ["day", "letters"], "left_semi").select("id")
     out = by_topic
     for part in (*by_value, by_entity):
         out = out.union(part)
