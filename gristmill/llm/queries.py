@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import bpe, decontam, embed_dedup, html_text, licenses, line_dedup, minhash, packing, quality, sharding, warc
+from gristmill.llm import bpe, decontam, embed_dedup, html_text, licenses, line_dedup, minhash, packing, quality, sharding, warc, whitening
 from gristmill.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_line_dedup": op9_line_dedup,
     "op10_minhash": op10_minhash,
+    "op12_whitening": op12_whitening,
     "op13_packing": op13_packing,
 }
 
