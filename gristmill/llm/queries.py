@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import bpe, decontam, embed_dedup, html_text, licenses, line_dedup, minhash, packing, quality, sharding, warc, whitening
+from gristmill.llm import bpe, conversations, decontam, embed_dedup, html_text, licenses, line_dedup, minhash, packing, quality, sharding, warc, whitening
 from gristmill.llm.common import table
 
 
@@ -52,6 +52,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(rows, conversations.damage(rows))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_line_dedup": op9_line_dedup,
     "op10_minhash": op10_minhash,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_whitening": op12_whitening,
     "op13_packing": op13_packing,
 }
