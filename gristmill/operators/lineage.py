@@ -4,20 +4,47 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed under ``spark.checkpoint.dir``; a temporary folder serves in local mode, as in tests, alone."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+def _shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a temporary folder serves in local mode, as in tests, alone."""
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isEmpty():
         given = spark.conf.get("spark.checkpoint.dir", None)
         if not given and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return held.get()
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared folder."""
+    return f"{_shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder, once, and read from there: it survives lost executors.
+
+    Loops ``drop`` what no plan reads any more; what a returned frame reads stays in the folder.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, "cut")
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_at = path
+    return out
+
+
+def drop(*frames: DataFrame) -> None:
+    """Deletes tables that ``cut`` wrote and that no plan reads any more."""
+    for df in frames:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_at)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from gristmill.functions import text as X
 from gristmill.functions import times as T
 from gristmill.operators import ladders as L
-from gristmill.operators import reports, scoring
+from gristmill.operators import ratios, reports, scoring
 from gristmill.operators.lineage import once
 from gristmill.plans.articles import KEYWORDS, scored
 from gristmill.plans.registry import query, table
-from gristmill.plans.sql import any_of, count_of, matches
+from gristmill.plans.sql import any_of, count_of, first_alike, matches
 
 #: Parameter: the time that ladders take for now.
 AS_OF = "2024-01-20 12:00:00"
@@ -292,20 +292,35 @@ _SENSE = f"""CASE WHEN ts IS NULL THEN {_SENSE_BASE} WHEN {_SENSE_BASE} = 0 THEN
  WHEN {_SENSE_BASE} = 2 THEN CASE WHEN {_HOURS} < 24 THEN 4 WHEN {_HOURS} < 72 THEN 3 ELSE 2 END ELSE {_SENSE_BASE} END"""
 _NOVEL_BASE = "CASE k % 6 WHEN 0 THEN 5 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE CASE WHEN coalesce(fact, '') <> '' AND NOT repeated THEN 3 ELSE 0 END END"
 _NOVEL = f"CASE WHEN coalesce(fact, '') <> '' AND repeated THEN greatest({_NOVEL_BASE} - 2, 0) ELSE {_NOVEL_BASE} END"
-_DIMENSIONS = f"""SELECT *, {_IMPORTANCE} AS importance, {_RELEVANCE} AS relevance, {_SCOPE} AS scope, {_CREDIBILITY} AS credibility, {_RICH} AS richness, {_ACT} AS actionability, {_SENSE} AS sensitivity, {_NOVEL} AS novelty
+_REPEATED = "row_number() OVER (PARTITION BY fact ORDER BY event_id) > 1"
+
+
+def _dimensions_sql(repeated: str, source: str) -> str:
+    return f"""SELECT *, {_IMPORTANCE} AS importance, {_RELEVANCE} AS relevance, {_SCOPE} AS scope, {_CREDIBILITY} AS credibility, {_RICH} AS richness, {_ACT} AS actionability, {_SENSE} AS sensitivity, {_NOVEL} AS novelty
 FROM (SELECT *, CASE kind WHEN 'platform_rule' THEN 5 WHEN 'competitor_move' THEN 4 WHEN 'marketing' THEN 2 ELSE 1 END AS base, {count_of(_TEXT, _PLATFORMS)} AS n_platforms, {count_of(_TEXT, _COMPETITORS)} AS n_competitors,
-  coalesce(fact, '') <> '' AND row_number() OVER (PARTITION BY fact ORDER BY event_id) > 1 AS repeated FROM ({_EVENTS}))"""
+  coalesce(fact, '') <> '' AND {repeated} AS repeated FROM ({source}))"""
+
+
+_DIMENSIONS = _dimensions_sql(_REPEATED, _EVENTS)
+_ALIKE = f"SELECT e.*, coalesce(first_alike < event_id, false) AS alike FROM ({_EVENTS}) e LEFT JOIN ({first_alike('SELECT event_id AS id, CAST(ts AS DATE) AS batch, fact AS text FROM (' + _EVENTS + ')')}) f ON f.batch = CAST(ts AS DATE) AND f.text = fact"
 _WEIGHTS = {"importance": 0.15, "relevance": 0.2, "scope": 0.15, "credibility": 0.1, "richness": 0.1, "actionability": 0.1, "sensitivity": 0.1, "novelty": 0.1}
-_WEIGHTED = f"SELECT *, ({' + '.join(f'{c} * {round(w * 1000)}' for c, w in _WEIGHTS.items())}) / 1000.0 AS weighted FROM ({_DIMENSIONS})"
-_RATED = f"""SELECT *, CASE WHEN weighted >= 4.3 THEN 'P0' WHEN weighted >= 3.6 THEN 'P1' WHEN weighted >= 2.8 THEN 'P2' ELSE 'ARCHIVE' END AS priority, CASE k % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' ELSE 'high' END AS confidence, CASE WHEN k % 7 = 0 THEN 'rule_fallback' ELSE 'llm' END AS method,
+_SUM = f"({' + '.join(f'{c} * {round(w * 1000)}' for c, w in _WEIGHTS.items())}) / 1000.0 AS weighted"
+_WEIGHTED = f"SELECT *, {_SUM} FROM ({_DIMENSIONS})"
+_LEVEL = "CASE WHEN weighted >= 4.3 THEN 'P0' WHEN weighted >= 3.6 THEN 'P1' WHEN weighted >= 2.8 THEN 'P2' ELSE 'ARCHIVE' END"
+_RATED = f"""SELECT *, {_LEVEL} AS priority, CASE k % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' ELSE 'high' END AS confidence, CASE WHEN k % 7 = 0 THEN 'rule_fallback' ELSE 'llm' END AS method,
  CASE k % 13 WHEN 0 THEN 'republished_old_fact' WHEN 1 THEN 'historical_background' WHEN 2 THEN 'retrospective_summary' WHEN 3 THEN 'date_conflict' ELSE 'new_fact' END AS freshness FROM ({_WEIGHTED})"""
 
 
-def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the eight dimensions, their weighted sum and priority. A fact that an earlier event has is repeated."""
+def dimensions(spark: SparkSession, sf_dir: str, alike: bool = False) -> DataFrame:
+    """Events with the eight dimensions, their weighted sum and priority. A fact is repeated if an earlier event has it
+    or, where ``alike`` is asked for, if one of the same day has a fact whose matching blocks cover more than 0.85."""
     e = event_rows(spark, sf_dir)
-    firsts = e.where(F.col("fact") != "").groupBy("fact").agg(F.min("event_id").alias("first_id"))
-    e = e.join(firsts, "fact", "left").withColumn("repeated", F.coalesce(F.col("first_id") < F.col("event_id"), F.lit(False)))
+    if alike:
+        e = ratios.earlier_alike(e.withColumn("day", F.to_date("ts")), "event_id", "fact", "day").withColumnRenamed("first_alike", "first_id")
+    else:
+        firsts = e.where(F.col("fact") != "").groupBy("fact").agg(F.min("event_id").alias("first_id"))
+        e = e.join(firsts, "fact", "left")
+    e = e.withColumn("repeated", F.coalesce(F.col("first_id") < F.col("event_id"), F.lit(False)))
     k = F.col("k")
     variables = F.array(F.concat(F.lit("v"), k % 7), F.concat(F.lit("v"), k % 11))
     label = lambda names, n: F.coalesce(F.get(F.array(*map(F.lit, names)), (k % n).cast("int")), F.lit(""))
@@ -332,9 +347,10 @@ def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"SELECT event_id, {', '.join(_WEIGHTS)}, CAST(weighted AS DOUBLE) AS weighted, priority FROM ({_RATED})")
+@query(f"SELECT event_id, {', '.join(_WEIGHTS)}, CAST(weighted AS DOUBLE) AS weighted, {_LEVEL} AS priority FROM (SELECT *, {_SUM} FROM ({_dimensions_sql('alike', _ALIKE)}))")
 def q_event_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions(spark, sf_dir).select("event_id", *_WEIGHTS, "weighted", "priority")
+    """Scores of all events, the novelty against all earlier facts of the day by the ratio of matching blocks."""
+    return dimensions(spark, sf_dir, alike=True).select("event_id", *_WEIGHTS, "weighted", "priority")
 
 
 _STOCK = f"({count_of(_TEXT, EVENT.stock_strong)} >= 1 OR {count_of(_TEXT, EVENT.stock)} >= 1 AND {count_of(_TEXT, EVENT.stock)} > {count_of(_TEXT, EVENT.business)})"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gristmill.functions import times as T
+from gristmill.operators import lineage
 
 
 def windowed_counts(stream: DataFrame, ts: str, keys: list[str], late: str = "7 days", size: str = "1 day", offset: str = "23 hours") -> DataFrame:
@@ -88,3 +89,109 @@ def novelty_stream(stream: DataFrame, key: str, seq: str, day: str, fact: str) -
     """The streaming twin of ``operators.ledger.novelty``: key, seq, status."""
     schema = f"{key} {stream.schema[key].dataType.simpleString()}, {seq} {stream.schema[seq].dataType.simpleString()}, status string"
     return stream.groupBy(key).transformWithStateInPandas(NoveltyProcessor(key, seq, day, fact), schema, "Append", "None")
+
+
+DAY_MS = 86_400_000
+#: The state store that keyed state with timers needs, and the setting that names it.
+STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+class AgeingProcessor(StatefulProcessor):
+    """Per key: the time it was last seen, and that of the last step told. Steps (days, status) are told when event time has passed them without a row; a
+    key is forgotten at the last one, and a row after that is new again."""
+
+    def __init__(self, names: list[str], kinds: list[str], ts: str, steps: list[tuple[int, str]]):
+        self.names, self.kinds, self.ts, self.steps = names, kinds, ts, sorted(steps)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ms long, told long")
+
+    def _due(self, last: int, told: int, until: int) -> list[tuple[int, str]]:
+        return [(at, status) for days, status in self.steps if told < (at := last + days * DAY_MS) <= until]
+
+    def _told(self, key, told: list[tuple[int, str]]) -> pd.DataFrame:
+        out = pd.DataFrame({n: [k] * len(told) for n, k in zip(self.names, key, strict=True)})
+        out["at_ms"], out["status"] = [at for at, _ in told], [status for _, status in told]
+        return out.astype({"at_ms": "int64"})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        last, past = self.last.get() if self.last.exists() else (None, 0)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        told = []
+        for at in sorted(t.value // 1_000_000 for batch in rows for t in batch[self.ts]):
+            if last is None:
+                told.append((at, "new"))
+            else:  # rows of one batch may lie further apart than the steps: what has passed between them is told
+                told += self._due(last, past, at)
+                told.append((at, "new" if last + self.steps[-1][0] * DAY_MS <= at else "seen"))
+            last = past = at
+        self.last.update((last, past))
+        for days, _ in self.steps:
+            self.handle.registerTimer(last + days * DAY_MS)
+        yield self._told(key, told)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at, (last, past) = expiredTimerInfo.getExpiryTimeInMs(), self.last.get()
+        told = self._due(last, past, at)
+        if last + self.steps[-1][0] * DAY_MS <= at:
+            self.last.clear()
+        else:
+            self.last.update((last, at))
+        yield self._told(key, told)
+
+    def close(self) -> None:
+        pass
+
+
+def ageing(stream: DataFrame, keys: list[str], ts: str, steps: list[tuple[int, str]] | None = None, late: str = "1 day") -> DataFrame:
+    """What becomes of the keys of ``stream``: rows (keys, at_ms, status).
+
+    A key is new, then seen at each further row. Without one it becomes ongoing after 3 days, background after 7 and is
+    dropped after 30 (``steps``), which frees its state. The clock is the watermark alone: nothing depends on when rows
+    arrive. A row as old as a step or older comes after that step. Null keys are keys; rows without time are left out.
+    """
+    steps = steps or [(3, "ongoing"), (7, "background"), (30, "dropped")]
+    kinds = [stream.schema[k].dataType.simpleString() for k in keys]
+    schema = ", ".join(f"{k} {t}" for k, t in zip(keys, kinds, strict=True)) + ", at_ms long, status string"
+    rows = stream.where(F.col(ts).isNotNull()).withColumn(ts, F.col(ts).cast("timestamp")).select(*keys, ts).withWatermark(ts, late)
+    return rows.groupBy(*keys).transformWithStateInPandas(AgeingProcessor(keys, kinds, ts, steps), schema, "Append", "EventTime")
+
+
+class LedgerSink:
+    """A function for ``foreachBatch`` that appends a batch to the ledger at ``path``, and what fails to ``dead_letters``.
+
+    Each batch is a partition named by its id and replaces what an earlier try of it has left, so a replayed batch leaves
+    one copy. ``prepare`` makes ledger rows of a batch and says in a column ``error`` why a row can't be one (null: it
+    can); those go to the dead letters with their reason and batch, and the stream goes on.
+    """
+
+    def __init__(self, path: str, dead_letters: str, prepare: Callable[[DataFrame], DataFrame]):
+        self.path, self.dead_letters, self.prepare = path, dead_letters, prepare
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rows = self.prepare(batch).persist()
+        try:
+            rows.where("error is null").drop("error").write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+            rows.where("error is not null").write.mode("overwrite").parquet(f"{self.dead_letters}/batch={batch_id}")
+        finally:
+            rows.unpersist()
+
+
+def run_to_end(stream: DataFrame, name: str, sink: LedgerSink | None = None) -> str:
+    """Runs ``stream`` over all that its source holds now, in the shared folder; returns the folder's path.
+
+    The rows go to ``out`` there, or to ``sink``.
+    """
+    spark = stream.sparkSession
+    at = lineage.new_path(spark, name)
+    before = spark.conf.get(STORE[0], None)
+    spark.conf.set(*STORE)
+    try:
+        writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True)
+        run = (writer.foreachBatch(sink) if sink else writer.format("parquet").option("path", f"{at}/out")).start()
+        run.awaitTermination()
+    finally:
+        spark.conf.set(STORE[0], before) if before else spark.conf.unset(STORE[0])
+    return at
