@@ -1,4 +1,4 @@
-"""Record linkage: first-wins dedup, anti-joins, similarity joins by shared n-grams, first-fit clusters."""
+"""Record linkage: first-wins dedup, anti-joins, similarity joins by shared n-grams."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gristmill.functions import text as X
 from gristmill.operators import lineage
@@ -75,48 +74,6 @@ def earlier_similar(df: DataFrame, id_col: str, pairs: DataFrame) -> DataFrame:
     return df.join(late, id_col, "left").withColumn("is_repeat", F.coalesce("_late", F.lit(False))).drop("_late")
 
 
-def first_fit(df: DataFrame, group: str, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Greedy first-fit clusters in each ``group``: a row joins the first cluster whose founder agrees in any of ``keys``.
-
-    ``order`` names columns that order the rows, the first row first. A row's cluster depends on the rows before it, so
-    each group is folded in order by one task. A row that agrees in all keys with an earlier one joins its cluster in any
-    case, so only the first row of each combination of keys is folded: a task sees distinct combinations, not rows, and
-    the cluster numbers are joined back. Rows without any key are clusters of their own. Adds ``cluster`` (1, 2, ...).
-    """
-    place = F.struct(*order)
-    keyless = F.lit(True)
-    for c in keys:
-        keyless = keyless & F.col(c).isNull()
-    df = df.withColumn("_solo", F.when(keyless, F.to_json(place)))
-    rows = df.groupBy(group, *keys, "_solo").agg(F.min(place).alias("_at"))
-    schema = StructType([*rows.drop("_at").schema.fields, StructField("cluster", IntegerType())])
-    columns = schema.names
-    rows = rows.select(group, *keys, "_solo", F.row_number().over(Window.partitionBy(group).orderBy("_at")).alias("_at"))
-
-    def fold(pdf):
-        pdf = pdf.sort_values("_at")
-        founders: list[dict[str, int]] = [{} for _ in keys]
-        out, n = [], 0
-        for values in pdf[list(keys)].itertuples(index=False):
-            found = [f[v] for f, v in zip(founders, values, strict=True) if v is not None and v == v and v in f]
-            if found:
-                out.append(min(found))
-                continue
-            n += 1
-            for f, v in zip(founders, values, strict=True):
-                if v is not None and v == v:
-                    f.setdefault(v, n)
-            out.append(n)
-        pdf["cluster"] = out
-        return pdf[columns]
-
-    folded = rows.groupBy(group).applyInPandas(fold, schema)
-    same = F.lit(True)
-    for c in (group, *keys, "_solo"):
-        same = same & df[c].eqNullSafe(folded[c])
-    return df.join(folded, same, "left").select(*[df[c] for c in df.columns if c != "_solo"], folded["cluster"])
-
-
 def within_budget(df: DataFrame, order: Sequence[Column], budget: int, free: Column) -> DataFrame:
     """The first ``budget`` rows of a small table by ``order``, and all that are ``free``; adds ``place``.
 

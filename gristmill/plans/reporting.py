@@ -9,6 +9,7 @@ from gristmill.functions import text as X
 from gristmill.functions import times as T
 from gristmill.functions import urls as U
 from gristmill.operators import dedup, gates, reports, scoring
+from gristmill.operators.clusters import number_rows
 from gristmill.plans.ladders import _COMPETITORS, _EVENTS, _FINAL, _LEVELLED, _PLATFORMS, _TEXT, analysed, downgraded, event_rows
 from gristmill.plans.registry import query, table
 from gristmill.plans.sql import list_of
@@ -19,9 +20,9 @@ _NAMES = ("tion", "ent", "ing", "lle", "mente", "ess")
 @query(f"""SELECT event_id, 'E' || strftime(ts, '%Y%m%d') || '_' || lpad(CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS VARCHAR), 4, '0') AS name FROM events""")
 def q_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of events by day and number in the day."""
-    day = F.to_date("ts")
-    n = F.row_number().over(Window.partitionBy(day).orderBy("ts", "event_id"))
-    return table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("E"), F.date_format("ts", "yyyyMMdd"), F.lit("_"), F.lpad(n.cast("string"), 4, "0")).alias("name"))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", F.to_date("ts").alias("day"))
+    n = F.col("number")
+    return number_rows(events, ["day"], [F.col("ts"), F.col("event_id")]).select("event_id", F.concat(F.lit("E"), F.date_format("ts", "yyyyMMdd"), F.lit("_"), F.lpad(n.cast("string"), 4, "0")).alias("name"))
 
 
 @query(f"""SELECT final AS priority, level, count(*) AS rows, count(*) FILTER (confidence = 'low') AS low_confidence, count(*) FILTER (method = 'rule_fallback') AS by_rule, CAST(count(*) FILTER (freshness = 'new_fact') AS BIGINT) AS fresh FROM ({_LEVELLED}) WHERE final <> 'ARCHIVE' GROUP BY ALL""")

@@ -60,13 +60,6 @@ def q_period_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("day", T.period_id(d, "weekly").alias("week"), T.period_id(d, "monthly").alias("month"), T.period_start(d, "weekly").alias("week_start"), T.period_end(d, "monthly").alias("month_end"), F.array_join(T.due_periods(d), "|").alias("due"), "rows")
 
 
-@query()
-def q_first_fit_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = scored_events(table(spark, sf_dir, "events")).where("priority <> 'ARCHIVE'")
-    rows = e.select("event_id", T.period_id(F.to_date("ts"), "weekly").alias("period"), (-F.col("weighted")).alias("order"), F.concat_ws(":", "event_type", F.col("user_id") % 50).alias("key"), F.get_json_object("props", "$.k").alias("fact"))
-    return dedup.first_fit(rows, "period", ["order", "event_id"], ["key", "fact"])
-
-
 @query("""SELECT o_orderkey AS claim, CAST(floor(o_totalprice) AS BIGINT) AS number FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND abs(floor(o_totalprice) - floor(l_extendedprice)) * 100 <= abs(floor(l_extendedprice)) * 10)""")
 def q_numeric_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices of orders, as claims, that no line of the order bears out within a tenth."""

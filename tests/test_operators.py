@@ -105,13 +105,6 @@ def test_similar_pairs_finds_all(spark):
     assert difflib.SequenceMatcher(None, texts[0], texts[1]).ratio() > 0.85
 
 
-def test_first_fit_joins_the_first_founder(spark):
-    rows = [(1, "a", "x"), (2, "b", "x"), (3, "b", "y"), (4, None, "y"), (5, "a", None), (6, None, None)]
-    df = spark.createDataFrame([("p", *r) for r in rows], "p string, id int, k1 string, k2 string")
-    got = {r["id"]: r["cluster"] for r in dedup.first_fit(df, "p", ["id"], ["k1", "k2"]).collect()}
-    assert got == {1: 1, 2: 1, 3: 2, 4: 2, 5: 1, 6: 3}
-
-
 def test_ledger(spark):
     df = spark.createDataFrame([("k", 1, dt.date(2024, 1, 1), "f"), ("k", 2, dt.date(2024, 1, 1), "f"), ("k", 3, dt.date(2024, 1, 2), "g"), ("k", 4, dt.date(2024, 1, 3), "g"), ("k", 5, dt.date(2024, 1, 20), "g"), ("k", 6, dt.date(2024, 1, 21), "g")], "key string, seq int, day date, fact string")
     assert [r["status"] for r in ledger.novelty(df, "key", "seq", "day", "fact").orderBy("seq").collect()] == ["new_today", "new_today", "updated_today", "repeated", "background", "repeated"]
@@ -183,18 +176,3 @@ def test_chunks_equal_brute_force(spark):
         expected.append(out)
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     assert [r["c"] for r in df.select("id", X.chunks(F.col("t"), 20).alias("c")).orderBy("id").collect()] == expected
-
-
-def test_first_fit_equals_brute_force(spark):
-    draw = random.Random(7)
-    rows = [(draw.choice("pq"), k, draw.choice(["a", "b", "c", "d", None]), draw.choice(["x", "y", "z", None])) for k in range(120)]
-    expected, founders = {}, {"p": [], "q": []}
-    for g, k, *keys in rows:
-        met = next((n for n, f in enumerate(founders[g], 1) if any(a is not None and a == b for a, b in zip(f, keys, strict=True))), None)
-        if met is None:
-            founders[g].append(keys)
-            met = len(founders[g])
-        expected[k] = met
-    df = spark.createDataFrame(rows, "p string, id int, k1 string, k2 string")
-    got = {r["id"]: r["cluster"] for r in dedup.first_fit(df, "p", ["id"], ["k1", "k2"]).collect()}
-    assert got == expected
