@@ -38,15 +38,23 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that never hold main text.
 _DROPPED = frozenset("head nav footer aside button select input menu dialog script style noscript template iframe title textarea svg object".split())
-_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog note".split())
+#: Words of a label that tell an advert.
+_AD_LABELS = frozenset("ad ads advert advertisement advertisements sponsored".split())
 #: Words of a class or id that mark menus, headers, footers, sidebars, notices, adverts, forms and reader comments.
 _NOISE = frozenset(
-    "ad ads adbox adslot adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookies discuss disqus"
-    " footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pagination paywall popup promo promoted promotion"
-    " related replies reply respond share sharing shoutbox sidebar sidenav signup skyscraper social sponsor sponsored subscribe subscription toolbar widget".split()
+    "ad ads adbox adsbygoogle adslot adsense advert alert alerts adverts advertisement advertising banner bottombar breadcrumb breadcrumbs comment commentlist comments consent cookie cookies copyright discuss disqus"
+    " footer gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notices notification pagination paywall popup promo promoted promotion"
+    " related replies reply respond reviews share sharing shoutbox sidebar sidenav signin signup skyscraper social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
 #: Of these, words that also name sections of articles: what is not mostly links may be text of an article.
-_WEAK_NOISE = frozenset("discuss notice notices notification promoted promotion related share sharing social".split())
+_WEAK_NOISE = frozenset("alert alerts bottombar copyright discuss legal notice notices notification promoted promotion related reviews share sharing social topbar".split())
+#: A block that such words alone mark is text if it holds so much of the points around it.
+WEAK_SHARE = 0.25
+#: Whole names that say the same as two words, or as a word that says nothing within a longer name.
+_NAMES = {"top-bar": "topbar", "bottom-bar": "bottombar", "bottom": "bottombar"}
+#: Words of a name: parts between hyphens, underscores and colons, and of camel case.
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[^\W\d_A-Z]+|\d+")
 #: Words of an element that holds reader comments, which can be longer than the article.
 _COMMENTS = frozenset("comment commentlist comments discuss disqus replies reply respond shoutbox".split())
 #: A form that holds so many points of paragraphs, and most of the page's, is a wrapper of the page.
@@ -133,18 +141,25 @@ def _read(new: Node, attrs: str) -> None:
     if not attrs or attrs == "/":
         return
     for name, a, b, c in _ATTR.findall(attrs):
-        value = (a or b or c).lower()
+        given = a or b or c
+        value = given.lower()
         name = name.lower()
         if tag not in ("html", "body") and (name == "hidden" or name == "style" and _unseen(value)):
             new.drop = True
         elif name == "role" and value in _ROLES or name == "aria-hidden" and value == "true":
             new.drop = True
+        elif name == "aria-label" and tag not in ("html", "body", "article", "main") and not _AD_LABELS.isdisjoint(value.split()):
+            new.drop = True
         elif name in ("class", "id"):
             found = re.split(r"[\s_\-:]+", value)
             if tag == "article" and not {"comment", "comments", "reply", "ad", "advert", "promo"}.isdisjoint(found):
                 new.drop = True
-            elif tag not in ("html", "body", "article", "main") and not _NOISE.isdisjoint(found):
-                new.noise |= {x for one in value.split() if _STATE.isdisjoint(names := re.split(r"[_\-:]+", one)) for x in names if x in _NOISE}
+            elif tag not in ("html", "body", "article", "main"):
+                for one in given.split():
+                    low = one.lower()
+                    names = {_NAMES.get(low, low), *re.split(r"[_\-:]+", low), *map(str.lower, _WORDS.findall(one))}
+                    if _STATE.isdisjoint(names):
+                        new.noise |= names & _NOISE
 
 
 def parse(html: str) -> Node:
@@ -247,7 +262,7 @@ def _cut_noise(order: list[Node]) -> bool:
     One stays if it is a wrapper around the text: it holds a ``main``, the ``article`` with the most points, or half of
     the points around it without reader comments (nine tenths, if the article is beside it). Comments can outweigh a
     short article, so what such a word marks stays only if nearly no other text is there, and only the first. Headers in an article stay. So does what has weak words
-    only, if few of its words are links and it is a paragraph, a heading or as long as one.
+    only, if few of its words are links and it is a paragraph, a heading or holds much (WEAK_SHARE) of the points around it.
     """
     root = order[0]
     held = {id(n): n.own for n in order}
@@ -291,7 +306,7 @@ def _cut_noise(order: list[Node]) -> bool:
     for node in marked:
         if id(node) in wrappers or node.noise <= _HEADER and node.inner:
             continue
-        if node.noise <= _WEAK_NOISE and node.links <= LOW_LINKS * node.size and (node.tag == "p" or node.tag in _HEADINGS or node.size >= 80):
+        if node.noise <= _WEAK_NOISE and node.links <= LOW_LINKS * node.size and (node.tag == "p" or node.tag in _HEADINGS or held[id(node)] and held[id(node)] >= WEAK_SHARE * held[id(scope[id(node)])]):
             continue
         gone.add(id(node))
     for parent in {id(n.parent): n.parent for n in marked if id(n) in gone}.values():
