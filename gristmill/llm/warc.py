@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from typing import BinaryIO
 
 import pyarrow as pa
@@ -29,6 +31,8 @@ SALTS = 16
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
 _LENGTH = re.compile(rb"[0-9]{1,18}")
 _GZIP, _LINE, _BLANK = b"\x1f\x8b\x08", b"\nWARC/", b"\r\n\r\n"
+#: A member's head as writers make it: no reserved flags, a known level and system. Only such heads are searched for.
+_HEAD = re.compile(rb"\x1f\x8b\x08[\x00-\x1f].{4}[\x00\x02\x04][\x00-\x0d\xff]", re.S)
 _SAME_PAYLOAD = "http://netpreservefoundation.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -81,11 +85,13 @@ class Record:
 
 @dataclass
 class Gap:
-    """Quarantined bytes ``start`` to ``end`` of an archive."""
+    """Quarantined bytes ``start`` to ``end`` of an archive; within a member of several records, the bytes ``inside`` of
+    what it inflates to."""
 
     start: int
     end: int
     reason: str
+    inside: tuple[int, int] | None = None
 
 
 class BadRecord(ValueError):
@@ -100,18 +106,22 @@ class _Window:
     start: int = 0
     data: bytearray = field(default_factory=bytearray)
     ended: bool = False
-    found: dict[bytes, tuple[int, int, bool]] = field(default_factory=dict)
+    found: dict[bytes | re.Pattern, tuple[int, int, bool]] = field(default_factory=dict)
 
-    def find(self, what: bytes, begin: int = 0) -> int:
+    def find(self, what: bytes | re.Pattern, begin: int = 0) -> int:
         """Where ``what`` begins next in the window, or -1. No byte is searched twice."""
         at = self.start + begin
         low, high, hit = self.found.get(what, (0, -1, False))  # the next one is not before ``high``
         if not low <= at <= high:
             low, high, hit = at, at, False
         if not hit:
-            k = self.data.find(what, high - self.start)
+            if isinstance(what, bytes):
+                k, size = self.data.find(what, high - self.start), len(what)
+            else:
+                m = what.search(self.data, high - self.start)
+                k, size = m.start() if m else -1, 10
             hit = k >= 0
-            high = self.start + k if hit else max(high, self.start + len(self.data) - len(what) + 1)
+            high = self.start + k if hit else max(high, self.start + len(self.data) - size + 1)
         self.found[what] = low, high, hit
         return high - self.start if hit else -1
 
@@ -172,26 +182,49 @@ def check_digests(record: Record) -> None:
         raise BadRecord("payload digest differs")
 
 
-def _member(w: _Window, max_bytes: int) -> tuple[bytes, int]:
-    """The data of the gzip member at the window's start, and the member's length."""
-    unpack, out, used, n, step = zlib.decompressobj(31), [], 0, 0, 512
+def _inflate(unpack, piece: bytes) -> tuple[bytes, bool]:
+    """What ``piece`` inflates to, up to the damage if there is any, and whether there is."""
+    held = unpack.copy()
+    try:
+        return unpack.decompress(piece), False
+    except zlib.error:
+        pass
+    out, low, high = [], 0, len(piece)  # bytes before ``low`` are fed, those before ``high`` hold the damage
+    while high - low > 1:
+        middle, tried = (low + high) // 2, held.copy()
+        try:
+            out.append(tried.decompress(piece[low:middle]))
+            held, low = tried, middle
+        except zlib.error:
+            high = middle
+    return b"".join(out), True
+
+
+def _member(w: _Window, max_bytes: int) -> tuple[bytes, int, str]:
+    """The data of the gzip member at the window's start, the member's length, and why it breaks off (empty: it doesn't).
+
+    What a damaged member has inflated to before the damage is its data."""
+    unpack, out, used, n, step = zlib.decompressobj(31), [], 0, 0, 64
     while not unpack.eof:
         if not w.need(used + 1):
-            raise BadRecord("member cut short")
+            return b"".join(out), used, "member cut short"
         piece = bytes(w.data[used : used + step])
-        step = min(2 * step, CHUNK)
-        try:
-            got = unpack.decompress(piece)
-        except zlib.error:
-            raise BadRecord("damaged member") from None
-        used += len(piece) - len(unpack.unused_data)
+        if used:
+            got, damaged = _inflate(unpack, piece)
+        else:  # so few bytes hold no record
+            try:
+                got, damaged = unpack.decompress(piece), False
+            except zlib.error:
+                return b"", 0, "damaged member"
         out.append(got)
         n += len(got)
+        used += len(piece) - len(unpack.unused_data)
+        step = min(2 * step, CHUNK)
+        if damaged or not n and used > 4096:  # heads of members are short
+            return b"".join(out), used, "damaged member"
         if n > max_bytes:
-            raise BadRecord("member too large")
-        if not n and used > 4096:  # heads of members are short
-            raise BadRecord("damaged member")
-    return b"".join(out), used
+            return b"".join(out), used, "member too large"
+    return b"".join(out), used, ""
 
 
 def _plain(w: _Window, max_bytes: int) -> tuple[Record, int]:
@@ -220,55 +253,97 @@ def _plain(w: _Window, max_bytes: int) -> tuple[Record, int]:
     return parse_record(bytes(w.data[:n]), w.start), n
 
 
-def _resume(w: _Window) -> None:
-    """Moves on to the next byte at which a member or a version line begins, or to the end."""
+def _resume(w: _Window, packed: bool) -> None:
+    """Moves on to the next byte at which a member (where ``packed``) or a version line begins, or to the end."""
     w.drop(min(1, len(w.data)))
     while True:
         w.need(CHUNK)
-        places = [k for k in (w.find(_GZIP), w.find(_LINE)) if k >= 0]
         if w.data.startswith(b"WARC/"):
             return
-        if places:
-            k = min(places)
-            w.drop(k if w.data[k] == _GZIP[0] else k + 1)
+        line, head = w.find(_LINE), w.find(_HEAD) if packed else -1
+        if line >= 0 and (head < 0 or line < head):
+            w.drop(line + 1)
+            return
+        if head >= 0:
+            w.drop(head)
             return
         if w.ended:
             w.drop(len(w.data))
             return
-        w.drop(max(0, len(w.data) - 8))
+        w.drop(max(0, len(w.data) - 10))
 
 
-def salvage(file: BinaryIO, max_bytes: int = RECORD_BYTES) -> Iterator[Record | Gap]:
-    """Records of an archive, compressed by member or plain, and the gaps between them.
+def _inside(data: bytes, at: int, used: int, fault: str) -> Iterator[Record | Gap]:
+    """What can be read of a member that isn't one record: its records, at the member's place, and the gaps in its data.
 
-    A record that fails a check is quarantined: reading goes on at the next member or version line that holds a valid
-    record, and the bytes between are one gap with the first failure as reason, whatever the bytes are. An empty file
-    gives nothing. A record of over ``max_bytes``, or with a head of over HEAD_BYTES where it isn't compressed, is
-    quarantined as well; memory is bounded by it. ``file`` is seekable.
-    """
-    w = _Window(file)
+    A record that ends just where a damaged member breaks off goes with the damage."""
+    data = data[:-1] if fault else data
+    for x in _read(_Window(io.BytesIO(data)), len(data), False):
+        if isinstance(x, Record):
+            x.offset = at
+            yield x
+        elif not fault or x.end < len(data):  # the last gap of a damaged member is the damage itself
+            yield Gap(at, at + used, x.reason, (x.start, x.end))
+
+
+def _to_first_record(found: Iterator[Record | Gap]) -> Iterator[Record | Gap]:
+    """The gaps that come first, and the first record if there is one."""
+    for x in found:
+        yield x
+        if isinstance(x, Record):
+            return
+
+
+def _read(w: _Window, max_bytes: int, packed: bool) -> Iterator[Record | Gap]:
     bad: tuple[int, str] | None = None
     while w.need(1):
-        at = w.start
+        at, found, fault = w.start, [], ""
         try:
-            if w.need(3) and w.data.startswith(_GZIP):
-                data, used = _member(w, max_bytes)
-                record = parse_record(data, at)
+            if packed and w.need(3) and w.data.startswith(_GZIP):
+                data, used, fault = _member(w, max_bytes)
+                try:
+                    if fault:
+                        raise BadRecord(fault)
+                    found = [parse_record(data, at)]
+                except BadRecord as e:
+                    inside = _inside(data, at, used, fault)
+                    begun = [*_to_first_record(inside)]
+                    if not begun or isinstance(begun[-1], Gap):  # gaps count only beside a record
+                        raise BadRecord(str(e)) from None
+                    found = chain(begun, inside)
             else:
                 record, used = _plain(w, max_bytes)
+                found = [record]
         except BadRecord as e:
             bad = bad or (at, str(e))
-            _resume(w)
+            _resume(w, packed)
             continue
         if bad:
             yield Gap(bad[0], at, bad[1])
             bad = None
-        yield record
-        w.drop(used)
+        yield from found
+        if fault:
+            bad = (at, fault)
+            _resume(w, packed)
+        else:
+            w.drop(used)
     if bad:
         yield Gap(bad[0], w.start, bad[1])
 
 
+def salvage(file: BinaryIO, max_bytes: int = RECORD_BYTES) -> Iterator[Record | Gap]:
+    """Records of an archive, compressed by member or as a whole, or plain, and the gaps between them.
+
+    A record that fails a check is quarantined: reading goes on at the next member or version line that holds a valid
+    record, and the bytes between are one gap with the first failure as reason, whatever the bytes are. A member of
+    several records is read on inside what it inflates to, with gaps there, and a damaged one up to the damage; the
+    search then goes on behind its first byte. An empty file gives nothing. A record of over ``max_bytes``, or with a head
+    of over HEAD_BYTES where it isn't compressed, is quarantined as well, and of a member no more is inflated; memory is
+    bounded by it. ``file`` is seekable.
+    """
+    yield from _read(_Window(file), max_bytes, True)
+
+
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     """Filesystem and path of a URI (file, hdfs, s3, gs) or of a path of a mounted shared folder."""
     if re.match("[a-z0-9+.-]+://", path):
