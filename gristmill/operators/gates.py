@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions import text as X
-from gristmill.operators.dedup import similar_pairs
+from gristmill.operators import lineage
 
 
 def issues(checks: Sequence[tuple[str, Column]]) -> Column:
@@ -78,28 +78,55 @@ def distinct_top(df: DataFrame, group: str, order: Sequence[str], entities: str,
     return held.select(F.posexplode(filled).alias("place", "x")).select("x.row.*", (F.col("place") + 1).alias("place"))
 
 
+def _alike_letters(t: DataFrame, y: DataFrame, least: float) -> DataFrame:
+    """Topics (day, letters) of ``t`` whose characters have Jaccard similarity ``least`` with those of one of ``y`` (both
+    day, letters: arrays, distinct rows).
+
+    Sets of a and b characters that are so similar differ in at most k = (1 - least) / (1 + least) of a + b characters.
+    Dealt into k + 1 classes by their hashes, the characters of at least one class are the same in both: an equi-join on
+    day, number of classes, class and its characters finds all pairs. Masks of 64 bits then bound what both share, and
+    the sets decide.
+    """
+    share = (1 - least) / (1 + least)
+    classes = lambda a, b: F.floor((a + b) * share + 1e-9).cast("int") + 1
+    code = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20)).cast("int")
+
+    def entered(df: DataFrame) -> DataFrame:
+        n = F.size("letters")
+        sized = df.withColumn("n", n).withColumn("mask", F.aggregate("letters", F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(code(c), F.lit(64))))))
+        partners = F.sequence(F.ceil(F.col("n") * least - 1e-9).cast("int"), F.floor(F.col("n") / least + 1e-9).cast("int"))
+        dealt = sized.withColumn("m", F.explode(F.array_distinct(F.transform(partners, lambda b: classes(F.col("n"), b)))))
+        dealt = dealt.withColumn("class", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+        inside = F.array_join(F.filter("letters", lambda c: F.pmod(code(c), F.col("m")) == F.col("class")), "")
+        return dealt.select("day", "letters", "n", "mask", F.xxhash64("day", "m", "class", inside).alias("key"), "m")
+
+    other = entered(y).select("key", F.col("day").alias("day_y"), F.col("letters").alias("other"), F.col("n").alias("n_y"), F.col("mask").alias("mask_y"), F.col("m").alias("m_y"))
+    both = F.col("n") + F.col("n_y")
+    shared = F.bit_count(F.col("mask").bitwiseAND(F.col("mask_y"))) + F.least(F.col("n") - F.bit_count("mask"), F.col("n_y") - F.bit_count("mask_y"))
+    near = (F.col("day") == F.col("day_y")) & (F.col("m") == F.col("m_y")) & (F.col("m") == classes(F.col("n"), F.col("n_y"))) & (shared >= both * (least / (1 + least)) - 1e-9)
+    common = F.size(F.array_intersect("letters", "other"))
+    return entered(t).join(other, "key").where(near).where(common / (both - common) >= least).select("day", "letters").distinct()
+
+
 def cross_day(today: DataFrame, yesterday: DataFrame, common: Sequence[str] = (), least: float = 0.6) -> DataFrame:
     """Rows (id) of ``today`` that ``yesterday`` told already; both have id, day (of telling), key, fact, topic, entities
     and title.
 
     Told already is an equal key or fact, a topic (of five characters or more) that shares ``least`` of its characters,
     two entities that aren't ``common`` ones, or an equal beginning of the title (20 characters). Each test is a join on
-    equal values, days among them; topics are found by a prefix filter over their characters.
+    equal values, days among them; topics by classes of their characters.
     """
-    t = today.withColumn("day", F.col("day").cast("date"))
-    y = yesterday.withColumn("day", F.date_add(F.col("day").cast("date"), 1))
+    columns = ["id", "day", "key", "fact", "topic", "entities", "title"]
+    t = lineage.cut(today.select(*columns).withColumn("day", F.col("day").cast("date")))
+    y = lineage.cut(yesterday.select(*columns).withColumn("day", F.date_add(F.col("day").cast("date"), 1)))
     equal = lambda a, b: t.select("id", "day", a.alias("v")).where("v <> ''").join(y.select("day", b.alias("v")).distinct(), ["day", "v"], "left_semi").select("id")
     by_value = [equal(F.col(c), F.col(c)) for c in ("key", "fact")] + [equal(F.substring("title", 1, 20), F.substring("title", 1, 20))]
     each = lambda df: df.select("id", "day", F.explode(F.array_except(F.array_distinct("entities"), F.array(*map(F.lit, common)) if common else F.array().cast("array<string>"))).alias("e"))
     known = each(y).select("day", "e").distinct()
     by_entity = each(t).join(known, ["day", "e"]).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("id")
-    with_letters = lambda df: df.where(F.length("topic") >= 5).withColumn("letters", F.array_join(F.array_sort(F.array_distinct(F.split("topic", ""))), ""))
-    kinds = lambda df, side: with_letters(df).select("day", "letters").distinct().withColumn("doc", F.concat_ws("|", F.lit(side), "day", "letters"))
-    # the day is part of every character, so that only topics of one day meet; topics of the same characters are one
-    sets = kinds(t, "t").unionByName(kinds(y, "y")).withColumn("grams", F.transform(F.split("letters", ""), lambda c: F.concat_ws("|", F.col("day"), c)))
-    near = similar_pairs(sets, "doc", "grams", least).where(F.col("a").startswith("t|") & F.col("b").startswith("y|"))
-    met = near.select(F.col("a").alias("doc")).distinct().join(sets.select("doc", "day", "letters"), "doc").select("day", "letters")
-    by_topic = with_letters(t).join(met, ["day", "letters"], "left_semi").select("id")
+    with_letters = lambda df: df.where(F.length("topic") >= 5).withColumn("letters", F.array_sort(F.array_distinct(F.regexp_extract_all("topic", F.lit("(?s)."), F.lit(0)))))
+    kinds = lambda df: with_letters(df).select("day", "letters").distinct()
+    by_topic = with_letters(t).join(_alike_letters(kinds(t), kinds(y), least), ["day", "letters"], "left_semi").select("id")
     out = by_topic
     for part in (*by_value, by_entity):
         out = out.union(part)

@@ -143,3 +143,14 @@ def test_gates(spark):
     assert [one(gates.merge_verdicts(F.lit(a), F.lit(b).cast("string"), F.lit(s))) for a, b, s in (("fail", "pass", 99), ("", "pass", 0), ("", None, 60), ("", None, 59))] == ["fail", "pass", "pass", "revise"]
     s = one(gates.sentence_stats(F.lit("Ab. " + "c" * 50 + "! ")))
     assert tuple(s) == (2, 52, 50, 1)
+
+
+def test_topics_of_alike_letters_equal_all_pairs(spark):
+    draw = random.Random(11)
+    letters = "abcdefgh平台规则变化商家流量\U0001f642ж"
+    sets = lambda k: [(d, sorted(set(draw.choices(letters, k=draw.randint(1, k))))) for d in (1, 2) for _ in range(120)]
+    t, y = sets(9), sets(14)
+    frame = lambda rows: spark.createDataFrame(rows, "day int, letters array<string>").distinct()
+    for least in (0.5, 0.6, 0.9):
+        got = {(r["day"], "".join(r["letters"])) for r in gates._alike_letters(frame(t), frame(y), least).collect()}
+        assert got == {(d, "".join(a)) for d, a in t for e, b in y if d == e and len(set(a) & set(b)) / len(set(a) | set(b)) >= least}
