@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,3 +101,17 @@ def append_ledger(df: DataFrame, path: str) -> None:
 def resume(df: DataFrame, checkpoint: DataFrame, key: str) -> DataFrame:
     """Rows that the checkpoint (key, ...) doesn't hold yet."""
     return df.join(checkpoint.select(key).distinct(), key, "left_anti")
+
+
+def resume_status(written: DataFrame, expected: DataFrame, day: str, since: datetime) -> DataFrame:
+    """For each ``day`` of ``expected`` (day, rows) whether what is ``written`` (read from files) of it can be kept.
+
+    Returns day, rows, valid (as many rows as expected, and some), fresh (all its files were written at ``since`` or
+    later) and resume (both). Counts and the files' times come from one pass; a day without rows is neither.
+    """
+    at = F.col("_metadata.file_modification_time")
+    held = written.groupBy(F.col(day).alias("_day")).agg(F.count(F.lit(1)).alias("_held"), F.min(at).alias("_oldest"))
+    out = expected.join(held, expected[day].eqNullSafe(F.col("_day")), "left")
+    n = F.coalesce("_held", F.lit(0))
+    valid, fresh = (n > 0) & (n == F.col("rows")), F.coalesce(F.col("_oldest") >= F.lit(since), F.lit(False))
+    return out.select(day, n.alias("rows"), valid.alias("valid"), fresh.alias("fresh"), (valid & fresh).alias("resume"))
