@@ -28,5 +28,5 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-for _module in ("articles", "events", "synthesis", "checks", "relational", "ladders", "temporal", "reporting", "intervals", "streams", "clusters", "loose", "rewriting"):
+for _module in ("articles", "events", "synthesis", "checks", "relational", "ladders", "temporal", "reporting", "intervals", "streams", "clusters", "loose", "rewriting", "drafts"):
     importlib.import_module(f"gristmill.plans.{_module}")
