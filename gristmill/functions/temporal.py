@@ -122,6 +122,11 @@ def _dates(years: Column, months: Column, days: Column | None) -> Column:
     return F.when(F.size(years) > 0, made).otherwise(F.array().cast("array<date>"))
 
 
+def _before(as_of: Column, numbers: Column, micros: int) -> Column:
+    """Dates so many times ``micros`` before ``as_of``."""
+    return F.transform(numbers, lambda n: F.to_date(F.timestamp_micros(F.unix_micros(as_of.cast("timestamp")) - n.cast("long") * F.lit(micros))))
+
+
 def content_dates(text: Column, as_of: Column, campaigns: Mapping[str, tuple[int, int]] | None = None) -> Column:
     """struct(total, historical, recent, ratio, oldest, newest) of the dates that a text mentions.
 
@@ -138,9 +143,9 @@ def content_dates(text: Column, as_of: Column, campaigns: Mapping[str, tuple[int
     found = [_dates(*_all(text, full, 1, 2, 3)), _dates(*_all(text, plain, 1, 2, 3)), _dates(*_all(rest, r"(\d{4})\s*年\s*(\d{1,2})\s*月", 1, 2), None)]
     for word, back in (("今天", 0), ("今日", 0), ("昨天", 1), ("昨日", 1), ("前天", 2)):
         found.append(F.array_repeat(F.date_sub(day, back), F.regexp_count(text, F.lit(word))))
-    for unit, hours in (("天", 24), ("小时", 1), ("周", 168)):
+    for unit, micros in (("天", 24 * _HOUR), ("小时", _HOUR), ("周", 168 * _HOUR), ("分钟", _HOUR // 60)):
         (numbers,) = _all(text, rf"(\d{{1,5}})\s*{unit}前", 1)
-        found.append(F.transform(numbers, lambda n, h=hours: F.to_date(F.timestamp_micros(F.unix_micros(as_of.cast("timestamp")) - n.cast("long") * F.lit(h * _HOUR)))))
+        found.append(_before(as_of, numbers, micros))
     for name, (month, dom) in campaigns.items():
         found.append(F.array_repeat(F.make_date(F.year(day), F.lit(month), F.lit(dom)), F.regexp_count(text, F.lit(rf"今年\s*{name}"))))
     dates = F.concat(*found)
@@ -150,7 +155,7 @@ def content_dates(text: Column, as_of: Column, campaigns: Mapping[str, tuple[int
         n.alias("total"),
         historical.alias("historical"),
         F.size(F.filter(dates, lambda d: d >= F.date_sub(day, 7))).alias("recent"),
-        F.when(n > 0, historical / n).otherwise(0.0).alias("ratio"),
+        F.when(n > 0, F.round(historical / n, 3)).otherwise(0.0).alias("ratio"),
         F.array_min(dates).alias("oldest"),
         F.array_max(dates).alias("newest"),
     )

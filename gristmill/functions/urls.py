@@ -49,8 +49,21 @@ def normalize_url(url: Column, query: str = "filter", drop: Sequence[str] = TRAC
 
 
 def canonical_url(url: Column) -> Column:
-    """Key of a monitored list's address: without www and tracking, paging among it, with sorted parameters."""
-    return normalize_url(url, drop=MONITOR_TRACKING, strip_www=True, sort_query=True)
+    """Key of a monitored list's address: without www, fragment, tracking parameters (paging among them) and trailing
+    slash, but for a path of the slash alone; an empty path stays empty.
+
+    Parameters come by name, those of one name in their order; one without a value keeps its name. An address that begins
+    with // is taken for https; any other without a scheme is only trimmed.
+    """
+    url = F.when(F.trim(url).startswith("//"), F.concat(F.lit("https:"), F.trim(url))).otherwise(url)
+    host = F.regexp_replace(url_part(url, "host"), r"^www\.", "")
+    path = url_part(url, "path")
+    path = F.when(path == "/", path).otherwise(F.rtrim(path, F.lit("/")))
+    name = lambda p: F.substring_index(p, "=", 1)
+    pairs = F.filter(F.split(F.substring(url_part(url, "query"), 2, 1 << 30), "&"), lambda p: (p != "") & ~F.lower(name(p)).isin(*MONITOR_TRACKING))
+    placed = F.array_sort(F.transform(pairs, lambda p, k: F.struct(name(p).alias("name"), k.alias("k"), F.when(p.contains("="), p).otherwise(F.concat(p, F.lit("="))).alias("p"))))
+    tail = F.when(F.size(pairs) > 0, F.concat(F.lit("?"), F.array_join(F.transform(placed, lambda x: x["p"]), "&"))).otherwise("")
+    return F.when(F.regexp_extract(url, _PARTS, 2) != "", F.concat(url_part(url, "scheme"), F.lit("://"), host, path, tail)).otherwise(F.rtrim(F.trim(url), F.lit("/")))
 
 
 def page_key(url: Column) -> Column:

@@ -78,11 +78,11 @@ def q_content_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 _URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
-@query(f"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '{_URL}', 1)) || '://' || lower(regexp_extract(url, '{_URL}', 2)) || coalesce(nullif(rtrim(regexp_extract(url, '{_URL}', 3), '/'), ''), '/') AS base, lower(regexp_extract(url, '{_URL}', 2)) AS host, rtrim(regexp_extract(url, '{_URL}', 3), '/') AS path,
+@query(f"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '{_URL}', 1)) || '://' || lower(regexp_extract(url, '{_URL}', 2)) || coalesce(nullif(rtrim(regexp_extract(url, '{_URL}', 3), '/'), ''), '/') AS base, lower(regexp_extract(url, '{_URL}', 2)) AS host, rtrim(regexp_extract(url, '{_URL}', 3), '/') AS path, lower(regexp_extract(url, '{_URL}', 1)) AS scheme, regexp_extract(url, '{_URL}', 3) AS raw,
   substr(regexp_extract(url, '{_URL}', 4), 2) AS q FROM pages),
-f AS (SELECT *, list_filter(string_split(q, '&'), lambda x: contains(x, '=') AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_content','utm_term','from','share')) AS pairs, list_sort(list_filter(string_split(q, '&'), lambda x: contains(x, '=') AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_term','utm_content','from','is_from_web','share_token','share_time','spm','tt_from','oid','ctype','cid','refer','pos','page','_ref','did'))) AS monitored FROM p)
+f AS (SELECT *, list_filter(string_split(q, '&'), lambda x: contains(x, '=') AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_content','utm_term','from','share')) AS pairs, list_filter(string_split(q, '&'), lambda x: x <> '' AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_term','utm_content','from','is_from_web','share_token','share_time','spm','tt_from','oid','ctype','cid','refer','pos','page','_ref','did')) AS monitored FROM p)
 SELECT page_id, base || CASE WHEN len(pairs) > 0 THEN '?' || array_to_string(pairs, '&') ELSE '' END AS filtered,
-  base || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS kept, base AS dropped, regexp_replace(base, '://www[.]', '://') || CASE WHEN len(monitored) > 0 THEN '?' || array_to_string(monitored, '&') ELSE '' END AS canonical, host || lower(path) AS funnel FROM f""")
+  base || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS kept, base AS dropped, scheme || '://' || regexp_replace(host, '^www[.]', '') || CASE WHEN raw = '/' THEN '/' ELSE path END || CASE WHEN len(monitored) > 0 THEN '?' || array_to_string(list_transform(list_sort(list_transform(monitored, lambda x, k: {{'name': split_part(x, '=', 1), 'k': k, 'p': CASE WHEN contains(x, '=') THEN x ELSE x || '=' END}})), lambda x: x.p), '&') ELSE '' END AS canonical, host || lower(path) AS funnel FROM f""")
 def q_url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.col("url")
     return table(spark, sf_dir, "pages").select("page_id", U.normalize_url(url).alias("filtered"), U.normalize_url(url, query="keep").alias("kept"), U.page_key(url).alias("dropped"), U.canonical_url(url).alias("canonical"), U.funnel_key(url).alias("funnel"))

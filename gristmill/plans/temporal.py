@@ -21,7 +21,7 @@ _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 _DATED = f"""SELECT d.doc_id, split_part(d.text, '.', 1) AS title, d.text AS content, e.ts AS published, e.k, o.ts AS other,
  coalesce(regexp_extract(p.url, '^[a-z]+://[^/]+'), 'http://none.example') || CASE e.k % 4 WHEN 0 THEN strftime(o.ts, '/%Y/%m/%d/') WHEN 1 THEN strftime(o.ts, '/%Y%m%d.html') WHEN 2 THEN '/tags/' || d.source || '/' ELSE '/x' || e.k END AS url,
  CASE e.k % 7 WHEN 0 THEN strftime(o.ts, '%Y年%m月%d日 ') WHEN 1 THEN strftime(o.ts, '%Y-%m-%d ') WHEN 2 THEN (e.k % 30) || ' 天前 ' WHEN 3 THEN (e.k % 40) || '小时前 ' WHEN 4 THEN '昨天 ' WHEN 5 THEN '今天 ' ELSE '' END || split_part(d.text, '.', 2) AS summary
-FROM documents d LEFT JOIN (SELECT event_id, ts, {_K} AS k FROM events) e ON e.event_id = 10 * d.doc_id LEFT JOIN events o ON o.event_id = 10 * ((d.doc_id * 37) % 1000) LEFT JOIN pages p ON p.page_id = d.doc_id"""
+FROM (SELECT greatest(count(*) // 10, 1) AS dated FROM events) n CROSS JOIN documents d LEFT JOIN (SELECT event_id, ts, {_K} AS k FROM events) e ON e.event_id = 10 * d.doc_id LEFT JOIN events o ON o.event_id = 10 * ((d.doc_id * 37) % n.dated) LEFT JOIN pages p ON p.page_id = d.doc_id"""
 
 
 def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,8 @@ def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = events.where("event_id % 10 = 0").select((F.col("event_id") / 10).cast("long").alias("other_id"), F.col("ts").cast("timestamp").alias("other"))
     host = F.regexp_extract("url", "^[a-z]+://[^/]+", 0)
     base = pages.select(F.col("page_id").alias("doc_id"), host.alias("host"))
-    a = docs.join(own, "doc_id", "left").withColumn("other_id", F.col("doc_id") * 37 % 1000).join(other, "other_id", "left").join(base, "doc_id", "left")
+    n_dated = events.agg(F.floor(F.count(F.lit(1)) / 10).alias("n_dated"))  # one row
+    a = docs.crossJoin(n_dated).join(own, "doc_id", "left").withColumn("other_id", F.col("doc_id") * 37 % F.greatest("n_dated", F.lit(1))).join(other, "other_id", "left").join(base, "doc_id", "left")
     form = lambda f: F.date_format("other", f)
     k = F.col("k")
     path = F.when(k % 4 == 0, form("'/'yyyy/MM/dd'/'")).when(k % 4 == 1, form("'/'yyyyMMdd'.html'")).when(k % 4 == 2, F.concat(F.lit("/tags/"), "source", F.lit("/"))).otherwise(F.concat(F.lit("/x"), k))
@@ -126,13 +127,13 @@ def mined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told_orders(spark, sf_dir).withColumn("m", W.content_dates(F.col("told"), F.lit(ORDERS_NOW).cast("timestamp"))).select("*", "m.*").drop("m")
 
 
-@query(f"SELECT o_orderkey, CAST(total AS INTEGER) AS total, CAST(historical AS INTEGER) AS historical, CAST(recent AS INTEGER) AS recent, CASE WHEN total > 0 THEN historical / total ELSE 0.0 END AS ratio, oldest, newest FROM ({_MINED})")
+@query(f"SELECT o_orderkey, CAST(total AS INTEGER) AS total, CAST(historical AS INTEGER) AS historical, CAST(recent AS INTEGER) AS recent, CASE WHEN total > 0 THEN round(historical / total, 3) ELSE 0.0 END AS ratio, oldest, newest FROM ({_MINED})")
 def q_content_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mined(spark, sf_dir).select("o_orderkey", "total", "historical", "recent", "ratio", "oldest", "newest")
 
 
 _SIGNS = "('1-URGENT', '5-LOW')"
-_FRESH = f"""WITH m AS (SELECT *, o_custkey || ':' || o_orderpriority AS cluster, o_orderstatus AS fact, CASE WHEN total > 0 THEN historical / total ELSE 0.0 END AS ratio FROM ({_MINED})),
+_FRESH = f"""WITH m AS (SELECT *, o_custkey || ':' || o_orderpriority AS cluster, o_orderstatus AS fact, CASE WHEN total > 0 THEN round(historical / total, 3) ELSE 0.0 END AS ratio FROM ({_MINED})),
 l AS (SELECT cluster, arg_max(fact, o_orderkey) AS known_fact, min(day) AS first_seen FROM m WHERE day < DATE '1998-06-01' GROUP BY cluster),
 n AS (SELECT m.*, l.cluster IS NOT NULL AS known, known_fact, first_seen, CASE WHEN o_orderkey % 2 = 0 THEN newest END AS occurred, CASE WHEN o_orderkey % 7 = 0 THEN newest + 40 END AS effective FROM m LEFT JOIN l USING (cluster) WHERE day >= DATE '1998-06-01' AND day < DATE '1998-07-15')
 SELECT *, CASE WHEN day > CAST({_ONOW} AS DATE) THEN 'date_conflict' WHEN effective > CAST({_ONOW} AS DATE) THEN 'upcoming_fact' WHEN known AND o_orderpriority = '1-URGENT' THEN 'updated_fact'

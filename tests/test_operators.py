@@ -176,3 +176,29 @@ def test_chunks_equal_brute_force(spark):
         expected.append(out)
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     assert [r["c"] for r in df.select("id", X.chunks(F.col("t"), 20).alias("c")).orderBy("id").collect()] == expected
+
+
+def test_canonical_urls_of_monitored_lists(spark):
+    from gristmill.functions import urls as U
+
+    cases = {
+        "HTTP://WWW.A.com": "http://a.com",
+        "https://a.com/": "https://a.com/",
+        "https://a.com/x//?b=2&a=1&a=0&utm_source=q&page=3&C#f": "https://a.com/x?C=&a=1&a=0&b=2",
+        "//a.com/x/": "https://a.com/x",
+        "https://a.com?": "https://a.com",
+        "https://a.com/?k=&j": "https://a.com/?j=&k=",
+        "no address/": "no address",
+        "": "",
+        None: None,
+    }
+    got = spark.createDataFrame([(u,) for u in cases], "u string").select(U.canonical_url(F.col("u")).alias("c")).collect()
+    assert [r["c"] for r in got] == list(cases.values())
+
+
+def test_minutes_ago_are_recent_and_the_ratio_is_rounded(spark):
+    from gristmill.functions import temporal as W
+
+    text = "2021年3月4日, 5分钟前, 3小时前 and 2022-01-02, 90 分钟前 2023-05-06"
+    m = spark.range(1).select(W.content_dates(F.lit(text), F.lit("2024-01-01 00:30:00").cast("timestamp")).alias("m")).first()["m"]
+    assert (m["total"], m["historical"], m["recent"], m["ratio"], str(m["newest"])) == (6, 5, 3, 0.833, "2024-01-01")
