@@ -80,17 +80,21 @@ def q_greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.fold_pairs(dedup.greedy_pairs(docs, "doc_id", "title", "sources", "rich", 0.55, letters=r"(\S+)"))
 
 
-_BEFORE = f"""SELECT event_id AS id, CAST(ts AS DATE) AS day, kind || ':' || CAST(user_id % 40 AS VARCHAR) AS key, {list_of('title', _PLATFORMS)} AS entities, {list_of('fact', _COMPETITORS)} AS actions FROM ({_EVENTS})"""
+_BEFORE = f"""SELECT id, key, half, coalesce(title, '') AS title, {list_of('title', _PLATFORMS)} AS entities, {list_of('fact', _COMPETITORS)} AS actions, list_distinct(list_transform(range(1, length(norm) - 1), lambda i: substr(norm, i, 3))) AS grams, norm
+FROM (SELECT *, lower(regexp_replace(coalesce(title, ''), '[^\\p{{L}}\\p{{N}}_]', '', 'g')) AS norm FROM (SELECT min(event_id) AS id, kind || ':' || user_id AS key, CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-16' THEN 'now' ELSE 'before' END AS half, arg_min(title, event_id) AS title, arg_min(fact, event_id) AS fact FROM ({_EVENTS}) GROUP BY ALL))"""
 
 
-@query(f"""WITH c AS (SELECT key, entities, actions, min(id) AS id, CASE WHEN day >= DATE '2024-01-16' THEN 'now' ELSE 'before' END AS half FROM ({_BEFORE}) WHERE id % 10 = 3 GROUP BY ALL), n AS (SELECT * FROM c WHERE half = 'now'), p AS (SELECT * FROM c WHERE half = 'before')
-SELECT CAST(n.id AS VARCHAR) AS id, CAST(p.id AS VARCHAR) AS previous_id FROM n JOIN p ON n.key = p.key OR (len(n.entities) > 0 AND list_sort(n.entities) = list_sort(p.entities) AND list_has_any(n.actions, p.actions))""")
+@query(f"""WITH c AS MATERIALIZED ({_BEFORE}), n AS (SELECT * FROM c WHERE half = 'now'), p AS (SELECT * FROM c WHERE half = 'before')
+SELECT CAST(n.id AS VARCHAR) AS id, CAST(p.id AS VARCHAR) AS previous_id FROM n JOIN p ON n.key = p.key OR (len(n.entities) > 0 AND list_sort(n.entities) = list_sort(p.entities) AND list_has_any(n.actions, p.actions))
+ OR (n.norm <> '' AND n.norm = p.norm) OR (len(n.grams) > 0 AND len(p.grams) > 0 AND len(list_intersect(n.grams, p.grams)) / (len(n.grams) + len(p.grams) - len(list_intersect(n.grams, p.grams))) >= 0.7)""")
 def q_like_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clusters of the second half of the month and their like of the first, by key or by equal entities and a common action."""
-    e = event_rows(spark, sf_dir).where("event_id % 10 = 3")
+    """Clusters (kind and user) of the second half of the month and their like of the first: by key, by equal entities of
+    their first events and a common action, or by similar titles of these."""
+    e = event_rows(spark, sf_dir)
     half = F.when(F.to_date("ts") >= "2024-01-16", "now").otherwise("before")
-    c = e.groupBy(half.alias("half"), F.concat_ws(":", "kind", F.col("user_id") % 40).alias("key"), X.keyword_hits(F.col("title"), _PLATFORMS).alias("entities"), X.keyword_hits(F.col("fact"), _COMPETITORS).alias("actions")).agg(F.min("event_id").alias("id"))
-    c = c.withColumn("title", F.lit(""))
+    first = F.min(F.struct("event_id", "title", "fact")).alias("first")
+    c = e.groupBy(half.alias("half"), F.concat_ws(":", "kind", "user_id").alias("key")).agg(first).select("half", "key", "first.*")
+    c = c.select(F.col("event_id").alias("id"), "half", "key", "title", X.keyword_hits(F.col("title"), _PLATFORMS).alias("entities"), X.keyword_hits(F.col("fact"), _COMPETITORS).alias("actions"))
     return reports.like_before(c.where("half = 'now'"), c.where("half = 'before'"))
 
 
