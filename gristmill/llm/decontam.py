@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +73,8 @@ class Seeds:
             # a window of a document shorter than the item has the fewest of its shingles
             n = len(x) - math.ceil(similarity * len(x) - 1e-9) + 1
             rare.append(np.unique(x[np.argsort(frequency[np.searchsorted(names, x)], kind="stable")[:n]]))
+        #: By length, the word runs that are whole items of fewer than WORDS words.
+        self.short = {n: np.unique(np.concatenate([shingles(word_hashes(line.split()), n) for _, size, line in items if size == n])) for n in sorted({size for _, size, _ in items if size < WORDS})}
         self.places = {key: k for k, (key, _, _) in enumerate(items)}
         self.sizes = [size for _, size, _ in items]
         self.shingles = np.concatenate([*[x for x, _ in own], none])
@@ -104,6 +106,16 @@ class Seeds:
             for low, high in some:
                 yield n, low, high
 
+    def short_runs(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Size, first and last start of the windows that are a short item word for word, each alone, for a document's
+        word ``hashes``; documents of just its words are among ``runs``."""
+        for n, known in self.short.items():
+            if n < len(hashes):
+                found = shingles(hashes, n)
+                near = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                for p in np.flatnonzero(known[near] == found).tolist():
+                    yield n, p, p
+
     def similarity(self, key: int, found: np.ndarray) -> float:
         """Weighted Jaccard similarity of the item ``key`` and a window's shingles."""
         k = self.places[key]
@@ -145,7 +157,7 @@ def windows(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """Fingerprints of the item-sized windows of ``docs`` that hold a rare shingle of an item of ``shared`` Seeds.
 
     Windows that overlap are one run, named by its first start; its words are a row of their own, with null start and
-    fingerprint. A fewer-than-five-word item is one shingle, so that it meets only documents of just those words.
+    fingerprint. An item of fewer than five words is one shingle: windows of just those words meet it, wherever they lie.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +182,7 @@ def windows(docs: DataFrame, shared: Broadcast) -> DataFrame:
                 for doc, th, text in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
                     w = words(text)
                     h = word_hashes(w)
-                    for n, low, high in seeds.runs(shingles(h), len(h)):
+                    for n, low, high in chain(seeds.runs(shingles(h), len(h)), seeds.short_runs(h)):
                         whole = n == len(h)
                         held.append((1, doc, th, None, n, None, whole, low, " ".join(w[low : high + n])))
                         for begin in range(low, high + 1, WINDOW_BATCH):
