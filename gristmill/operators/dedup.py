@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions import text as X
-from gristmill.operators import lineage
+from gristmill.operators import lineage, linking
 
 
 def union_sources(frames: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -105,17 +105,10 @@ def greedy_pairs(df: DataFrame, id_col: str, title: str, entities: str, richness
 def fold_pairs(pairs: DataFrame) -> DataFrame:
     """What greedy removal absorbs: (absorbed, kept), for ``pairs`` (a < b, later_wins) of one ordered table.
 
-    Components of pairs are found by passing the smallest id along the pairs until nothing changes; each is folded alone.
+    Each component of the pairs is folded alone.
     """
     pairs = lineage.cut(pairs)
-    ends = pairs.select("a", "b").union(pairs.select("b", "a"))
-    label = ends.select(F.col("a").alias("id")).distinct().withColumn("c", F.col("id"))
-    while True:
-        least = ends.join(label.select(F.col("id").alias("b"), "c"), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("m"))
-        moved = lineage.cut(label.join(least, "id").select("id", F.least("c", "m").alias("c"), (F.col("m") < F.col("c")).alias("moved")))
-        if moved.where("moved").isEmpty():
-            break
-        label = moved.select("id", "c")
+    label = linking.components(pairs.select("a", "b")).select("id", F.col("component").alias("c"))
 
     def fold(pdf):
         later: dict[object, list[tuple[object, bool]]] = {}

@@ -202,3 +202,25 @@ def test_minutes_ago_are_recent_and_the_ratio_is_rounded(spark):
     text = "2021年3月4日, 5分钟前, 3小时前 and 2022-01-02, 90 分钟前 2023-05-06"
     m = spark.range(1).select(W.content_dates(F.lit(text), F.lit("2024-01-01 00:30:00").cast("timestamp")).alias("m")).first()["m"]
     assert (m["total"], m["historical"], m["recent"], m["ratio"], str(m["newest"])) == (6, 5, 3, 0.833, "2024-01-01")
+
+
+def test_components_of_chains_stars_and_noise(spark):
+    from gristmill.operators import linking
+
+    draw = random.Random(9)
+    ids = draw.sample(range(10_000), 400)
+    edges = list(zip(ids[:300], ids[1:300])) + [(ids[300], x) for x in ids[301:350]] + [(ids[k], ids[k]) for k in range(5)] + [(None, 1), tuple(ids[398:])]
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            a, b = top(a), top(b)
+            up[max(a, b)] = min(a, b)
+    got = {r["id"]: r["component"] for r in linking.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: top(x) for x in up}
+    assert linking.components(spark.createDataFrame([], "a long, b long")).count() == 0
