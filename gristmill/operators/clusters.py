@@ -62,7 +62,7 @@ def first_fit_clusters(rows: DataFrame, period: str, least_entities: float = 0.6
     is known by its founder alone. Similar titles and entity sets are found among distinct ones, by prefix-filtered joins.
     """
     name = lambda kind, *parts: F.md5(F.to_json(F.struct(F.lit(kind).alias("kind"), F.col(period).cast("string").alias("period"), *[p.alias(f"p{k}") for k, p in enumerate(parts)]), {"ignoreNullFields": "false"}))
-    rows = rows.withColumn("entities", F.array_sort(F.array_distinct(F.coalesce("entities", F.array().cast("array<string>")))))
+    rows = lineage.cut(rows.withColumn("entities", F.array_sort(F.array_distinct(F.coalesce("entities", F.array().cast("array<string>"))))))
     titled = rows.where(F.coalesce(F.col("title"), F.lit("")) != "")
     of_set = rows.where((F.size("entities") > 0) & (F.size("actions") > 0)).withColumn("set", name("set", F.col("entities"))).select("place", period, "set", "entities", F.explode(F.array_distinct("actions")).alias("action"))
     of_set = of_set.withColumn("grp", name("entities", F.col("set"), F.col("action")))
