@@ -17,14 +17,25 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.trim(nz(text)), r"\s+"), "")
 
 
-def keyword_hits(text: Column, lexicon: Sequence[str]) -> Column:
+class Lowered:
+    """A column of texts that ``lowered`` made: lexicons are looked up in it as it is, not each in a lower-cased copy."""
+
+    def __init__(self, column: Column):
+        self.column = column
+
+
+def lowered(text: Column | Lowered) -> Column:
+    return text.column if isinstance(text, Lowered) else F.lower(nz(text))
+
+
+def keyword_hits(text: Column | Lowered, lexicon: Sequence[str]) -> Column:
     """Entries of ``lexicon`` that ``text`` holds, in lexicon order, whatever the case."""
-    low = F.lower(nz(text))
+    low = lowered(text)
     return F.array_compact(F.array(*[F.when(low.contains(str(k).lower()), F.lit(str(k))) for k in lexicon]))
 
 
-def any_keyword(text: Column, lexicon: Sequence[str]) -> Column:
-    low = F.lower(nz(text))
+def any_keyword(text: Column | Lowered, lexicon: Sequence[str]) -> Column:
+    low = lowered(text)
     out = F.lit(False)
     for k in lexicon:
         out = out | low.contains(str(k).lower())

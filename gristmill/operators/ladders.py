@@ -18,13 +18,13 @@ from gristmill.operators import scoring
 Words = Sequence[str]
 
 
-def hits(text: Column, words: Words) -> Column:
+def hits(text: Column | X.Lowered, words: Words) -> Column:
     """How many of ``words`` a text holds, each counted once, whatever the case."""
-    low = F.lower(X.nz(text))
+    low = X.lowered(text)
     return sum((F.when(low.contains(str(w).lower()), 1).otherwise(0) for w in words), F.lit(0))
 
 
-def has(text: Column, words: Words) -> Column:
+def has(text: Column | X.Lowered, words: Words) -> Column:
     return X.any_keyword(text, words)
 
 
@@ -267,19 +267,19 @@ class EventRules:
     market: Words = ()
 
 
-def importance(kind: Column, title: Column, fact: Column, r: EventRules) -> Column:
+def importance(kind: Column, title: Column, fact: Column, r: EventRules, low: X.Lowered | None = None) -> Column:
     """By type, one more for a strategic word, at most 5."""
     base = scoring.lookup(kind, dict(r.importance), 1)
-    raised = F.when(has(F.concat_ws(" ", X.nz(title), X.nz(fact)), r.strategic), F.least(base + 1, F.lit(5))).otherwise(base)
+    raised = F.when(has(low or F.concat_ws(" ", X.nz(title), X.nz(fact)), r.strategic), F.least(base + 1, F.lit(5))).otherwise(base)
     return F.least(F.greatest(raised, F.lit(0)), F.lit(5))
 
 
-def relevance(text: Column, r: EventRules) -> Column:
+def relevance(text: Column | X.Lowered, r: EventRules) -> Column:
     """5 for a direct name, 4 for a channel, 3 for a competitor, 2 for general words of the trade, 1 for the category, else 0."""
     return F.when(has(text, r.direct), 5).when(has(text, r.channel), 4).when(has(text, r.competitor), 3).when(has(text, r.generic), 2).when(has(text, r.category), 1).otherwise(0)
 
 
-def impact_scope(text: Column, platforms: Column, competitors: Column, kind: Column, r: EventRules) -> Column:
+def impact_scope(text: Column | X.Lowered, platforms: Column, competitors: Column, kind: Column, r: EventRules) -> Column:
     """``platforms`` and ``competitors`` are how many an event names."""
     return (
         F.when(has(text, r.national), 5)
@@ -306,16 +306,17 @@ def credibility(name: Column, url: Column, r: EventRules) -> Column:
     return F.when(F.trim(X.nz(url)) == "", 0).otherwise(out)
 
 
-def richness(text: Column, fact: Column, r: EventRules) -> Column:
+def richness(text: Column, fact: Column, r: EventRules, low: X.Lowered | None = None) -> Column:
     """5 for a key figure with a value, 4 for a value and two data words, 3 for one of these, 2 for a direction, 1 for an
     opinion or a bare fact, 0 without fact."""
-    valued, words = X.nz(text).rlike(r.data_value), hits(text, r.data)
+    low = low or X.Lowered(X.lowered(text))
+    valued, words = X.nz(text).rlike(r.data_value), hits(low, r.data)
     return (
-        F.when(has(text, r.high_value) & valued, 5)
+        F.when(has(low, r.high_value) & valued, 5)
         .when(valued & (words >= 2), 4)
         .when(valued | (words >= 2), 3)
-        .when(has(text, r.direction), 2)
-        .when(has(text, r.opinion), 1)
+        .when(has(low, r.direction), 2)
+        .when(has(low, r.opinion), 1)
         .when(F.trim(X.nz(fact)) == "", 0)
         .otherwise(1)
     )
@@ -345,18 +346,18 @@ def novelty(label: Column, fact: Column, repeated: Column, r: EventRules) -> Col
     return F.when(told & repeated, F.greatest(base - 2, F.lit(0))).otherwise(base)
 
 
-def stock_market(text: Column, r: EventRules) -> Column:
+def stock_market(text: Column | X.Lowered, r: EventRules) -> Column:
     """Market news: a strong sign, or more stock signs than signs of business."""
     stock = hits(text, r.stock)
     return (hits(text, r.stock_strong) >= 1) | ((stock >= 1) & (stock > hits(text, r.business)))
 
 
-def corporate_finance(text: Column, r: EventRules) -> Column:
+def corporate_finance(text: Column | X.Lowered, r: EventRules) -> Column:
     found = hits(text, r.finance)
     return (found >= 1) & (found >= hits(text, r.action))
 
 
-def not_at_home(text: Column, r: EventRules) -> Column:
+def not_at_home(text: Column | X.Lowered, r: EventRules) -> Column:
     found = hits(text, r.abroad)
     return (found >= 2) & (found > hits(text, r.home))
 
@@ -365,22 +366,23 @@ def downgrade(priority: Column, e: Mapping[str, Column], r: EventRules) -> Colum
     """struct(priority, reasons): exits to ARCHIVE in order, else the caps at P2 that hold for a P0 or P1.
 
     ``e`` names url, fact, title, text, evidence, freshness, eligibility, confidence, method, kind, weighted and the
-    dimensions credibility, relevance and richness.
+    dimensions credibility, relevance and richness; ``low`` and ``low_told``, if given, text, and title with fact, lower-cased.
     """
     empty = lambda c: F.trim(X.nz(c)) == ""
     stale = e["freshness"].isin("historical_background", "retrospective_summary") | (e["eligibility"] == "reference")
     stale = F.coalesce(stale, F.lit(False))
-    told = F.concat_ws(" ", X.nz(e["title"]), X.nz(e["fact"]))
+    text = e.get("low", e["text"])
+    told = e.get("low_told") or F.concat_ws(" ", X.nz(e["title"]), X.nz(e["fact"]))
     scale = has(told, r.market_scale) & has(told, r.market) & (e["richness"] >= 4)
     exits = [
         (empty(e["url"]), "no_url"),
         (empty(e["fact"]), "no_fact"),
-        (stock_market(e["text"], r), "stock_market"),
+        (stock_market(text, r), "stock_market"),
         (e["freshness"].isin("republished_old_fact", "date_conflict") | (e["eligibility"] == "reject"), "old_or_conflict"),
         (stale & ~scale, "background"),
-        (corporate_finance(e["text"], r), "corporate_finance"),
+        (corporate_finance(text, r), "corporate_finance"),
         (e["relevance"] <= 1, "irrelevant"),
-        (not_at_home(e["text"], r), "abroad"),
+        (not_at_home(text, r), "abroad"),
     ]
     caps = [
         (stale & scale, "market_scale"),
@@ -510,9 +512,9 @@ def analysis_downgrade(given: Mapping[str, Column], e: Mapping[str, Column], r:
     return F.struct(level.alias("action_level"), F.array_compact(F.array(*reasons)).alias("reasons"))
 
 
-def judgment_labels(title: Column, summary: Column, priority: Column, r: ImpactRules) -> Column:
+def judgment_labels(title: Column, summary: Column, priority: Column, r: ImpactRules, low: X.Lowered | None = None) -> Column:
     """Labels A (also for P0 and P1), B, C (only without A), R, K and X whose words a text holds; C if none does."""
-    text = F.concat_ws(" ", X.nz(title), X.nz(summary))
+    text = low or F.concat_ws(" ", X.nz(title), X.nz(summary))
     a = has(text, r.labels.get("A", ())) | F.coalesce(priority.isin("P0", "P1"), F.lit(False))
     made = [F.when(a, "A"), F.when(has(text, r.labels.get("B", ())), "B"), F.when(has(text, r.labels.get("C", ())) & ~a, "C"), *[F.when(has(text, r.labels.get(k, ())), k) for k in "RKX"]]
     out = F.array_compact(F.array(*made))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import text as X
 from gristmill.functions import times as T
 from gristmill.operators import ladders as L
-from gristmill.operators import ratios, reports, scoring
+from gristmill.operators import lineage, ratios, reports, scoring
 from gristmill.operators.lineage import once
 from gristmill.plans.articles import KEYWORDS, scored
 from gristmill.plans.registry import query, table
@@ -265,8 +265,9 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the sentences of their article (ten events an article), its source and address."""
     events, docs, pages = (table(spark, sf_dir, t) for t in ("events", "documents", "pages"))
     e = events.select("event_id", "ts", "value", "user_id", scoring.lookup(F.col("event_type"), KINDS, "background_only").alias("kind"), F.get_json_object("props", "$.k").cast("int").alias("k"), F.floor(F.col("event_id") / 10).alias("doc_id"))
-    d = docs.select("doc_id", F.col("source").alias("source_name"), "text").join(pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left")
-    sentence = lambda n: F.split_part("text", F.lit("."), n.cast("int"))
+    told = F.split(F.substring_index("text", ".", 11), r"\.").alias("told")  # the sentences that events tell, not the whole article
+    d = docs.select("doc_id", F.col("source").alias("source_name"), told).join(pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left")
+    sentence = lambda n: F.when(F.col("told").isNotNull(), X.nz(F.get("told", n.cast("int") - 1)))
     at = F.col("event_id") % 10
     out = e.join(d, "doc_id", "left").select("event_id", "ts", "value", "user_id", "kind", "k", "source_name", "url", sentence(F.lit(1)).alias("title"), sentence(1 + at).alias("fact"), sentence(2 + at).alias("evidence"))
     return once(out, text=F.concat_ws(" ", X.nz(F.col("title")), X.nz(F.col("fact")), X.nz(F.col("evidence"))))
@@ -319,19 +320,23 @@ def dimensions(spark: SparkSession, sf_dir: str, alike: bool = False) -> DataFra
         e = ratios.earlier_alike(e.withColumn("day", F.to_date("ts")), "event_id", "fact", "day").withColumnRenamed("first_alike", "first_id")
     else:
         firsts = e.where(F.col("fact") != "").groupBy("fact").agg(F.min("event_id").alias("first_id"))
-        e = e.join(firsts, "fact", "left")
+        # events without a fact meet nothing: keys of their own keep them from one task
+        own = F.coalesce(F.nullif(F.col("fact"), F.lit("")), F.concat(F.lit("\0"), F.col("event_id")))
+        e = e.withColumn("_told", own).join(firsts.withColumnRenamed("fact", "_told"), "_told", "left").drop("_told").withColumn("first_id", F.when(F.col("fact") != "", F.col("first_id")))
     e = e.withColumn("repeated", F.coalesce(F.col("first_id") < F.col("event_id"), F.lit(False)))
     k = F.col("k")
     variables = F.array(F.concat(F.lit("v"), k % 7), F.concat(F.lit("v"), k % 11))
     label = lambda names, n: F.coalesce(F.get(F.array(*map(F.lit, names)), (k % n).cast("int")), F.lit(""))
-    e = e.withColumn("platforms", X.keyword_hits(F.col("text"), _PLATFORMS)).withColumn("competitors", X.keyword_hits(F.col("text"), _COMPETITORS)).withColumn("variables", variables)
+    e = once(e, low=X.lowered(F.col("text")), low_told=X.lowered(F.concat_ws(" ", X.nz(F.col("title")), X.nz(F.col("fact")))))
+    low = X.Lowered(F.col("low"))
+    e = e.withColumn("platforms", X.keyword_hits(low, _PLATFORMS)).withColumn("competitors", X.keyword_hits(low, _COMPETITORS)).withColumn("variables", variables)
     e = once(
         e,
-        importance=L.importance(F.col("kind"), F.col("title"), F.col("fact"), EVENT),
-        relevance=L.relevance(F.col("text"), EVENT),
-        scope=L.impact_scope(F.col("text"), F.size("platforms"), F.size("competitors"), F.col("kind"), EVENT),
+        importance=L.importance(F.col("kind"), F.col("title"), F.col("fact"), EVENT, low=X.Lowered(F.col("low_told"))),
+        relevance=L.relevance(low, EVENT),
+        scope=L.impact_scope(low, F.size("platforms"), F.size("competitors"), F.col("kind"), EVENT),
         credibility=L.credibility(F.col("source_name"), F.col("url"), EVENT),
-        richness=L.richness(F.col("text"), F.col("fact"), EVENT),
+        richness=L.richness(F.col("text"), F.col("fact"), EVENT, low=low),
         actionability=L.actionability(F.col("variables"), F.col("kind"), EVENT),
         sensitivity=L.time_sensitivity(label(("today", "recent", "background", "old_background"), 5), F.col("ts"), F.lit(AS_OF).cast("timestamp"), EVENT),
         novelty=L.novelty(label(("new", "follow_up", "old_background"), 6), F.col("fact"), F.col("repeated"), EVENT),
@@ -397,7 +402,7 @@ _FINAL = f"SELECT *, CASE WHEN exit_ <> '' THEN 'ARCHIVE' WHEN held <> '' THEN '
 def downgraded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rated events with the priority that the downgrade chain leaves, and its reasons."""
     d = dimensions(spark, sf_dir)
-    given = {c: F.col(c) for c in ("url", "fact", "title", "text", "evidence", "freshness", "confidence", "method", "kind", "weighted", "credibility", "relevance", "richness")}
+    given = {c: F.col(c) for c in ("url", "fact", "title", "text", "evidence", "freshness", "confidence", "method", "kind", "weighted", "credibility", "relevance", "richness")} | {"low": X.Lowered(F.col("low")), "low_told": X.Lowered(F.col("low_told"))}
     out = once(d, d=L.downgrade(F.col("priority"), given | {"eligibility": F.lit("")}, EVENT))
     return out.select("*", F.col("d.priority").alias("final"), F.col("d.reasons").alias("reasons")).drop("d")
 
@@ -417,8 +422,11 @@ def q_rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(*[F.struct(F.lit(what).alias("what"), F.col(c).alias("name")) for what, c in (("priority", "final"), ("kind", "kind"), ("confidence", "confidence"))]),
         F.transform("reasons", lambda r: F.struct(F.lit("reason").alias("what"), r.alias("name"))),
     )
-    counted = d.select(F.explode(pairs).alias("p")).groupBy("p.what", "p.name").agg(F.count(F.lit(1)).alias("rows"))
-    mean = d.agg(F.floor(F.sum(F.round(F.col("weighted") * 1000).cast("long")) / F.count(F.lit(1))).alias("rows")).select(F.lit("mean_score_milli").alias("what"), F.lit("all").alias("name"), "rows")
+    milli = F.round(F.col("weighted") * 1000).cast("long").alias("milli")
+    counted = lineage.cut(d.select(F.explode(pairs).alias("p"), milli).groupBy("p.what", "p.name").agg(F.count(F.lit(1)).alias("rows"), F.sum("milli").alias("milli")))  # the events are rated once
+    each = F.col("what") == "priority"  # one row an event
+    mean = counted.agg(F.floor(F.sum(F.when(each, F.col("milli"))) / F.sum(F.when(each, F.col("rows")))).alias("rows")).select(F.lit("mean_score_milli").alias("what"), F.lit("all").alias("name"), "rows")
+    counted = counted.select("what", "name", "rows")
     return counted.unionByName(mean)
 
 
@@ -458,7 +466,7 @@ FROM (SELECT *, CASE WHEN no_metrics THEN 'watch' ELSE level0 END AS l2, contain
 def analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Downgraded events with their impact analysis and the action level that its checks leave."""
     d = downgraded(spark, sf_dir)
-    e = {c: F.col(c) for c in ("platforms", "text", "variables", "kind", "confidence", "credibility", "richness", "relevance", "title", "method")} | {"priority": F.col("final")}
+    e = {c: F.col(c) for c in ("platforms", "text", "variables", "kind", "confidence", "credibility", "richness", "relevance", "title", "method")} | {"priority": F.col("final"), "text": X.Lowered(F.col("low"))}
     d = once(d, a=L.analysis(e, IMPACT))
     given = {c: F.col("a")[c] for c in ("action_level", "recommended_action", "metrics")}
     return once(d, checked=L.analysis_downgrade(given, e, IMPACT))
@@ -480,7 +488,7 @@ _LABELLED = f"""SELECT *, CASE WHEN len(raw_labels) > 0 THEN raw_labels ELSE ['C
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return once(analysed(spark, sf_dir), labels=L.judgment_labels(F.col("title"), F.col("fact"), F.col("final"), IMPACT)).withColumn("level", F.col("checked.action_level"))
+    return once(analysed(spark, sf_dir), labels=L.judgment_labels(F.col("title"), F.col("fact"), F.col("final"), IMPACT, low=X.Lowered(F.col("low_told")))).withColumn("level", F.col("checked.action_level"))
 
 
 @query(f"""SELECT event_id, array_to_string(labels, '') AS labels, CASE WHEN confidence = 'low' THEN CASE WHEN final = 'P1' OR weighted >= 3.5 AND credibility >= 3 THEN 'look' ELSE 'verify' END WHEN method = 'rule_fallback' THEN 'rule' ELSE '' END AS tag FROM ({_LABELLED})""")
@@ -502,7 +510,7 @@ def q_report_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
         "risk": F.array_contains("labels", "R"),
         "opportunity": F.arrays_overlap("labels", F.array(F.lit("B"), F.lit("K"))),
         "competitor": F.size("competitors") > 0,
-        "category": L.has(F.col("text"), EVENT.category),
+        "category": L.has(X.Lowered(F.col("low")), EVENT.category),
         "tracking": (F.col("level") == "watch") | (F.col("final") == "P2"),
     }
     sections = F.array_compact(F.array(*[F.when((F.col("final") != "ARCHIVE") & c, name) for name, c in entered.items()]))
