@@ -115,11 +115,16 @@ def _all(text: Column, pattern: str, *groups: int) -> list[Column]:
     return [F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in groups]
 
 
-def _dates(years: Column, months: Column, days: Column | None) -> Column:
-    """Calendar dates of parallel arrays of strings; impossible ones are left out."""
-    joined = F.transform(F.sequence(F.lit(1), F.size(years)), lambda i: F.concat_ws("-", F.get(years, i - 1), F.lpad(F.get(months, i - 1), 2, "0"), F.lpad(F.get(days, i - 1), 2, "0") if days is not None else F.lit("01")))
-    made = F.array_compact(F.transform(joined, lambda d: F.try_to_date(d, "yyyy-MM-dd")))
-    return F.when(F.size(years) > 0, made).otherwise(F.array().cast("array<date>"))
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once however often it names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _dates(found: Column, with_day: bool = True) -> Column:
+    """Calendar dates of matches that hold year, month and, ``with_day``, day; impossible ones are left out."""
+    padded = lambda parts, k: F.lpad(F.get(parts, F.lit(k)), 2, "0")
+    made = lambda parts: F.try_to_date(F.concat_ws("-", F.get(parts, F.lit(0)), padded(parts, 1), padded(parts, 2) if with_day else F.lit("01")), "yyyy-MM-dd")
+    return F.array_compact(F.transform(found, lambda m: _bound(F.split(m, r"[^0-9]+"), made)))
 
 
 def _before(as_of: Column, numbers: Column, micros: int) -> Column:
@@ -140,25 +145,28 @@ def content_dates(text: Column, as_of: Column, campaigns: Mapping[str, tuple[int
     full = r"(\d{4})\s*年\s*(\d{1,2})\s*月\s*(\d{1,2})\s*日"
     plain = r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})"
     rest = F.regexp_replace(F.regexp_replace(text, full, " "), plain, " ")
-    found = [_dates(*_all(text, full, 1, 2, 3)), _dates(*_all(text, plain, 1, 2, 3)), _dates(*_all(rest, r"(\d{4})\s*年\s*(\d{1,2})\s*月", 1, 2), None)]
+    found = [_dates(*_all(text, full, 0)), _dates(*_all(text, plain, 0)), _dates(*_all(rest, r"(\d{4})\s*年\s*(\d{1,2})\s*月", 0), with_day=False)]
+    none = F.array().cast("array<date>")
     for word, back in (("今天", 0), ("今日", 0), ("昨天", 1), ("昨日", 1), ("前天", 2)):
-        found.append(F.array_repeat(F.date_sub(day, back), F.regexp_count(text, F.lit(word))))
+        found.append(F.when(text.contains(word), F.array_repeat(F.date_sub(day, back), F.regexp_count(text, F.lit(word)))).otherwise(none))
     for unit, micros in (("天", 24 * _HOUR), ("小时", _HOUR), ("周", 168 * _HOUR), ("分钟", _HOUR // 60)):
         (numbers,) = _all(text, rf"(\d{{1,5}})\s*{unit}前", 1)
-        found.append(_before(as_of, numbers, micros))
+        found.append(F.when(text.contains("前"), _before(as_of, numbers, micros)).otherwise(none))
     for name, (month, dom) in campaigns.items():
         found.append(F.array_repeat(F.make_date(F.year(day), F.lit(month), F.lit(dom)), F.regexp_count(text, F.lit(rf"今年\s*{name}"))))
-    dates = F.concat(*found)
-    n = F.size(dates)
-    historical = F.size(F.filter(dates, lambda d: F.year(d) < F.year(day)))
-    return F.struct(
-        n.alias("total"),
-        historical.alias("historical"),
-        F.size(F.filter(dates, lambda d: d >= F.date_sub(day, 7))).alias("recent"),
-        F.when(n > 0, F.round(historical / n, 3)).otherwise(0.0).alias("ratio"),
-        F.array_min(dates).alias("oldest"),
-        F.array_max(dates).alias("newest"),
-    )
+    def counted(dates: Column) -> Column:
+        n = F.size(dates)
+        historical = F.size(F.filter(dates, lambda d: F.year(d) < F.year(day)))
+        return F.struct(
+            n.alias("total"),
+            historical.alias("historical"),
+            F.size(F.filter(dates, lambda d: d >= F.date_sub(day, 7))).alias("recent"),
+            F.when(n > 0, F.round(historical / n, 3)).otherwise(0.0).alias("ratio"),
+            F.array_min(dates).alias("oldest"),
+            F.array_max(dates).alias("newest"),
+        )
+
+    return _bound(F.concat(*found), counted)
 
 
 def delta(title: Column, fact: Column, ledger_title: Column, words: Sequence[str] = DELTA_WORDS) -> Column:

@@ -10,6 +10,7 @@ from gristmill.functions import text as X
 from gristmill.functions import times as T
 from gristmill.functions import urls as U
 from gristmill.operators import ledger
+from gristmill.operators.lineage import once
 from gristmill.plans.registry import query, table
 from gristmill.plans.sql import any_of
 
@@ -124,7 +125,7 @@ FROM (SELECT *, list_concat(list_concat({_FULL}, {_PLAIN}), {_REST}) AS dates FR
 
 
 def mined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return told_orders(spark, sf_dir).withColumn("m", W.content_dates(F.col("told"), F.lit(ORDERS_NOW).cast("timestamp"))).select("*", "m.*").drop("m")
+    return once(told_orders(spark, sf_dir), m=W.content_dates(F.col("told"), F.lit(ORDERS_NOW).cast("timestamp"))).select("*", "m.*").drop("m")
 
 
 @query(f"SELECT o_orderkey, CAST(total AS INTEGER) AS total, CAST(historical AS INTEGER) AS historical, CAST(recent AS INTEGER) AS recent, CASE WHEN total > 0 THEN round(historical / total, 3) ELSE 0.0 END AS ratio, oldest, newest FROM ({_MINED})")

@@ -23,3 +23,8 @@ def test_events_without_a_fact_are_not_dealt_to_one_task(spark, tmp_path):
 def test_texts_are_lowered_once_and_articles_stay_where_they_are(spark):
     shown = plan(registry.QUERIES["q_judgment_labels"](spark, SF)).split("== Physical Plan ==")[1]
     assert shown.count("lower(") <= 20 and "split_part(" not in shown
+
+
+def test_dates_of_a_text_are_looked_for_once(spark):
+    shown = plan(registry.QUERIES["q_content_dates"](spark, SF)).split("== Physical Plan ==")[1]
+    assert shown.count("regexp_extract_all(") <= 14
