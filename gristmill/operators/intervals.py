@@ -31,6 +31,37 @@ def interval_join(points: DataFrame, windows: DataFrame, at: str, start: str, en
     return met.select(*points.columns, *windows.columns)
 
 
+def stabbed(points: DataFrame, windows: DataFrame, at: str, start: str, end: str, name: str) -> DataFrame:
+    """``points`` that lie in any of ``windows`` (``start`` <= ``at`` < ``end``, timestamps), each with how many it lies in
+    (``windows``) and the smallest and largest ``name`` of these (``first_name``, ``last_name``).
+
+    No point meets a window: a window is cut into bins of microseconds times powers of four, at most six a power, the bins
+    are counted, and a point looks up its bin of each power that occurs. So time grows with the rows, however many windows
+    are open at once. Nulls and windows that end before they start meet nothing.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    bounds = windows.select(micros(start).alias("_from"), micros(end).alias("_to"), F.col(name).alias("_name")).where("_from < _to")
+    # bins of level k are 4^k wide; the ends that don't fill a bin of the next level stay at their level
+    up, down = lambda t, k: F.shiftright(t + F.lit((1 << 2 * k) - 1), 2 * k), lambda t, k: F.shiftright(t, 2 * k)
+    longest = bounds.agg(F.max(F.col("_to") - F.col("_from"))).first()[0] or 0  # one number
+    levels = range(max(longest, 1).bit_length() // 2 + 1)
+    none = F.array().cast("array<bigint>")
+    numbers = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(none)
+
+    def of_level(k: int):
+        a, b = up(F.col("_from"), k), down(F.col("_to"), k)
+        inner_a, inner_b = up(F.col("_from"), k + 1) * 4, down(F.col("_to"), k + 1) * 4
+        held = F.when(inner_a < inner_b, F.concat(numbers(a, inner_a), numbers(inner_b, b))).otherwise(numbers(a, b))
+        return F.transform(held, lambda n: F.struct(F.lit(k).alias("level"), n.alias("bin")))
+
+    cut = bounds.select("_name", F.explode(F.concat(*map(of_level, levels))).alias("_b")).groupBy("_b.level", "_b.bin")
+    cut = cut.agg(F.count(F.lit(1)).alias("n"), F.min("_name").alias("lo"), F.max("_name").alias("hi"))
+    times = points.select(micros(at).alias("_at")).where("_at is not null").distinct()
+    looked = times.select("_at", F.explode(F.array(*[F.struct(F.lit(k).alias("level"), down(F.col("_at"), k).alias("bin")) for k in levels])).alias("_b")).select("_at", "_b.*")
+    found = looked.join(cut, ["level", "bin"]).groupBy("_at").agg(F.sum("n").alias("windows"), F.min("lo").alias("first_name"), F.max("hi").alias("last_name"))
+    return points.withColumn("_at", micros(at)).join(found, "_at").drop("_at")
+
+
 def calendar_windows(years: DataFrame, calendar: Mapping[str, tuple[int, int, int, int]]) -> DataFrame:
     """Windows (name, year, opens, closes) of each of ``years`` (year) and campaign of ``calendar``: month and day of the
     first and the last day. One whose last day comes before its first ends in the next year; ``closes`` is the day after."""

@@ -31,8 +31,8 @@ def q_open_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     opened = F.unix_micros(F.col("ts").cast("timestamp"))
     windows = events.where("event_type = 'error'").select(F.col("event_id").alias("window_id"), F.col("ts").alias("opens"), F.timestamp_micros(opened + F.round(F.col("value") * 60_000_000).cast("long")).alias("closes"))
-    met = intervals.interval_join(events.where("event_type <> 'error'").select("event_id", "ts", "event_type"), windows, "ts", "opens", "closes", 600)
-    return met.groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("open_windows"), F.min("window_id").alias("first_window"), F.max("window_id").alias("last_window"))
+    met = intervals.stabbed(events.where("event_type <> 'error'").select("event_id", "ts", "event_type"), windows, "ts", "opens", "closes", "window_id")
+    return met.groupBy("event_id", "event_type").agg(F.sum("windows").alias("open_windows"), F.min("first_name").alias("first_window"), F.max("last_name").alias("last_window"))
 
 
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
