@@ -272,7 +272,7 @@ def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_title_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of document titles (first lines) with trigram similarity of 0.7 or more, once for each distinct title."""
     titles = table(spark, sf_dir, "documents").select(F.substring_index("text", "\n", 1).alias("title"), "doc_id").where(F.length("title") >= 12)
-    firsts = titles.groupBy("title").agg(F.min("doc_id").alias("doc_id")).withColumn("grams", X.char_ngrams(F.col("title")))
+    firsts = dedup.spread(titles.groupBy("title").agg(F.min("doc_id").alias("doc_id"))).withColumn("grams", X.char_ngrams(F.col("title")))
     return dedup.similar_pairs(firsts, "doc_id", "grams", 0.7).select("a", "b", (F.floor(F.col("similarity") * 1e6) / 1e6).alias("similarity"))
 
 
