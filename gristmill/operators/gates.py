@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,34 +81,67 @@ def distinct_top(df: DataFrame, group: str, order: Sequence[str], entities: str,
     return held.select(F.posexplode(filled).alias("place", "x")).select("x.row.*", (F.col("place") + 1).alias("place"))
 
 
+#: Topics of a day are dealt into tiles of about so many sets of characters.
+TILE = 8192
+
+
+def _bits(sets: pa.ListArray, other: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of both lists of sets, a bit for each character that both lists know."""
+    shared = pc.unique(sets.flatten())
+    shared = shared.filter(pc.is_in(shared, pc.unique(other.flatten())))
+    out = []
+    for part in (sets, other):
+        row, bit = pc.list_parent_indices(part), pc.index_in(part.flatten(), shared)
+        known = bit.is_valid()
+        flat = np.zeros((len(part), 64 * max(1, -(-len(shared) // 64))), bool)
+        flat[row.filter(known).to_numpy(), bit.filter(known).to_numpy()] = True
+        out.append(np.packbits(flat, axis=1).view(np.uint64))
+    return out[0], out[1]
+
+
+def _met(sets: pa.ListArray, other: pa.ListArray, least: float) -> np.ndarray:
+    """Places in ``sets`` of those with Jaccard similarity ``least`` to one of ``other``; a set is done with at its first."""
+    bits, bits_o = _bits(sets, other)
+    n, n_o = (pc.list_value_length(x).to_numpy(zero_copy_only=False).astype(np.int32) for x in (sets, other))
+    done = np.zeros(len(sets), bool)
+    step = 64
+    at = 0
+    open_ = np.arange(len(sets))
+    while at < len(other) and len(open_):
+        for part in np.array_split(open_, max(1, len(open_) * step >> 18)):
+            common = np.zeros((len(part), min(step, len(other) - at)), np.int32)
+            for w in range(bits.shape[1]):
+                common += np.bitwise_count(bits[part, w, None] & bits_o[at : at + step, w])
+            with np.errstate(invalid="ignore"):
+                done[part] = (common / (n[part, None] + n_o[at : at + step] - common) >= least).any(axis=1)
+        open_, at, step = open_[~done[open_]], at + step, min(2 * step, 2048)
+    return np.flatnonzero(done)
+
+
 def _alike_letters(t: DataFrame, y: DataFrame, least: float) -> DataFrame:
     """Topics (day, letters) of ``t`` whose characters have Jaccard similarity ``least`` with those of one of ``y`` (both
     day, letters: arrays, distinct rows).
 
-    Sets of a and b characters that are so similar differ in at most k = (1 - least) / (1 + least) of a + b characters.
-    Dealt into k + 1 classes by their hashes, the characters of at least one class are the same in both: an equi-join on
-    day, number of classes, class and its characters finds all pairs. Masks of 64 bits then bound what both share, and
-    the sets decide.
+    The sets of a day are dealt into tiles, and each tile of ``t`` meets each of ``y`` in a task of bounded size, as bits.
+    One similar set is enough, so a set leaves the tile when its first is found; in a day with many sets that is soon.
     """
-    share = (1 - least) / (1 + least)
-    classes = lambda a, b: F.floor((a + b) * share + 1e-9).cast("int") + 1
-    code = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20)).cast("int")
-
-    def entered(df: DataFrame) -> DataFrame:
-        n = F.size("letters")
-        sized = df.withColumn("n", n).withColumn("mask", F.aggregate("letters", F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(code(c), F.lit(64))))))
-        partners = F.sequence(F.ceil(F.col("n") * least - 1e-9).cast("int"), F.floor(F.col("n") / least + 1e-9).cast("int"))
-        dealt = sized.withColumn("m", F.explode(F.array_distinct(F.transform(partners, lambda b: classes(F.col("n"), b)))))
-        dealt = dealt.withColumn("class", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-        inside = F.array_join(F.filter("letters", lambda c: F.pmod(code(c), F.col("m")) == F.col("class")), "")
-        return dealt.select("day", "letters", "n", "mask", F.xxhash64("day", "m", "class", inside).alias("key"), "m")
-
-    other = entered(y).select("key", F.col("day").alias("day_y"), F.col("letters").alias("other"), F.col("n").alias("n_y"), F.col("mask").alias("mask_y"), F.col("m").alias("m_y"))
-    both = F.col("n") + F.col("n_y")
-    shared = F.bit_count(F.col("mask").bitwiseAND(F.col("mask_y"))) + F.least(F.col("n") - F.bit_count("mask"), F.col("n_y") - F.bit_count("mask_y"))
-    near = (F.col("day") == F.col("day_y")) & (F.col("m") == F.col("m_y")) & (F.col("m") == classes(F.col("n"), F.col("n_y"))) & (shared >= both * (least / (1 + least)) - 1e-9)
-    common = F.size(F.array_intersect("letters", "other"))
-    return entered(t).join(other, "key").where(near).where(common / (both - common) >= least).select("day", "letters").distinct()
+    tiles = lambda df, name: df.where("day is not null").groupBy("day").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias(name))
+    known = tiles(t, "tiles_t").join(tiles(y, "tiles_y"), "day")
+
+    def dealt(df: DataFrame, own: str, other: str, side: int) -> DataFrame:
+        at = df.join(known, "day").withColumn(own, F.pmod(F.xxhash64("letters"), F.col(own)).cast("int"))
+        return at.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("day", "tiles_t", "tiles_y", F.lit(side).alias("side"), "letters")
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table.column("side")
+        now, old = (table.filter(pc.equal(side, k)).select(["day", "letters"]) for k in (0, 1))
+        if not len(now) or not len(old):
+            return now.slice(0, 0)
+        return now.take(pa.array(_met(now.column("letters").combine_chunks(), old.column("letters").combine_chunks(), least)))
+
+    schema = f"day {t.schema['day'].dataType.simpleString()}, letters array<string>"
+    met = lineage.spread(dealt(t, "tiles_t", "tiles_y", 0).union(dealt(y, "tiles_y", "tiles_t", 1)), "day", "tiles_t", "tiles_y")
+    return met.groupBy("day", "tiles_t", "tiles_y").applyInArrow(run, schema).distinct()
 
 
 def cross_day(today: DataFrame, yesterday: DataFrame, common: Sequence[str] = (), least: float = 0.6) -> DataFrame:
@@ -114,7 +150,7 @@ def cross_day(today: DataFrame, yesterday: DataFrame, common: Sequence[str] = ()
 
     Told already is an equal key or fact, a topic (of five characters or more) that shares ``least`` of its characters,
     two entities that aren't ``common`` ones, or an equal beginning of the title (20 characters). Each test is a join on
-    equal values, days among them; topics by classes of their characters.
+    equal values, days among them; topics meet in tiles, as bits of their characters.
     """
     columns = ["id", "day", "key", "fact", "topic", "entities", "title"]
     t = lineage.cut(today.select(*columns).withColumn("day", F.col("day").cast("date")))

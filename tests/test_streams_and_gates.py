@@ -154,3 +154,16 @@ def test_topics_of_alike_letters_equal_all_pairs(spark):
     for least in (0.5, 0.6, 0.9):
         got = {(r["day"], "".join(r["letters"])) for r in gates._alike_letters(frame(t), frame(y), least).collect()}
         assert got == {(d, "".join(a)) for d, a in t for e, b in y if d == e and len(set(a) & set(b)) / len(set(a) | set(b)) >= least}
+
+
+def test_topics_meet_in_bounded_tiles(spark, monkeypatch):
+    monkeypatch.setattr(gates, "TILE", 25)
+    draw = random.Random(12)
+    letters = "".join(map(chr, range(0x4E00, 0x4E00 + 150)))
+    seeds = [draw.sample(letters, draw.randint(1, 90)) for _ in range(40)]
+    sets = lambda n: [(d, sorted({*draw.sample(s := draw.choice(seeds), draw.randint(0, len(s))), *draw.sample(letters, draw.randint(0, 9))})) for d in (1, 2, 3, None) for _ in range(n if d != 3 else 1)]
+    t, y = sets(90), [*sets(130), (2, [])]
+    frame = lambda rows: spark.createDataFrame(rows, "day int, letters array<string>").distinct()
+    got = {(r["day"], "".join(r["letters"])) for r in gates._alike_letters(frame(t), frame(y), 0.6).collect()}
+    expected = {(d, "".join(a)) for d, a in t for e, b in y if d is not None and d == e and a and len(set(a) & set(b)) / len(set(a) | set(b)) >= 0.6}
+    assert got == expected and 20 < len(expected) < 150
