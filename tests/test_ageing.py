@@ -81,3 +81,19 @@ def test_a_failed_batch_is_replayed_after_restart(spark, tmp_path):
     run()
     assert tries == [0, 0]
     assert spark.read.parquet(str(tmp_path / "rows")).count() == 1 and spark.read.parquet(str(tmp_path / "dead")).count() == 1
+
+
+def test_keys_of_one_bucket_age_apart(spark, tmp_path, rocks):
+    big = 2**62 + 1
+    schema = "k long, d date, ts timestamp"
+    rows = [(big, None, DAY), (big + 1, DAY.date(), DAY), (None, None, DAY + dt.timedelta(days=1)), (None, DAY.date(), DAY + dt.timedelta(days=3))]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    told = state.ageing(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), ["k", "d"], "ts", [(3, "ongoing"), (7, "dropped")], "0 days", buckets=1)
+    run = told.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    run.awaitTermination(120)
+    got = spark.read.schema(told.schema).parquet(str(tmp_path / "out")).collect()
+    zero = (DAY - dt.datetime(1970, 1, 1)).days
+    day = DAY.date()
+    # the mark has reached the third day: steps of that day are told
+    assert {(r["k"], r["d"], r["at_ms"] / state.DAY_MS - zero, r["status"]) for r in got} == {(big, None, 0, "new"), (big, None, 3, "ongoing"), (big + 1, day, 0, "new"), (big + 1, day, 3, "ongoing"), (None, None, 1, "new"), (None, day, 3, "new")}
+    assert len(got) == 6 and run.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1
