@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import text as X
 from gristmill.functions import times as T
 from gristmill.functions import urls as U
-from gristmill.operators import dedup, gates, reports, scoring
+from gristmill.operators import dedup, gates, lineage, reports, scoring
 from gristmill.operators.clusters import number_rows
 from gristmill.plans.ladders import _COMPETITORS, _EVENTS, _FINAL, _LEVELLED, _PLATFORMS, _TEXT, analysed, downgraded, event_rows
 from gristmill.plans.registry import query, table
@@ -94,7 +94,7 @@ def q_like_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = F.when(F.to_date("ts") >= "2024-01-16", "now").otherwise("before")
     first = F.min(F.struct("event_id", "title", "fact")).alias("first")
     c = e.groupBy(half.alias("half"), F.concat_ws(":", "kind", "user_id").alias("key")).agg(first).select("half", "key", "first.*")
-    c = c.select(F.col("event_id").alias("id"), "half", "key", "title", X.keyword_hits(F.col("title"), _PLATFORMS).alias("entities"), X.keyword_hits(F.col("fact"), _COMPETITORS).alias("actions"))
+    c = lineage.cut(c.select(F.col("event_id").alias("id"), "half", "key", "title", X.keyword_hits(F.col("title"), _PLATFORMS).alias("entities"), X.keyword_hits(F.col("fact"), _COMPETITORS).alias("actions")))
     return reports.like_before(c.where("half = 'now'"), c.where("half = 'before'"))
 
 
