@@ -77,7 +77,7 @@ def q_cross_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that a greedy pass over similar titles (by words) of one source absorbs, and what is kept for each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", ".", 1).alias("title"), F.array("source").alias("sources"), F.col("n_chars").cast("double").alias("rich"))
-    return dedup.fold_pairs(dedup.greedy_pairs(docs, "doc_id", "title", "sources", "rich", 0.55, letters=r"(\S+)"))
+    return dedup.greedy_removal(docs, "doc_id", "title", "sources", "rich", 0.55, letters=r"(\S+)")
 
 
 _BEFORE = f"""SELECT id, key, half, coalesce(title, '') AS title, {list_of('title', _PLATFORMS)} AS entities, {list_of('fact', _COMPETITORS)} AS actions, list_distinct(list_transform(range(1, length(norm) - 1), lambda i: substr(norm, i, 3))) AS grams, norm
